@@ -100,7 +100,7 @@ def key_gaps(left: DataFrame, right: DataFrame, key: str, left_name: str, right_
         F.coalesce(F.sum(F.when(F.col("l").isNull(), F.col("r"))), F.lit(0)).alias("r"))
     return both.select(F.inline(F.array(
         F.struct(F.lit(f"in_{left_name}_not_{right_name}").alias("gap"), F.col("l").alias("cnt")),
-        F.struct(F.lit(f"in_{right_name}_not_{left_name}"), F.col("r")))))
+        F.struct(F.lit(f"in_{right_name}_not_{left_name}").alias("gap"), F.col("r").alias("cnt")))))
 
 
 def customers_missing(orders: DataFrame, sales: DataFrame, customers: DataFrame) -> DataFrame:

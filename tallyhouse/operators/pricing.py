@@ -90,7 +90,7 @@ def list_price_spread(lines: DataFrame) -> DataFrame:
     """Products by the spread of their list price, for products sold more than once."""
     per = priced_lines(lines).where("nd < 1").groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("lp").alias("lo"), F.max("lp").alias("hi")).where("n > 1")
-    pct = ratio(F.col("hi") - F.col("lo"), F.col("hi"), 1, 100)
+    pct = F.round(spread(F.col("lo"), F.col("hi")) * 100, 1)
     bucket = F.when(pct <= 1, "A: 0-1%").when(pct <= 5, "B: 1-5%").otherwise("C: 5%+")
     return per.groupBy(bucket.alias("after_normalization")).agg(F.count(F.lit(1)).alias("products"))
 
@@ -195,7 +195,7 @@ def multi_price_products(lines: DataFrame, products: DataFrame) -> DataFrame:
     return (
         per.where(spread(F.col("lo"), F.col("hi")) > 0.05).join(products.select("product_id", "product_name"), "product_id")
         .select("product_id", "product_name", "txns", F.round("lo", 2).alias("price_point_1"), F.round("hi", 2).alias("price_point_2"),
-                ratio(F.col("hi"), F.col("lo"), 1).alias("price_ratio"))
+                F.round(F.try_divide(F.col("hi").cast("double"), F.col("lo").cast("double")), 1).alias("price_ratio"))
     )
 
 

@@ -102,27 +102,39 @@ def fact_sales(transactions: DataFrame, orders: DataFrame, customers: DataFrame,
 
 # --- returns ----------------------------------------------------------------------------------
 
-# Orders with more distinct prices than this are matched by sorting instead of by array.
+# Orders with more lines than this are matched by sorting instead of by array.
 MAX_ARRAY = 1000
 # Width of a price bucket within such an order.
 BUCKET = 16
 
 
+def _rank_price(transactions: DataFrame) -> Column:
+    """Price used for ranking: a missing one counts as 0."""
+    return F.coalesce("sales", F.lit(0).cast(transactions.schema["sales"].dataType)).alias("price")
+
+
+def _line(transactions: DataFrame) -> Column:
+    """What a match reports about the line; the order of fields breaks ties."""
+    return F.struct("product_id", "sales", *[c for c in ("vendor_id",) if c in transactions.columns]).alias("line")
+
+
+def candidate_lines(transactions: DataFrame) -> DataFrame:
+    """Lines of an order as one array. Only for orders known to be short (see ``MAX_ARRAY``)."""
+    return transactions.select("order_id", _rank_price(transactions), _line(transactions)).groupBy("order_id").agg(
+        F.collect_list(F.struct("price", "line")).alias("candidates"))
+
+
 def price_points(transactions: DataFrame) -> DataFrame:
-    """Lines of an order reduced to its distinct prices.
+    """Lines of an order reduced to its distinct prices, for orders of any length.
 
-    ``order_id, price`` (NULL counts as 0 when ranking), the smallest product at that price
-    with its sale and vendor, and how many priced lines share it.
+    ``order_id, price``, the first line at that price and how many priced lines share it.
     """
-    extra = [c for c in ("vendor_id",) if c in transactions.columns]
-    price = F.coalesce("sales", F.lit(0).cast(transactions.schema["sales"].dataType))
-    first = F.min(F.struct("product_id", "sales", *extra)).alias("line")
-    return transactions.groupBy("order_id", price.alias("price")).agg(first, F.count("sales").alias("lines"))
+    return transactions.select("order_id", _rank_price(transactions), _line(transactions)).groupBy("order_id", "price").agg(
+        F.min("line").alias("line"), F.count("line.sales").alias("lines"))
 
 
-def candidate_lines(points: DataFrame) -> DataFrame:
-    """Distinct prices of an order as one array, only for orders that fit ``MAX_ARRAY``."""
-    return points.groupBy("order_id").agg(F.collect_list(F.struct("price", "line", "lines")).alias("candidates"))
+def large_orders(transactions: DataFrame, max_array: int = MAX_ARRAY) -> DataFrame:
+    return transactions.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_array).select("order_id")
 
 
 def match_confidence(has_lines: Column, same_price: Column) -> Column:
@@ -134,7 +146,7 @@ def match_confidence(has_lines: Column, same_price: Column) -> Column:
     )
 
 
-def _match_by_array(returns: DataFrame, points: DataFrame) -> DataFrame:
+def _match_by_array(returns: DataFrame, transactions: DataFrame) -> DataFrame:
     tolerance = F.lit(EXACT_MATCH_TOLERANCE).cast("decimal(3,2)")
     zero = F.lit(0).cast(returns.schema["refund_amount"].dataType)
     refund = F.col("refund_amount")
@@ -142,26 +154,23 @@ def _match_by_array(returns: DataFrame, points: DataFrame) -> DataFrame:
         "candidates",
         lambda c: F.struct(F.abs(c["price"] - F.coalesce(refund, zero)).alias("gap"), c["line"].alias("line")),
     )
-    same = F.aggregate(
-        F.filter("candidates", lambda c: F.abs(c["price"] - refund) < tolerance),
-        F.lit(0).cast("bigint"), lambda acc, c: acc + c["lines"],
-    )
+    same = F.size(F.filter("candidates", lambda c: F.abs(c["line"]["sales"] - refund) < tolerance)).cast("bigint")
     return (
-        returns.join(candidate_lines(points), "order_id", "left")
+        returns.join(candidate_lines(transactions), "order_id", "left")
         .withColumns({"_line": F.array_min(ranked)["line"], "_same": same, "_has": F.col("candidates").isNotNull()})
         .drop("candidates")
     )
 
 
-def _match_by_sorting(returns: DataFrame, points: DataFrame) -> DataFrame:
+def _match_by_sorting(returns: DataFrame, transactions: DataFrame) -> DataFrame:
     """Nearest price for orders of any size, without pairing returns with lines.
 
     Prices and refunds of an order are sorted together; the neighbours of a refund are the
     last price before and the first price after it. Sorting happens per order and price
     bucket, and a short table of bucket edges supplies the neighbour when a bucket has none.
     """
-    refund_type = returns.schema["refund_amount"].dataType
-    refund = F.coalesce("refund_amount", F.lit(0).cast(refund_type))
+    points = price_points(transactions)
+    refund = F.coalesce("refund_amount", F.lit(0).cast(returns.schema["refund_amount"].dataType))
     asked = returns.select("order_id", refund.alias("price")).distinct()
     bucket = F.floor(F.col("price") / BUCKET).cast("bigint").alias("bucket")
     spot = F.struct("price", "line")
@@ -217,17 +226,20 @@ def match_returns(returns: DataFrame, transactions: DataFrame, max_array: int =
     """Find the returned line: the one whose price is nearest to the refund.
 
     Ties go to the smaller product. Adds ``product_id``, ``original_sales``,
-    ``match_confidence`` (and ``vendor_id`` when lines carry it). Orders with up to
-    ``max_array`` distinct prices are matched through a bounded array per order; larger ones
-    take the sorting path, so no order is ever gathered whole or paired with itself.
+    ``match_confidence`` (and ``vendor_id`` when lines carry it).
+
+    Whether any order has more than ``max_array`` lines is counted first, by a small job when
+    this is called. If none has, every order fits a bounded array. Large orders take the
+    sorting path, so no order is ever gathered whole or paired with itself.
     """
-    points = price_points(transactions)
-    large = points.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_array).select("order_id")
-    matched = _match_by_array(
-        returns.join(large, "order_id", "left_anti"), points.join(large, "order_id", "left_anti")
-    ).unionByName(
-        _match_by_sorting(returns.join(large, "order_id", "left_semi"), points.join(large, "order_id", "left_semi"))
-    )
+    large = large_orders(transactions, max_array)
+    if large.isEmpty():
+        matched = _match_by_array(returns, transactions)
+    else:
+        matched = _match_by_array(
+            returns.join(large, "order_id", "left_anti"), transactions.join(large, "order_id", "left_anti")
+        ).unionByName(_match_by_sorting(
+            returns.join(large, "order_id", "left_semi"), transactions.join(large, "order_id", "left_semi")))
     vendor = [F.col("_line.vendor_id").alias("vendor_id")] if "vendor_id" in transactions.columns else []
     return matched.select(
         *returns.columns, "_line.product_id", F.col("_line.sales").alias("original_sales"), *vendor,

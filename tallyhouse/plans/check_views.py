@@ -256,7 +256,7 @@ CHECK_VIEWS: dict[str, str] = {
                            {div('least(coalesce(r.n, 0), b.total_orders)', 'b.total_orders', 1, 100)} AS return_rate_pct,
                            {div('b.total_spent', '(SELECT max(s) FROM (SELECT sum(sales) AS s FROM g_sales GROUP BY customer_id))', 2, 40)} AS purchase_value_score,
                            {div('b.total_orders', '(SELECT max(n) FROM (SELECT count(DISTINCT order_id) AS n FROM g_sales GROUP BY customer_id))', 2, 30)} AS frequency_score,
-                           {div("greatest(365 - date_diff('day', b.last_day, (SELECT max(day) FROM g_sales)), 0)", '365', 2, 30)} AS recency_score,
+                           {div("greatest(365 - date_diff('day', b.last_day, (SELECT max(day) FROM g_sales)), 0)", 'CAST(365 AS BIGINT)', 2, 30)} AS recency_score,
                            {div('least(coalesce(r.n, 0), b.total_orders)', 'b.total_orders', 2, 20)} AS return_penalty
                     FROM (SELECT customer_id, sum(sales) AS total_spent, count(DISTINCT order_id) AS total_orders, max(day) AS last_day FROM g_sales GROUP BY 1) b
                     LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS n FROM g_returns GROUP BY 1) r ON b.customer_id = r.customer_id) parts) t""",

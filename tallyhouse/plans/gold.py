@@ -103,6 +103,6 @@ def match_confidence(t):
        FROM (SELECT order_id, sales, count(*) AS n FROM s_lines GROUP BY 1, 2) points GROUP BY 1""",
 )
 def candidate_lines(t):
-    points = star.price_points(t.lines)
+    points = star.price_points(t.lines)  # the form that holds for orders of any length
     return points.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("price_points"), F.sum("lines").alias("lines"), F.min("price").alias("lowest"), F.max("price").alias("highest"))

@@ -1 +1,134 @@
+"""Queries for product documents and vector search."""
 
+from pyspark.sql import functions as F
+
+from tallyhouse.operators import narrative, retrieval as rt
+from tallyhouse.plans import common
+from tallyhouse.plans.registry import query
+from tallyhouse.session import work_dir
+from tallyhouse.sources import sinks
+
+VENDOR_SQL = """SELECT product_id, vendor_id, line_count FROM (SELECT product_id, vendor_id, count(*) AS line_count FROM g_sales GROUP BY 1, 2) c
+    QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY line_count DESC, vendor_id) = 1"""
+
+
+@query("rag_1_primary_vendor", VENDOR_SQL)
+def primary_vendor(t):
+    return rt.primary_vendor(common.sales(t))
+
+
+SLOW_SQL = """SELECT product_id, max(days_since_last_sale) AS max_days_since_last_sale, array_to_string(list_sort(list(DISTINCT region)), ', ') AS slow_regions,
+    CAST(sum(total_quantity_sold) AS BIGINT) AS total_quantity_sold FROM g_slow GROUP BY 1"""
+
+
+@query("rag_2_slow_summary", SLOW_SQL)
+def slow_summary(t):
+    return rt.slow_summary(common.slow(t)).withColumn("slow_regions", F.array_join("slow_regions", ", "))
+
+
+REGION_SQL = "SELECT region, sum(total_sales) AS region_total_sales, sum(total_profit) AS region_total_profit, CAST(sum(order_count) AS BIGINT) AS region_order_count FROM g_revenue GROUP BY 1"
+
+
+@query("rag_2_region_revenue", REGION_SQL)
+def region_revenue(t):
+    return rt.region_revenue(common.revenue(t))
+
+
+def _enriched(t):
+    return rt.enriched_products(t.products, rt.primary_vendor(common.sales(t)), t.vendors, rt.slow_summary(common.slow(t)), common.rates(t))
+
+
+ENRICHED_SQL = f"""SELECT p.product_id, p.product_name, p.brand, p.categories, p.manufacturer, v.vendor_id, coalesce(n.vendor_name, 'Unknown Vendor') AS vendor_name,
+    coalesce(s.max_days_since_last_sale, 0) AS max_days_since_last_sale, s.slow_regions, coalesce(s.total_quantity_sold, 0) AS total_quantity_sold,
+    coalesce(r.return_rate_pct, 0.0) AS return_rate_pct, coalesce(r.total_returns, 0) AS total_returns
+    FROM s_products p LEFT JOIN ({VENDOR_SQL}) v ON p.product_id = v.product_id LEFT JOIN s_vendors n ON v.vendor_id = n.vendor_id
+    LEFT JOIN ({SLOW_SQL}) s ON p.product_id = s.product_id LEFT JOIN g_rates r ON v.vendor_id = r.vendor_id"""
+
+
+@query("rag_3_enriched_products", ENRICHED_SQL)
+def enriched_products(t):
+    return _enriched(t).select(
+        "product_id", "product_name", "brand", "categories", "manufacturer", "vendor_id", "vendor_name", "max_days_since_last_sale",
+        F.array_join("slow_regions", ", ").alias("slow_regions"), "total_quantity_sold", "return_rate_pct", "total_returns")
+
+
+_ID = "CASE WHEN CAST(product_id AS VARCHAR) = '0' THEN 'N/A' ELSE CAST(product_id AS VARCHAR) END"
+_VENDOR = "CASE WHEN vendor_id IS NULL OR vendor_id = 0 THEN 'N/A' ELSE CAST(vendor_id AS VARCHAR) END"
+_RETURNS = "CASE WHEN total_returns = 0 THEN 'N/A' ELSE CAST(total_returns AS VARCHAR) END"
+DOCUMENT_SQL = f"""
+    SELECT product_id, 'Product ID ' || {_ID} || ': ' || product_name || '. Brand: ' || brand || '. Category: ' || categories || '. Manufacturer: ' || manufacturer || '. Supplied by ' || vendor_name
+        || ' (vendor ID: ' || {_VENDOR} || '). '
+        || CASE WHEN slow_regions <> '' THEN 'This product is slow-moving in the ' || slow_regions || ' region(s) with ' || CAST(max_days_since_last_sale AS VARCHAR) || ' days since last sale.'
+                WHEN max_days_since_last_sale > 90 THEN 'This product has not sold in ' || CAST(max_days_since_last_sale AS VARCHAR) || ' days and is considered slow-moving.' ELSE 'This product is selling normally.' END AS opening
+    FROM ({ENRICHED_SQL}) e"""
+
+
+@query("rag_4_document_openings", DOCUMENT_SQL)
+def document_openings(t):
+    """First half of every document: identity, vendor and velocity."""
+    docs = rt.documents(_enriched(t), rt.region_revenue(common.revenue(t)))
+    return docs.select("product_id", F.regexp_extract("document", r"(?s)^(.*?(?:last sale\.|considered slow-moving\.|selling normally\.))", 1).alias("opening"))
+
+
+@query("rag_4_documents")
+def documents(t):
+    return rt.documents(_enriched(t), rt.region_revenue(common.revenue(t)))
+
+
+@query("rag_5_embedded_documents")
+def embedded_documents(t):
+    return rt.embed(t.raw("documents").select("doc_id", "text"), "text", 64).drop("text")
+
+
+@query(
+    "rag_6_nearest_vectors",
+    """WITH q AS (SELECT label AS query_label, list(m ORDER BY pos) AS qv FROM (SELECT label, pos, avg(CAST(embedding[pos] AS DOUBLE)) AS m
+                  FROM embeddings CROSS JOIN (SELECT unnest(generate_series(1, 64)) AS pos) p GROUP BY 1, 2) x GROUP BY 1),
+        d AS (SELECT query_label, vec_id, list_sum(list_transform(generate_series(1, 64), lambda i: (CAST(embedding[i] AS DOUBLE) - qv[i]) * (CAST(embedding[i] AS DOUBLE) - qv[i]))) AS distance
+              FROM embeddings CROSS JOIN q)
+        SELECT query_label, vec_id, CAST(rn AS INTEGER) AS rank, round(distance, 6) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY query_label ORDER BY distance, vec_id) AS rn FROM d) r WHERE rn <= 5""",
+)
+def nearest_vectors(t):
+    """The five vectors nearest to the centre of every label, over all vectors."""
+    vectors = t.raw("embeddings")
+    queries = rt.centroids(vectors, "label").withColumnRenamed("label", "query_label")
+    return rt.nearest(vectors, queries, "vec_id", "query_label", 5).withColumn("distance", F.round("distance", 6))
+
+
+@query("rag_8_stored_vectors")
+def stored_vectors(t):
+    """Build the store, ask for it again (it must not be rebuilt), and read it."""
+    docs, path = t.raw("documents").select("doc_id", "text"), work_dir(t.spark, "vectors")
+    rt.refresh_store(docs, "doc_id", "text", path, 64)
+    vectors, rebuilt = rt.refresh_store(docs, "doc_id", "text", path, 64)
+    return vectors.select("doc_id", F.size("embedding").alias("dim"), F.lit(rebuilt).alias("rebuilt"))
+
+
+QUESTIONS = [
+    (1, "Which products have been slow-moving for the longest time?"),
+    (2, "Which vendor has the highest return rate?"),
+    (3, "Which products are available in the West region?"),
+    (4, "Which products are slow-moving in the East region?"),
+    (5, "Which vendor supplies slow-moving products and also has a high return rate?"),
+    (6, "Which region has the highest total sales?"),
+    (7, "zzz qqq xxx"),
+]
+
+
+def _answers(t):
+    docs = rt.documents(_enriched(t), rt.region_revenue(common.revenue(t)))
+    questions = t.spark.createDataFrame(QUESTIONS, "question_id int, question string")
+    hits = rt.nearest(rt.embed(docs, "document"), rt.embed(questions, "question"), "product_id", "question_id", 5)
+    return rt.answers(hits, docs, questions, "question_id", "product_id", max_distance=1.9)
+
+
+@query("rag_9_answers")
+def answers(t):
+    return _answers(t)
+
+
+@query("rag_10_history_kpis")
+def history_kpis(t):
+    path = work_dir(t.spark, "history")
+    sinks.append(narrative.checked(_answers(t), "answer", min_words=10), path)
+    return rt.history_kpis(sinks.read_merged(t.spark, path))

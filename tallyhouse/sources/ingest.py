@@ -63,10 +63,11 @@ def contract_check(headers: DataFrame, contracts: tuple[Contract, ...] = CONTRAC
     The entity is the first one whose name occurs in the file's path. Expects ``path,
     file_name, columns``; files of no entity are left out.
     """
-    spark = headers.sparkSession
-    rows = [(i, c.entity, list(c.key_variants), list(c.required), c.min_cols) for i, c in enumerate(contracts)]
-    known = spark.createDataFrame(rows, "pos int, entity string, key_variants array<string>, required array<string>, min_cols int")
-    listed = known.agg(F.sort_array(F.collect_list(F.struct("pos", "entity", "key_variants", "required", "min_cols")))).scalar()
+    texts = lambda values: F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    listed = F.array(*[
+        F.struct(F.lit(c.entity).alias("entity"), texts(c.key_variants).alias("key_variants"), texts(c.required).alias("required"), F.lit(c.min_cols).alias("min_cols"))
+        for c in contracts
+    ])
     names = F.transform("columns", lambda c: F.lower(c))
     spotted = headers.withColumns({
         "names": names,

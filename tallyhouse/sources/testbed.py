@@ -11,6 +11,7 @@ arrives from six regional systems, with the usual dirt put in by key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -233,13 +234,20 @@ class Testbed:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = build()
+        return self._frames[name]
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{table}.parquet")
+        # reading a schema opens a file, so every table is looked up once
+        return self._once(table, lambda: self.spark.read.parquet(f"{self.dir}/{table}.parquet"))
 
     def view(self, name: str) -> DataFrame:
         base, exprs = VIEWS[name]
-        return self._base(base).selectExpr(*[e.replace("{ts}", "TIMESTAMP_NTZ") for e in exprs])
+        return self._once(f"view {name}", lambda: self._base(base).selectExpr(*[e.replace("{ts}", "TIMESTAMP_NTZ") for e in exprs]))
 
     def _base(self, name: str) -> DataFrame:
         if name == "customer_geo":
