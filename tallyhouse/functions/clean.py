@@ -30,7 +30,7 @@ def _lookup(value: Column, table: dict[str, str], otherwise: Column) -> Column:
 
 def currency(c: Column, kind: str = "decimal(10,3)") -> Column:
     """Drop a leading currency sign, then read as a decimal."""
-    return F.regexp_replace(c, r"^\$", "").try_cast(kind)
+    return F.when(c.startswith("$"), F.substring(c, 2, 2**31 - 1)).otherwise(c).try_cast(kind)
 
 
 def refund(c: Column, kind: str = "decimal(10,2)") -> Column:

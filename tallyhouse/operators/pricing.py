@@ -137,13 +137,13 @@ def median_list_price(lines: DataFrame) -> DataFrame:
 def product_economics(lines: DataFrame, products: DataFrame) -> DataFrame:
     """List price, discount, margin and volume per product."""
     priced = priced_lines(lines)
-    per = economics(priced, ["product_id"], [
+    wanted = [
         "txns", "total_units", "min_list_price", "max_list_price", "avg_unit_price", "avg_discount_pct", "max_discount_pct",
-        "total_revenue", "total_profit", "avg_unit_profit", "margin_pct"])
-    limits = priced.groupBy("product_id").agg(F.min("lp").alias("lo"), F.max("lp").alias("hi"))
+        "total_revenue", "total_profit", "avg_unit_profit", "margin_pct"]
+    per = priced.groupBy("product_id").agg(F.min("lp").alias("lo"), F.max("lp").alias("hi"), *[MEASURES[m]().alias(m) for m in wanted])
     named = products.select("product_id", "product_name", "brand", top_category(F.col("categories")).alias("top_category"))
     return (
-        per.join(limits, "product_id").join(median_list_price(priced), "product_id", "left").join(named, "product_id")
+        per.join(median_list_price(priced), "product_id", "left").join(named, "product_id")
         .withColumnsRenamed({"txns": "total_txns", "total_units": "total_units_sold", "avg_unit_price": "avg_realized_unit_price"})
         .withColumn("price_flag", F.when(spread(F.col("lo"), F.col("hi")) > 0.05, "MULTI-PRICE").otherwise("STABLE"))
         .drop("lo", "hi")

@@ -74,7 +74,9 @@ def quarantine(
         broken.append(F.when(~p, tag))
     tags = F.array_compact(F.array(*broken)) if broken else F.array().cast(f"array<{meta}>")
     columns = df.columns
-    return df.withColumn("_tag", F.explode(tags)).select(
+    # the outer form keeps Spark from adding a filter that would evaluate every rule, and the
+    # cleaning below it, a second time
+    return df.withColumn("_tag", F.explode_outer(tags)).where("_tag IS NOT NULL").select(
         *columns,
         F.lit(run_id).alias("_run_id"),
         at.alias("_run_timestamp"),
@@ -223,17 +225,17 @@ def column_values(df: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def smallest_values(values: DataFrame, keys: list[str], value: str, k: int) -> DataFrame:
-    """The ``k`` smallest rows per key as a sorted text list.
+def smallest_values(values: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The ``k`` smallest values per key as a sorted list, from distinct ``value`` and ``n``.
 
     The rank filter lets every task keep ``k`` rows per key before the shuffle, so the list is
-    never gathered whole.
+    never gathered whole. Ranking keeps ``n`` and the missing values, so that the count of
+    values is the same shuffle for this and for the totals and Spark runs it once.
     """
-    w = Window.partitionBy(*keys).orderBy(value)
-    return (
-        values.where(F.col(value).isNotNull()).withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
-        .groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias("samples"))
-    )
+    w = Window.partitionBy(*keys).orderBy(F.col("value").asc_nulls_last())
+    ranked = values.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
+    return ranked.groupBy(*keys).agg(
+        F.array_compact(F.transform(F.sort_array(F.collect_list(F.struct("value", "n"))), lambda s: s["value"])).alias("samples"))
 
 
 def column_profile(df: DataFrame, entity: str, k: int = 5) -> DataFrame:
@@ -246,7 +248,7 @@ def column_profile(df: DataFrame, entity: str, k: int = 5) -> DataFrame:
         F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("missing"),
         count_if(~missing).alias("distinct_values"),
     )
-    out = counts.join(smallest_values(values, keys, "value", k), keys, "left")
+    out = counts.join(smallest_values(values, keys, k), keys, "left")
     return out.select(
         *keys, "rows", ratio(F.col("missing"), F.col("rows"), 1, 100).alias("null_pct"), "distinct_values",
         F.coalesce(F.array_join("samples", ", "), F.lit("")).alias("samples"),
@@ -324,23 +326,26 @@ def newer_than(df: DataFrame, stamp: str, report: DataFrame, report_stamp: str)
     return df.where(mark.isNull() | (F.col(stamp) > mark))
 
 
+SAMPLE_SALTS = 64
+
+
 def issue_groups(frames: dict[str, DataFrame], sample_reasons: int = 3, sample_files: int = 5) -> DataFrame:
-    """Rejections per entity, issue and rule with evidence.
+    """Rejections per entity, issue and rule with the first reasons and files as evidence.
 
-    Counting happens per reason and file first; the samples then come from that short table.
+    Two steps over one scan: counts and distinct texts per rule and salt of the file, cut to
+    the first few, then per rule. No task sees more than a share of a rule's files.
     """
     keys = ["entity", "_issue_type", "_expectation_name"]
-    short = stack_entities(frames, [*keys[1:], "_failure_reason", "_source_file", "_quarantine_timestamp"])
-    short = short.groupBy(*keys, "_failure_reason", "_source_file").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_quarantine_timestamp").alias("lo"), F.max("_quarantine_timestamp").alias("hi"))
-    reasons = smallest_values(short.select(*keys, "_failure_reason").distinct(), keys, "_failure_reason", sample_reasons)
-    files = smallest_values(short.select(*keys, "_source_file").distinct(), keys, "_source_file", sample_files)
-    total = short.groupBy(*keys).agg(F.sum("n").alias("rejected_count"), F.min("lo").alias("earliest_failure"), F.max("hi").alias("latest_failure"))
-    return (
-        total.join(reasons.withColumnRenamed("samples", "sample_reasons"), keys, "left")
-        .join(files.withColumnRenamed("samples", "source_files"), keys, "left")
-        .withColumnsRenamed({"_issue_type": "issue_type", "_expectation_name": "field_affected"})
-    )
+    rows = stack_entities(frames, [*keys[1:], "_failure_reason", "_source_file", "_quarantine_timestamp"])
+    first = lambda c, k: F.slice(F.sort_array(F.collect_set(c)), 1, k)
+    salted = rows.groupBy(*keys, F.pmod(F.hash("_source_file"), F.lit(SAMPLE_SALTS)).alias("_salt")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_quarantine_timestamp").alias("lo"), F.max("_quarantine_timestamp").alias("hi"),
+        first("_failure_reason", sample_reasons).alias("reasons"), first("_source_file", sample_files).alias("files"))
+    merged = lambda c, k: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), 1, k)
+    return salted.groupBy(*keys).agg(
+        F.sum("n").alias("rejected_count"), F.min("lo").alias("earliest_failure"), F.max("hi").alias("latest_failure"),
+        merged("reasons", sample_reasons).alias("sample_reasons"), merged("files", sample_files).alias("source_files"),
+    ).withColumnsRenamed({"_issue_type": "issue_type", "_expectation_name": "field_affected"})
 
 
 def severity_class(issue_type: Column, count: Column) -> Column:

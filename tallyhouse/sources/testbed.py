@@ -16,8 +16,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-EXT = "CAST(l_extendedprice AS DECIMAL(10,2))"
-DISC = "CAST(abs(l_discount) AS DECIMAL(4,2))"
+# through whole cents: a direct cast of a double to a decimal goes through its text
+EXT = "CAST(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) * 0.01 AS DECIMAL(10,2))"
+DISC = "CAST(CAST(floor(abs(l_discount) * 100 + 0.5) AS BIGINT) * 0.01 AS DECIMAL(4,2))"
 PHANTOM = "CASE WHEN l_orderkey % 50 = 7 AND l_linenumber = 7 THEN -1 - l_orderkey ELSE l_orderkey END"
 REFUND = (
     f"CAST(CASE l_linenumber % 4 WHEN 0 THEN {EXT} WHEN 1 THEN {EXT} * 2 "
