@@ -33,6 +33,24 @@ def holds(rule: Rule | str) -> Column:
     return F.expr(rule if isinstance(rule, str) else rule.rule_expression)
 
 
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def rule_rows(rules: list[Rule], template: str) -> Column:
+    """One row per rule from the counters of a one-row aggregate.
+
+    Built as a single piece of SQL text: a few dozen rules would otherwise cost hundreds of
+    round trips to the JVM.
+    """
+    rows = [
+        template.format(i=i, rule_id=text(r.rule_id), rule_name=text(r.rule_name), expression=text(r.rule_expression), consequence=text(r.consequence))
+        for i, r in enumerate(rules)
+    ]
+    return F.expr(f"inline(array({', '.join(f'named_struct({row})' for row in rows)}))")
+
+
 def expect(df: DataFrame, name: str, rules: Iterable[Rule]) -> tuple[DataFrame, Observation]:
     """Keep all rows and count violations while they pass by, without a job of its own."""
     seen = Observation(name)
@@ -43,12 +61,8 @@ def expect(df: DataFrame, name: str, rules: Iterable[Rule]) -> tuple[DataFrame,
 def violation_counts(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """``rule_id, rule_name, violations`` for all rules in one pass; NULL counts as violated."""
     rules = list(rules)
-    counted = df.agg(*[count_if(~F.coalesce(holds(r), F.lit(False))).alias(f"v{i}") for i, r in enumerate(rules)])
-    rows = [
-        F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.rule_name).alias("rule_name"), F.col(f"v{i}").alias("violations"))
-        for i, r in enumerate(rules)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+    counted = df.agg(*[F.expr(f"count_if(NOT coalesce({r.rule_expression}, false)) AS v{i}") for i, r in enumerate(rules)])
+    return counted.select(rule_rows(rules, "'rule_id', {rule_id}, 'rule_name', {rule_name}, 'violations', v{i}"))
 
 
 def drop_violations(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
@@ -66,13 +80,13 @@ def quarantine(
     NULL in SQL), which is how the rule text reads; ``True`` treats it as broken.
     """
     at = run_timestamp if run_timestamp is not None else F.current_timestamp()
-    meta = "struct<_expectation_name:string,_severity:string,_issue_type:string,_failure_reason:string>"
-    broken = []
-    for r in rules:
-        p = F.coalesce(holds(r), F.lit(False)) if null_fails else holds(r)
-        tag = F.struct(F.lit(r.rule_name), F.lit(r.severity), F.lit(r.issue_type), F.lit(r.failure_reason)).cast(meta)
-        broken.append(F.when(~p, tag))
-    tags = F.array_compact(F.array(*broken)) if broken else F.array().cast(f"array<{meta}>")
+    broken = [
+        f"CASE WHEN NOT ({f'coalesce({r.rule_expression}, false)' if null_fails else r.rule_expression}) THEN named_struct("
+        f"'_expectation_name', {text(r.rule_name)}, '_severity', {text(r.severity)}, '_issue_type', {text(r.issue_type)}, '_failure_reason', {text(r.failure_reason)}) END"
+        for r in rules
+    ]
+    meta = "array<struct<_expectation_name:string,_severity:string,_issue_type:string,_failure_reason:string>>"
+    tags = F.expr(f"array_compact(array({', '.join(broken)}))" if broken else f"cast(array() AS {meta})")
     columns = df.columns
     # the outer form keeps Spark from adding a filter that would evaluate every rule, and the
     # cleaning below it, a second time
@@ -88,17 +102,10 @@ def quarantine(
 def scorecard(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Passed, failed and pass rate per rule from one aggregation."""
     rules = list(rules)
-    counted = df.agg(F.count(F.lit(1)).alias("n"), *[count_if(holds(r)).alias(f"p{i}") for i, r in enumerate(rules)])
-    rows = [
-        F.struct(
-            F.lit(r.rule_id).alias("rule_id"), F.lit(r.rule_name).alias("rule_name"),
-            F.lit(r.rule_expression).alias("expression"), F.lit(r.consequence).alias("consequence"),
-            F.col(f"p{i}").alias("passed"), (F.col("n") - F.col(f"p{i}")).alias("failed"),
-            ratio(F.col(f"p{i}"), F.col("n"), 1, 100).alias("pass_rate_pct"),
-        )
-        for i, r in enumerate(rules)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+    counted = df.agg(F.expr("count(1) AS n"), *[F.expr(f"count_if({r.rule_expression}) AS p{i}") for i, r in enumerate(rules)])
+    lines = counted.select("n", rule_rows(rules, (
+        "'rule_id', {rule_id}, 'rule_name', {rule_name}, 'expression', {expression}, 'consequence', {consequence}, 'passed', p{i}, 'failed', n - p{i}")))
+    return lines.withColumn("pass_rate_pct", ratio(F.col("passed"), F.col("n"), 1, 100)).drop("n")
 
 
 def stack_entities(frames: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:

@@ -240,12 +240,13 @@ def test_lift_of_exactly_one_is_not_a_rule(spark):
 # --- pricing --------------------------------------------------------------------------------------------
 
 
-def test_median_matches_percentile(spark):
+@pytest.mark.parametrize("max_sales", [1000, 40, 0])
+def test_median_matches_percentile(spark, max_sales):
     rnd = random.Random(5)
     data = [(rnd.randrange(8), D(rnd.randrange(100, 900)) / 100) for _ in range(300)] + [(99, D("3.00"))]
     df = spark.createDataFrame(data, "product_id int, lp decimal(18,8)")
     want = {r[0]: round(r[1], 2) for r in df.groupBy("product_id").agg(F.percentile("lp", F.lit(0.5))).collect()}
-    got = {r[0]: float(r[1]) for r in pr.median_list_price(df).collect()}
+    got = {r[0]: float(r[1]) for r in pr.median_list_price(df, max_sales).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) <= 0.0100001 for k in want)
 
