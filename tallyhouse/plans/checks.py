@@ -6,6 +6,7 @@ from tallyhouse.config import ENTITIES
 from tallyhouse.operators import checks as ck, mdm, quality as dq, star
 from tallyhouse.plans import common
 from tallyhouse.plans.check_views import div
+from tallyhouse.plans.quality import DISCOVERY_SQL
 from tallyhouse.plans.registry import query
 from tallyhouse.sources import ingest
 
@@ -314,7 +315,7 @@ def _findings(t):
     return dq.discover_issues(t.bronze("returns").select("refund_amount", "amount", "return_date", "date_of_return", "reason", "return_status", "status"), "returns")
 
 
-@query("chk_21_findings")
+@query("chk_21_findings", f"SELECT 'returns' AS entity, severity, issue_type, count(*) AS findings FROM ({DISCOVERY_SQL}) d GROUP BY 2, 3")
 def findings(t):
     return ck.findings_by_severity(_findings(t))
 
