@@ -1,14 +1,14 @@
 """Exact duplicates by content sort, with DataFrame functions only.
 
-The normalised texts are range-partitioned by splitters that Spark samples, each range is sorted
-externally, and the window reads the sorted rows one after another and compares each whole key
+The normalised texts are range-partitioned by splitters that Spark samples (a text's beginning, then its
+fingerprint), each range is sorted externally, and the window reads the sorted rows one after another and compares each whole key
 with its predecessor's; the first row of a run of equals has the smallest identifier.
 
 A run may not span tasks, so a text that many rows share would fill one range. Such texts are found
-by a map-side combined count of fingerprints and get a salt as second sort key: their runs are
+by a map-side combined count of fingerprints and get a salt as a further sort key: their runs are
 sorted in pieces, and the pieces take the smallest identifier and the size of the whole group from
-an aggregation over full texts that sends one row per task. The fingerprint only decides what is
-salted, so a collision of it costs balance and never a wrong answer.
+an aggregation over full texts that sends one row per task. Fingerprints only decide order and
+what is salted, so a collision of them costs balance and never a wrong answer.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPACES = r"[\t-\r][ \t-\r]*| [ \t-\r]+"
 HOT_SHARE = 2
+LEAD = 48
 
 
 def normalised(text: Column) -> Column:
@@ -38,7 +39,6 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", c
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = max(16, docs.count() // (HOT_SHARE * parts))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None)
-    # full texts travel once: carried rows leave their text behind in favour of the sort key's source
     base = docs.select(F.col(f"`{key}`").alias("_id"), normalised(F.col(f"`{text}`")).alias("_text"), row.alias("_row"))
     print_ = F.xxhash64("_text")
     narrow = base.select("_id", "_text")
@@ -47,8 +47,9 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", c
     whole = narrow.withColumn("_print", print_).join(F.broadcast(hot), "_print", "left_semi").groupBy("_text").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_all"))
     whole = whole.select(F.sha2("_text", 256).alias("text_sha256"), "_least", "_all")
     salted = base.withColumn("_print", print_).join(F.broadcast(hot), "_print", "left").withColumn("_salt", F.when(F.col("_pieces").isNotNull(), F.pmod(F.xxhash64("_id"), F.col("_pieces"))).otherwise(0).cast("int"))
-    ranged = salted.select("_text", "_salt", "_id", "_row").repartitionByRange(parts, "_text", "_salt")
-    run = Window.partitionBy("_text", "_salt")
+    # splitters go through the driver, so they are the text's beginning and its fingerprint, not whole texts
+    ranged = salted.select("_text", "_print", "_salt", "_id", "_row", F.substring("_text", 1, LEAD).alias("_lead")).repartitionByRange(parts, "_lead", "_print", "_salt")
+    run = Window.partitionBy("_lead", "_print", "_salt", "_text")
     ordered = run.orderBy(F.col("_id").asc_nulls_last())
     marked = ranged.select("_id", "_row", F.sha2("_text", 256).alias("text_sha256"), F.row_number().over(ordered).alias("_nth"), F.first("_id").over(ordered).alias("_first"), F.count(F.lit(1)).over(run).alias("_size"))
     joined = marked.join(F.broadcast(whole), "text_sha256", "left")

@@ -8,8 +8,9 @@ belief propagation runs for all documents of a slice at once; a free token whose
 is high becomes a further span.
 
 Potentials are trained piecewise: each factor's table is the smoothed relative frequency of its labels in the
-corpus, with the pattern matches as labels, counted over all documents. The skip table is estimated on pairs in which one of the two
-is held out of the matches in thought: agreement is counted on matched tokens only, as patterns can't see the rest.
+corpus, with the pattern matches as labels, counted over all documents. The skip table counts agreement on pairs of
+matched tokens only, as patterns can't see the rest. Chain potentials are bounded, so a token needs a distant twin
+to become a span.
 """
 
 from __future__ import annotations
@@ -199,22 +200,23 @@ def train(docs: DataFrame, text: str = "text") -> dict:
                 chain[0] += np.bincount(label[np.array(graph.alone, bool)], minlength=k)
         for name, table in (("unary", unary), ("chain", chain), ("skip", skip)):
             x, y = np.nonzero(table)
-            yield pa.RecordBatch.from_pydict({"factor": [name] * len(x), "x": x, "y": y, "n": table[x, y]})
+            yield pa.RecordBatch.from_pydict({"factor": pa.array([name] * len(x), pa.string()), "x": x, "y": y, "n": table[x, y]})
 
     rows = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "factor string, x long, y long, n long").groupBy("factor", "x", "y").agg(F.sum("n").alias("n")).collect()
     k = len(KINDS) + 1
     tables = {"unary": np.full((SHAPES, k), 0.1), "chain": np.ones((k, k)), "skip": np.zeros((k, k))}
     for r in rows:
         tables[r.factor][r.x, r.y] += r.n
+    # the patterns have seen a free token and let it pass, so its shape alone never speaks for a kind
+    tables["unary"][:, 0] = np.maximum(tables["unary"][:, 0], tables["unary"][:, 1:].sum(1))
     unary = tables["unary"] / tables["unary"].sum(1, keepdims=True)
-    base = tables["unary"].sum(0) / tables["unary"].sum()
     # log-linear factors: the chain counts association only, as the unary already holds how common a label is
     chain = (tables["chain"] / tables["chain"].sum()) / np.maximum(1e-12, np.outer(tables["chain"].sum(1), tables["chain"].sum(0)) / tables["chain"].sum() ** 2)
     both = tables["skip"][1:, 1:]
     agree = (np.trace(both) + 1) / (both.sum() + 2)
     skip = np.full((k, k), (1 - agree) / len(KINDS))
     np.fill_diagonal(skip, agree)
-    return {"unary": np.maximum(unary, 1e-4), "chain": np.clip(chain, 0.2, 5.0), "skip": np.maximum(skip, 1e-4), "base": base}
+    return {"unary": np.maximum(unary, 1e-4), "chain": np.clip(chain, 0.5, 2.0), "skip": np.maximum(skip, 1e-4)}
 
 
 def find(docs: DataFrame, model: dict, text: str = "text", key: str = "doc_id") -> DataFrame:
