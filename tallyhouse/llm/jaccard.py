@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tallyhouse.llm.bloom import possible
 from tallyhouse.llm.components import components
 from tallyhouse.llm.words import mix, shingle_sets, slices
 from tallyhouse.session import work_dir
@@ -153,6 +154,9 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
                     keep.append(100 * both >= percent * (len(x) + len(y) - both) > 0)
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    # only texts that some pair may need are shuffled; the filter has a bounded size and lets through some more
+    needed = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    texts = possible(texts, needed, "rep")
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
@@ -240,17 +244,15 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     embedded = saved(embed(docs, words, percent, text, key), "embedded")
     real = embedded.where("n > 0 AND key IS NOT NULL")
     same = real.groupBy("print").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    reps = embedded.join(same.select(F.col("rep").alias("key")).distinct(), "key", "left_semi").where("n > 0")
-    found = reps.select(F.explode("cells").alias("cell"), F.col("key").alias("rep")).repartitionByRange(parts, "cell", "rep").sortWithinPartitions("cell").mapInArrow(shared_cells, "cell long, rep long")
-    multi = saved(found, "multi")
+    # every row's cells, so that only 16 bytes a cell are moved; copies leave again where cells turn out to be shared
+    found = real.select(F.explode("cells").alias("cell"), F.col("key").alias("rep")).repartitionByRange(parts, "cell", "rep").sortWithinPartitions("cell").mapInArrow(shared_cells, "cell long, rep long")
+    multi = saved(found.join(same.select("rep").distinct(), "rep", "left_semi"), "multi")
     sizes = multi.groupBy("cell").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y")).where("size > 1")
     distinct_cells = sizes.groupBy("pivot", "size", "x", "y").agg(F.min("cell").alias("cell")).select("cell", "pivot", "size")
     members = saved(multi.join(distinct_cells, "cell").distinct(), "members")
-    sketch = reps.select(F.col("key").alias("rep"), "n", "sketch").dropDuplicates(["rep"])
     wanted = members.select("rep").distinct()
-    sketch = saved(sketch.join(wanted, "rep", "left_semi"), "sketches")
-    raw = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("text"))
-    texts = saved(raw.join(wanted, "rep", "left_semi"), "texts")
+    sketch = saved(real.select(F.col("key").alias("rep"), "n", "sketch").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sketches")
+    texts = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("text"))
 
     side = lambda c: sketch.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     stars = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()

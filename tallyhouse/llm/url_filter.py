@@ -1,18 +1,15 @@
 """URL filter: rules by host and path first, else a list of canonical URLs behind a blocked Bloom filter.
 
-The filter is a table of blocks of eight 32-bit words. A URL hash picks one block and one bit in each
-of its words, so a lookup reads one row. Its size has a fixed upper bound, hence it may be broadcast:
-a list too long for it raises the share of possible hits, and the exact join behind it removes them.
-URLs that the filter rejects are never shuffled.
+A list too long for the filter raises the share of possible hits, and the exact join behind it removes them. URLs
+that the filter rejects are never shuffled.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BITS_PER_URL = 12
-MAX_BLOCKS = 1 << 16
-WORDS = 8
+from tallyhouse.llm.bloom import marked
+
 SALTS = 8
 #: (host, path, verdict); of several that fit, the longest wins. Fixed values.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -33,23 +30,6 @@ def canonical(host: Column, path: Column) -> Column:
     return F.concat(F.regexp_replace(host, r"^(www|m)\.", ""), F.regexp_replace(path, r"(/index)?(\.html?)?/*$", ""))
 
 
-def bloom(listed: DataFrame, column: str) -> tuple[DataFrame, int]:
-    """The filter as a table ``_block, _w0 .. _w7`` and its number of blocks, at most ``MAX_BLOCKS``."""
-    blocks = min(MAX_BLOCKS, max(1, -(-listed.count() * BITS_PER_URL // (32 * WORDS))))
-    rows = listed.select(_block(F.col(column), blocks).alias("_block"), *[m.alias(f"_w{i}") for i, m in enumerate(_bits(F.col(column)))])
-    return rows.groupBy("_block").agg(*[F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(WORDS)]), blocks
-
-
-def _block(c: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-
-
-def _bits(c: Column) -> list[Column]:
-    """One bit of each word, from five bits each of a second hash."""
-    second = F.xxhash64(F.lit("bits"), c)
-    return [F.call_function("shiftleft", F.lit(1), F.shiftright(second, 5 * i).bitwiseAND(F.lit(31)).cast("int")) for i in range(WORDS)]
-
-
 def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]] = RULES, url: str = "url", key: str = "page_id") -> DataFrame:
     """One row per page: key, host, path, rule, canonical, listed, verdict.
 
@@ -57,19 +37,14 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]]
     ``://``, has empty host and path, fits no rule and is allowed. Repeated rows are judged each.
     """
     listed = listed.select("canonical").where(F.col("canonical").isNotNull() & (F.col("canonical") != "")).distinct()
-    blocks, n = bloom(listed, "canonical")
     p = pages.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{url}`").alias("_url")).select("_key", host(F.col("_url")).alias("host"), path(F.col("_url")).alias("path"))
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for h, q, v in sorted(rules, key=lambda r: len(r[0]) + len(r[1])):
         fits = ((F.col("host") == h) | F.col("host").endswith(f".{h}")) & F.col("path").startswith(q)
         rule, verdict = F.when(fits, h + q).otherwise(rule), F.when(fits, v).otherwise(verdict)
     p = p.select("*", rule.alias("rule"), verdict.alias("_ruled"), canonical(F.col("host"), F.col("path")).alias("canonical"))
-    probed = p.select("*", _block(F.col("canonical"), n).alias("_block"), *[m.alias(f"_m{i}") for i, m in enumerate(_bits(F.col("canonical")))]).join(F.broadcast(blocks), "_block", "left")
-    maybe = F.coalesce(F.col("canonical") != "", F.lit(False))
-    for i in range(WORDS):
-        maybe = maybe & F.coalesce(F.col(f"_w{i}").bitwiseAND(F.col(f"_m{i}")) != 0, F.lit(False))
     columns = ["_key", "host", "path", "rule", "_ruled", "canonical"]
-    probed = probed.select(*columns, maybe.alias("_maybe"))
+    probed = marked(p, listed, "canonical", "_maybe").select(*columns, (F.col("_maybe") & (F.col("canonical") != "")).alias("_maybe"))
     salted = listed.select("canonical", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt"), F.lit(True).alias("listed"))
     hits = probed.where("_maybe").select(*columns, F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int").alias("_salt")).join(salted.hint("merge"), ["canonical", "_salt"], "left").select(*columns, F.coalesce("listed", F.lit(False)).alias("listed"))
     judged = hits.unionByName(probed.where("NOT _maybe").select(*columns, F.lit(False).alias("listed")))

@@ -2,7 +2,7 @@ import base64
 import hashlib
 import random
 
-from tallyhouse.llm import archive, url_filter
+from tallyhouse.llm import archive, bloom, url_filter
 from tallyhouse.session import work_dir
 
 
@@ -49,7 +49,7 @@ def test_empty_archive(spark):
 
 
 def test_filter_and_exact_join(spark, monkeypatch):
-    monkeypatch.setattr(url_filter, "MAX_BLOCKS", 2)  # a filter that is far too small only lets more through
+    monkeypatch.setattr(bloom, "MAX_BLOCKS", 2)  # a filter that is far too small only lets more through
     urls = [None, "", "nothing", "HTTP://WWW.Example.com/en/x", "a://example.com/en/", "a://b.example.com/en/?q", "a://net/es/", "a://x.net/fr", "a://x.net/fr/", "a://y.org/a.html", "a://m.y.org/a/", "a://y.org/b", "a://É.org/\n?x", "x://a.com"]
     rows = [(i, u, "") for i, u in enumerate(urls + urls[9:10] * 30 + [f"a://z{i}.org/{i}" for i in range(200)])]
     listed = spark.createDataFrame([("y.org/a",), ("y.org/a",), (None,), ("",), *[(f"q{i}.org/",) for i in range(500)]], "canonical string")
