@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyhouse.llm.bloom import marked
+from tallyhouse.session import work_dir
+
 SITES = 12
 LG_K = 10
 #: Three standard errors of a sketch with 2**LG_K registers.
@@ -16,8 +19,8 @@ MARGIN = 3 * 1.04 / 2 ** (LG_K / 2)
 
 
 def line_key(line: Column) -> Column:
-    """128 bits of the line without white space at its ends, runs as one blank, A-Z lower-cased."""
-    plain = F.translate(F.trim(F.regexp_replace(line, r"[\t-\r ]+", " ")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """128 bits of the line without white space at its ends, runs as one blank; null for a blank line."""
+    plain = F.trim(F.regexp_replace(line, r"[\t-\r][ \t-\r]*| [ \t-\r]+", " "))
     return F.when(plain != "", F.struct(F.xxhash64(plain).alias("a"), F.xxhash64(F.lit(1), plain).alias("b")))
 
 
@@ -40,12 +43,19 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES, text: str = "text",
     """
     rows = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"), F.col(f"`{site}`").alias("site")).withColumn("_print", F.xxhash64("_text"))
     lines = rows.select("_key", "_print", "site", F.posexplode(F.split("_text", "\n")).alias("at", "_line")).select("_key", "_print", "site", "at", line_key(F.col("_line")).alias("line"))
+    folder = work_dir(docs.sparkSession, "lines")  # three steps read the keys, and no step but the last the texts
+    lines.where("line IS NOT NULL").write.parquet(f"{folder}/lines")
+    lines = docs.sparkSession.read.parquet(f"{folder}/lines")
     bad = spread(lines.select("line", "site"), sites)
     salts = 8  # a line may stand in a third of all documents
     bad = bad.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    found = lines.where("line IS NOT NULL").withColumn("_salt", F.pmod(F.xxhash64("_key", "at"), F.lit(salts)).cast("int")).join(bad.hint("merge"), ["line", "_salt"], "left_semi")
-    gone = found.groupBy(F.col("_key").alias("_same"), F.col("_print").alias("_alike")).agg(F.collect_set("at").alias("_gone"))
-    joined = rows.join(gone, F.col("_key").eqNullSafe(F.col("_same")) & (F.col("_print") == F.col("_alike")), "left")
+    found = lines.withColumn("_salt", F.pmod(F.xxhash64("_key", "at"), F.lit(salts)).cast("int")).join(bad.hint("merge"), ["line", "_salt"], "left_semi")
+    found.groupBy(F.col("_key").alias("_same"), F.col("_print").alias("_alike")).agg(F.collect_set("at").alias("_gone")).withColumn("_row", F.xxhash64("_same", "_alike")).write.parquet(f"{folder}/gone")
+    gone = docs.sparkSession.read.parquet(f"{folder}/gone")
+    # texts that lose no line stay where they are
+    probed = marked(rows.withColumn("_row", F.xxhash64("_key", "_print")), gone, "_row", "_maybe")
     parts = F.split("_text", "\n")
+    hit = probed.where("_maybe").join(gone.drop("_row"), F.col("_key").eqNullSafe(F.col("_same")) & (F.col("_print") == F.col("_alike")), "left")
     kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n"))
-    return joined.select(F.col("_key").alias(key), F.size(parts).cast("long").alias("lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("removed"), kept.alias("clean")).withColumn("removed", F.greatest(F.col("removed"), F.lit(0)).cast("long"))
+    out = lambda removed, clean: [F.col("_key").alias(key), F.size(parts).cast("long").alias("lines"), removed.cast("long").alias("removed"), clean.alias("clean")]
+    return hit.select(*out(F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")), kept)).unionByName(probed.where("NOT _maybe").select(*out(F.lit(0), F.col("_text"))))

@@ -104,7 +104,7 @@ SELECT page_id, host, path, rule, CASE {' '.join(f"WHEN rule = '{h}{p}' THEN '{v
 WITH numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source FROM documents),
 split AS (SELECT r, doc_id, source, string_split(text, chr(10)) AS parts FROM numbered),
 lines AS (SELECT r, source, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS nth FROM split),
-plain AS (SELECT *, translate(trim(regexp_replace(line, '[ \t\\n\\v\\f\\r]+', ' ', 'g'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+plain AS (SELECT *, trim(regexp_replace(line, '[ \t\\n\\v\\f\\r]+', ' ', 'g'), ' ') AS key FROM lines),
 bad AS (SELECT key FROM plain WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= {line_dedup.SITES}),
 cleaned AS (SELECT r, count(*) AS lines, count(*) FILTER (WHERE key IN (SELECT key FROM bad)) AS removed, coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (WHERE key NOT IN (SELECT key FROM bad)), '') AS clean FROM plain GROUP BY r)
 SELECT doc_id, c.lines, removed, sha256(clean) AS clean_sha256 FROM split JOIN cleaned c USING (r)""",
