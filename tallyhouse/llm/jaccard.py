@@ -93,11 +93,42 @@ def cells(flat: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarra
     return out[order].view(np.int64), np.searchsorted(owner[order], np.arange(len(n) + 1))
 
 
-def sketches(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """``BITS`` parities of each set, as bytes: two sketches differ in at most as many bits as the sets in shingles."""
-    n = len(bounds) - 1
-    at = np.repeat(np.arange(n), np.diff(bounds)) * BITS + (mix(flat) % np.uint64(BITS)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=n * BITS) & 1).astype(np.uint8).reshape(n, BITS), axis=1)
+def sketches(flat: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Parities of each set by hash: two sketches differ in at most as many bits as the sets in shingles.
+
+    A set has at least two bits a shingle and ``BITS``, a power of two, so a sketch folds into a shorter one by halves.
+    """
+    n = np.diff(bounds)
+    bits = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(n, 1) * 2)).astype(np.int64))
+    begin = np.cumsum(bits) - bits
+    doc = np.repeat(np.arange(len(n)), n)
+    at = begin[doc] + (mix(flat) % bits[doc].astype(np.uint64)).astype(np.int64)
+    odd = np.zeros(int(bits.sum()), bool)
+    where, times = np.unique(at, return_counts=True)
+    odd[where[times % 2 == 1]] = True
+    packed = np.packbits(odd).tobytes()
+    return [packed[a // 8 : (a + b) // 8] for a, b in zip(begin.tolist(), bits.tolist(), strict=True)]
+
+
+def folded(sketch: list[bytes], size: int) -> np.ndarray:
+    """Sketches at one length in bytes, as rows of words."""
+    out = np.zeros((len(sketch), size // 8), np.uint64)
+    lengths = np.fromiter(map(len, sketch), np.int64, len(sketch))
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        rows = np.frombuffer(b"".join(sketch[i] for i in at), np.uint64).reshape(len(at), -1, size // 8)
+        out[at] = np.bitwise_xor.reduce(rows, axis=1)
+    return out
+
+
+def distances(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Sketch distance of each pair, at the shorter length of the two."""
+    size = np.minimum(np.fromiter(map(len, left), np.int64, len(left)), np.fromiter(map(len, right), np.int64, len(right)))
+    out = np.zeros(len(left), np.int64)
+    for length in np.unique(size):
+        at = np.flatnonzero(size == length)
+        out[at] = np.bitwise_count(folded([left[i] for i in at], int(length)) ^ folded([right[i] for i in at], int(length))).sum(1)
+    return out
 
 
 def embed(docs: DataFrame, words: int, percent: int, text: str, key: str) -> DataFrame:
@@ -111,7 +142,7 @@ def embed(docs: DataFrame, words: int, percent: int, text: str, key: str) -> Dat
                 prints = [xxhash.xxh3_128_digest(flat[bounds[i] : bounds[i + 1]].tobytes()) for i in range(b - a)]
                 sketch = sketches(flat, bounds)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(np.diff(bounds), pa.int64()), pa.array(prints, pa.binary()), pa.array([r.tobytes() for r in sketch], pa.binary()), pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(of, pa.int64())),
+                    batch.column(0).slice(a, b - a), pa.array(np.diff(bounds), pa.int64()), pa.array(prints, pa.binary()), pa.array(sketch, pa.binary()), pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(of, pa.int64())),
                 ], names=["key", "n", "print", "sketch", "cells"])
 
     return docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "key long, n long, print binary, sketch binary, cells array<long>")
@@ -162,19 +193,16 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def near(left: np.ndarray, right: np.ndarray, n: np.ndarray, k: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches are so near that the sets may be linked."""
-    far = np.bitwise_count(left ^ right).sum(-1).astype(np.int64)
-    return (far <= differing(n, k, percent)) & (np.minimum(n, k) * 100 >= percent * np.maximum(n, k)), far
+def near(far: np.ndarray, n: np.ndarray, k: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches are so near, and sizes so alike, that the sets may be linked."""
+    return (far <= differing(n, k, percent)) & (np.minimum(n, k) * 100 >= percent * np.maximum(n, k))
 
 
 def close_to_pivot(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            view = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1)
-            if len(batch):
-                ok, _ = near(view("sketch_a"), view("sketch_b"), batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent)
-                yield batch.select(["a", "b"]).filter(pa.array(ok))
+            far = distances(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist())
+            yield batch.select(["a", "b"]).filter(pa.array(near(far, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent)))
 
     return run
 
@@ -185,7 +213,8 @@ def across(percent: int, most: int):
     def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
         rep, comp, n, block, home = (t.column(c).to_numpy() for c in ("rep", "component", "n", "block", "home"))
-        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(t), -1)
+        sketch = t.column("sketch").to_pylist()
+        sketch = folded(sketch, min(map(len, sketch)))
         lone = (block == block[0]).all()
         a, b, more = [], [], False
         for i in range(len(t) - 1):
@@ -196,7 +225,8 @@ def across(percent: int, most: int):
             at = np.flatnonzero(other) + i + 1
             if not len(at):
                 continue
-            ok, far = near(sketch[at], sketch[i], n[at], np.full(len(at), n[i]), percent)
+            far = np.bitwise_count(sketch[at] ^ sketch[i]).sum(1).astype(np.int64)
+            ok = near(far, n[at], np.full(len(at), n[i]), percent)
             at, far = at[ok], far[ok]
             order = np.lexsort((rep[at], far, comp[at]))
             at = at[order]
@@ -297,14 +327,12 @@ def grouped(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     small = members.where(F.col("size") <= BLOCK).select("cell", "rep", "component", "n", "sketch", "size", F.lit(0).cast("long").alias("ring"), F.lit(True).alias("home"))
     large = members.where(F.col("size") > BLOCK).join(pivots, "pivot")
 
-    def distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                view = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1)
-                far = np.bitwise_count(view("sketch") ^ view("sketch_pivot")).sum(1).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("cell", "rep", "component", "n", "sketch", "size")], pa.array(far)], names=["cell", "rep", "component", "n", "sketch", "size", "far"])
+            far = distances(batch.column("sketch").to_pylist(), batch.column("sketch_pivot").to_pylist())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("cell", "rep", "component", "n", "sketch", "size")], pa.array(far)], names=["cell", "rep", "component", "n", "sketch", "size", "far"])
 
-    far = large.select("cell", "rep", "component", "n", "sketch", "size", "sketch_pivot").mapInArrow(distances, "cell long, rep long, component long, n long, sketch binary, size long, far long")
+    far = large.select("cell", "rep", "component", "n", "sketch", "size", "sketch_pivot").mapInArrow(measured, "cell long, rep long, component long, n long, sketch binary, size long, far long")
     # no pair of the cell is linked over more than this sketch distance
     width = far.groupBy("cell").agg(F.greatest(F.lit(1), F.expr(f"(100 - {percent}) * 2 * max(n) div (100 + {percent})")).alias("width"))
     ring = (F.col("far") / F.col("width")).cast("long")
