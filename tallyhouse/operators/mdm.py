@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.config import SURVIVORSHIP, Survivorship
@@ -13,7 +15,7 @@ def source_rank(path: Column, order: tuple[str, ...]) -> Column:
     """Position of the source named in a file path, 99 if it is not listed."""
     rank = None
     for i, name in enumerate(order, 1):
-        hit = path.contains(name)
+        hit = path.rlike(f"(?<![0-9A-Za-z_]){re.escape(name)}(?![0-9A-Za-z_])")  # customers_10 is not customers_1
         rank = F.when(hit, i) if rank is None else rank.when(hit, i)
     return F.lit(UNKNOWN_RANK) if rank is None else rank.otherwise(UNKNOWN_RANK)
 
@@ -31,7 +33,7 @@ def golden_record(
     * ``most_recent``: value of the latest load, then the best-ranked source
     * ``most_complete``: first value that is not NULL by source rank
 
-    Columns that share a strategy come from the same row. All strategies are ``min_by``
+    Columns that share a strategy and an order of sources come from the same row. All strategies are ``min_by``
     aggregates of one grouping: rows are reduced map-side before the only shuffle, however
     many copies a key has. Remaining ties go to the smaller source name, then smaller value.
     """
@@ -39,17 +41,22 @@ def golden_record(
     rank = source_rank(F.col(source), order)
     # newest first under an ascending order
     age = -F.unix_micros(F.col(loaded).cast("timestamp"))
+    priority: dict[tuple[str, ...], list[str]] = {}
+    for r in rules:
+        if r.strategy == "source_priority":
+            priority.setdefault(r.source_priority_order or order, []).append(r.canonical_column)
+    rank_of = {r.canonical_column: source_rank(F.col(source), r.source_priority_order or order) for r in rules}
     columns = {s: [r.canonical_column for r in rules if r.strategy == s] for s in ("source_priority", "most_recent", "most_complete")}
     aggs = []
-    if columns["source_priority"]:
-        row = F.struct(*columns["source_priority"])
-        aggs.append(F.min_by(row, F.struct(rank, F.col(source), row)).alias("_p"))
+    for i, names in enumerate(priority.values()):
+        row = F.struct(*names)
+        aggs.append(F.min_by(row, F.struct(rank_of[names[0]], F.col(source), row)).alias(f"_p{i}"))
     recent = F.struct(*columns["most_recent"], loaded)
     aggs.append(F.min_by(recent, F.struct(age, rank, F.col(source), recent)).alias("_r"))
     for c in columns["most_complete"]:
-        aggs.append(F.min_by(F.col(c), F.struct(F.col(c).isNull(), rank, F.col(source), F.col(c))).alias(f"_c_{c}"))
+        aggs.append(F.min_by(F.col(c), F.struct(F.col(c).isNull(), rank_of[c], F.col(source), F.col(c))).alias(f"_c_{c}"))
     picked = df.groupBy(key).agg(*aggs)
-    where = {c: f"_p.{c}" for c in columns["source_priority"]}
+    where = {c: f"_p{i}.{c}" for i, names in enumerate(priority.values()) for c in names}
     where |= {c: f"_r.{c}" for c in columns["most_recent"]}
     where |= {c: f"_c_{c}" for c in columns["most_complete"]}
     ordered = [c for c in df.columns if c in where]

@@ -111,19 +111,7 @@ def top_category(categories: Column) -> Column:
     return F.get(F.split(categories, ","), F.lit(0))
 
 
-# Products with more sales than this get their median from price buckets.
-MAX_SALES = 100_000
-
-# lower and upper middle value of a group, exact
-MEDIAN = ("percentile_disc(0.5) WITHIN GROUP (ORDER BY lp)", "percentile_disc(0.5) WITHIN GROUP (ORDER BY lp DESC)")
-
-
-def _median() -> Column:
-    low, high = (F.expr(m).cast("decimal(18,8)") for m in MEDIAN)
-    return F.round((low + high) / 2, 2).alias("median_list_price")
-
-
-def _median_by_bucket(lines: DataFrame) -> DataFrame:
+def median_list_price(lines: DataFrame) -> DataFrame:
     """Exact median list price per product without holding the prices of a product.
 
     Prices are counted per product and value first; the median is then read off the running
@@ -146,32 +134,17 @@ def _median_by_bucket(lines: DataFrame) -> DataFrame:
         F.round((F.max(F.when(hit(lo), F.col("lp"))) + F.max(F.when(hit(hi), F.col("lp")))) / 2, 2).alias("median_list_price"))
 
 
-def median_list_price(lines: DataFrame, max_sales: int = MAX_SALES) -> DataFrame:
-    """Exact median list price per product, by aggregate for products of bounded size, by bucket for larger ones."""
-    heavy = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_sales).select("product_id")
-    if heavy.isEmpty():
-        return lines.groupBy("product_id").agg(_median())
-    light = lines.join(heavy, "product_id", "left_anti").groupBy("product_id").agg(_median())
-    return light.unionByName(_median_by_bucket(lines.join(heavy, "product_id", "left_semi")))
-
-
-def product_economics(lines: DataFrame, products: DataFrame, max_sales: int = MAX_SALES) -> DataFrame:
+def product_economics(lines: DataFrame, products: DataFrame) -> DataFrame:
     """List price, discount, margin and volume per product.
 
-    The exact median holds the prices of a product in memory. So the largest number of sales
-    is looked up first, by a small job when this is called: if it is bounded, everything is
-    one aggregation, else medians are computed on their own.
+    Medians are computed on their own from counted prices, so no product's prices are held in memory.
     """
     priced = priced_lines(lines)
     wanted = [
         "txns", "total_units", "min_list_price", "max_list_price", "avg_unit_price", "avg_discount_pct", "max_discount_pct",
         "total_revenue", "total_profit", "avg_unit_profit", "margin_pct"]
     measures = [F.min("lp").alias("lo"), F.max("lp").alias("hi"), *[MEASURES[m]().alias(m) for m in wanted]]
-    largest = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= max_sales:
-        per = priced.groupBy("product_id").agg(*measures, _median())
-    else:
-        per = priced.groupBy("product_id").agg(*measures).join(median_list_price(priced, max_sales), "product_id", "left")
+    per = priced.groupBy("product_id").agg(*measures).join(median_list_price(priced), "product_id", "left")
     named = products.select("product_id", "product_name", "brand", top_category(F.col("categories")).alias("top_category"))
     return (
         per.join(named, "product_id")

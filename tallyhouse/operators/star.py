@@ -102,8 +102,6 @@ def fact_sales(transactions: DataFrame, orders: DataFrame, customers: DataFrame,
 
 # --- returns ----------------------------------------------------------------------------------
 
-# Orders with more lines than this are matched by sorting instead of by array.
-MAX_ARRAY = 1000
 # Width of a price bucket within such an order.
 BUCKET = 16
 
@@ -118,14 +116,8 @@ def _line(transactions: DataFrame) -> Column:
     return F.struct("product_id", "sales", *[c for c in ("vendor_id",) if c in transactions.columns]).alias("line")
 
 
-def candidate_lines(transactions: DataFrame) -> DataFrame:
-    """Lines of an order as one array. Only for orders known to be short (see ``MAX_ARRAY``)."""
-    return transactions.select("order_id", _rank_price(transactions), _line(transactions)).groupBy("order_id").agg(
-        F.collect_list(F.struct("price", "line")).alias("candidates"))
-
-
 def price_points(transactions: DataFrame) -> DataFrame:
-    """Lines of an order reduced to its distinct prices, for orders of any length.
+    """Lines of an order reduced to its distinct prices.
 
     ``order_id, price``, the first line at that price and how many priced lines share it.
     """
@@ -133,10 +125,6 @@ def price_points(transactions: DataFrame) -> DataFrame:
         F.min("line").alias("line"), F.count("line.sales").alias("lines"))
 
 
-def large_orders(transactions: DataFrame, max_array: int = MAX_ARRAY) -> DataFrame:
-    return transactions.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_array).select("order_id")
-
-
 def match_confidence(has_lines: Column, same_price: Column) -> Column:
     return (
         F.when(~F.coalesce(has_lines, F.lit(False)), "ORPHAN")
@@ -146,22 +134,6 @@ def match_confidence(has_lines: Column, same_price: Column) -> Column:
     )
 
 
-def _match_by_array(returns: DataFrame, transactions: DataFrame) -> DataFrame:
-    tolerance = F.lit(EXACT_MATCH_TOLERANCE).cast("decimal(3,2)")
-    zero = F.lit(0).cast(returns.schema["refund_amount"].dataType)
-    refund = F.col("refund_amount")
-    ranked = F.transform(
-        "candidates",
-        lambda c: F.struct(F.abs(c["price"] - F.coalesce(refund, zero)).alias("gap"), c["line"].alias("line")),
-    )
-    same = F.size(F.filter("candidates", lambda c: F.abs(c["line"]["sales"] - refund) < tolerance)).cast("bigint")
-    return (
-        returns.join(candidate_lines(transactions), "order_id", "left")
-        .withColumns({"_line": F.array_min(ranked)["line"], "_same": same, "_has": F.col("candidates").isNotNull()})
-        .drop("candidates")
-    )
-
-
 def _match_by_sorting(returns: DataFrame, transactions: DataFrame) -> DataFrame:
     """Nearest price for orders of any size, without pairing returns with lines.
 
@@ -222,24 +194,17 @@ def _match_by_sorting(returns: DataFrame, transactions: DataFrame) -> DataFrame:
     )
 
 
-def match_returns(returns: DataFrame, transactions: DataFrame, max_array: int = MAX_ARRAY) -> DataFrame:
+def match_returns(returns: DataFrame, transactions: DataFrame) -> DataFrame:
     """Find the returned line: the one whose price is nearest to the refund.
 
     Ties go to the smaller product. Adds ``product_id``, ``original_sales``,
     ``match_confidence`` (and ``vendor_id`` when lines carry it).
 
-    Whether any order has more than ``max_array`` lines is counted first, by a small job when
-    this is called. If none has, every order fits a bounded array. Large orders take the
-    sorting path, so no order is ever gathered whole or paired with itself.
+    Only lines of returned orders take part. Prices are sorted per order and bucket, so no order
+    is gathered whole, whatever its length, and no job runs when this is called.
     """
-    large = large_orders(transactions, max_array)
-    if large.isEmpty():
-        matched = _match_by_array(returns, transactions)
-    else:
-        matched = _match_by_array(
-            returns.join(large, "order_id", "left_anti"), transactions.join(large, "order_id", "left_anti")
-        ).unionByName(_match_by_sorting(
-            returns.join(large, "order_id", "left_semi"), transactions.join(large, "order_id", "left_semi")))
+    wanted = returns.select("order_id").distinct()
+    matched = _match_by_sorting(returns, transactions.join(wanted, "order_id", "left_semi"))
     vendor = [F.col("_line.vendor_id").alias("vendor_id")] if "vendor_id" in transactions.columns else []
     return matched.select(
         *returns.columns, "_line.product_id", F.col("_line.sales").alias("original_sales"), *vendor,

@@ -82,8 +82,8 @@ CONTRACT_SQL = f"""
     SELECT file_name, entity, file_path, CASE WHEN min_ok AND key_ok AND req_ok THEN 'PASS' ELSE 'WARN' END AS status, n AS data_columns,
            array_to_string(list_sort(string_split(cols, ',')), ', ') AS columns_found, CASE WHEN key_ok THEN 'PASS' ELSE 'WARN' END AS key_check,
            CASE WHEN req_ok THEN 'PASS' ELSE 'WARN' END AS required_check, CASE WHEN min_ok THEN 'PASS' ELSE 'WARN' END AS min_columns_check,
-           CASE WHEN min_ok AND key_ok AND req_ok THEN 'None' ELSE concat_ws('; ', CASE WHEN NOT min_ok THEN 'Columns ' || CAST(n AS VARCHAR) || ' < minimum ' || CAST(least_n AS VARCHAR) END,
-             CASE WHEN NOT key_ok THEN 'No key column from ' || keys END, CASE WHEN NOT req_ok THEN 'Missing required columns: ' || gone END) END AS issues
+           CASE WHEN min_ok AND key_ok AND req_ok THEN 'None' ELSE concat_ws('; ', CASE WHEN NOT min_ok THEN 'too narrow: ' || CAST(n AS VARCHAR) || ' of at least ' || CAST(least_n AS VARCHAR) || ' columns' END,
+             CASE WHEN NOT key_ok THEN 'no key among ' || keys END, CASE WHEN NOT req_ok THEN 'absent: ' || gone END) END AS issues
     FROM (SELECT *, n >= least_n AS min_ok, list_has_any(string_split(cols, ','), string_split(keys, ', ')) AS key_ok, gone = '' AS req_ok
           FROM (SELECT *, CAST(len(string_split(cols, ',')) AS INTEGER) AS n, array_to_string(list_filter(CASE WHEN req = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(req, ',') END,
                           lambda r: NOT list_contains(string_split(cols, ','), r)), ', ') AS gone

@@ -82,9 +82,9 @@ def contract_check(headers: DataFrame, contracts: tuple[Contract, ...] = CONTRAC
     verdict = lambda ok: F.when(ok, "PASS").otherwise("WARN")
     issues = F.concat_ws(
         "; ",
-        F.when(~min_ok, F.concat(F.lit("Columns "), n, F.lit(" < minimum "), F.col("c.min_cols"))),
-        F.when(~key_ok, F.concat(F.lit("No key column from "), F.array_join("c.key_variants", ", "))),
-        F.when(~req_ok, F.concat(F.lit("Missing required columns: "), F.array_join(gone, ", "))),
+        F.when(~min_ok, F.concat(F.lit("too narrow: "), n, F.lit(" of at least "), F.col("c.min_cols"), F.lit(" columns"))),
+        F.when(~key_ok, F.concat(F.lit("no key among "), F.array_join("c.key_variants", ", "))),
+        F.when(~req_ok, F.concat(F.lit("absent: "), F.array_join(gone, ", "))),
     )
     return spotted.select(
         "file_name", "c.entity", F.col("path").alias("file_path"), verdict(min_ok & key_ok & req_ok).alias("status"),

@@ -52,7 +52,7 @@ def test_contracts(spark):
     df = spark.createDataFrame(data, "path string, file_name string, columns array<string>")
     got = {r.file_name: (r.status, r.key_check, r.required_check, r.min_columns_check, r.issues) for r in ingest.contract_check(df).collect()}
     assert got["customers_1.csv"] == ("PASS", "PASS", "PASS", "PASS", "None")
-    assert got["customers_9.csv"][:4] == ("WARN", "WARN", "WARN", "WARN") and "Missing required columns: region" in got["customers_9.csv"][4]
+    assert got["customers_9.csv"][:4] == ("WARN", "WARN", "WARN", "WARN") and "absent: region" in got["customers_9.csv"][4]
     assert got["returns_1.json"][0] == "PASS" and "notes.csv" not in got
 
 
@@ -127,11 +127,13 @@ def test_nearest_is_exact(spark, parts):
     assert got == want
 
 
-def test_query_batch_is_size_checked(spark, monkeypatch):
-    monkeypatch.setattr(rt, "MAX_QUERY_BYTES", 10)
-    v = spark.createDataFrame([(1, [1.0, 2.0])], "id int, embedding array<double>")
-    with pytest.raises(ValueError):
-        rt.nearest(v, v.withColumnRenamed("id", "q"), "id", "q")
+def test_queries_are_searched_in_blocks(spark, monkeypatch):
+    rows = [(i, [float(i), float(i * i % 7)]) for i in range(30)]
+    v = spark.createDataFrame(rows, "id bigint, embedding array<float>")
+    search = lambda: sorted(tuple(r) for r in rt.nearest(v, v.withColumnRenamed("id", "q"), "id", "q", 3).collect())
+    whole = search()
+    monkeypatch.setattr(rt, "QUERY_BLOCK_BYTES", 100)
+    assert search() == whole and len(whole) == 90
 
 
 def test_embedding_is_unit_length_and_word_based(spark):
