@@ -7,9 +7,10 @@ triangle inequality says which documents a region must also receive:
 1. *Size.* The pivots are sizes in geometric order and a document's home is the region of its size. Linked sets differ in size by
    the threshold at most, so the documents within that window below a region are replicated into it.
 2. *Projections.* In a region, linked sets differ by at most ``m`` shingles. The shingles are dealt into more than
-   ``m`` classes by hash, so linked sets are equal in some class that isn't empty; the distance there is 0. Each
+   ``m`` classes by hash, so linked sets are equal in some class; the distance there is 0. Each
    distinct projection is a pivot, its Voronoi region (a cell) holds the documents with exactly this projection, and the window is
-   empty. Cells with equal members are one cell.
+   empty. A third more classes are dealt than needed and each set uses its ``m + 1`` fullest only: linked sets are still equal in one that
+   both use, and classes of one or two shingles, which unrelated documents share by chance, drop out. Cells with equal members are one cell.
 3. *Distance to a pivot document.* In a cell, the least document is the pivot. Documents linked to it need no
    comparison with each other for their component. Cells that then still hold several components are joined:
    a parity sketch maps sets into Hamming space, where distances never exceed the number of differing shingles. A large cell is cut
@@ -35,6 +36,7 @@ from tallyhouse.llm.words import mix, shingle_sets, slices
 from tallyhouse.session import work_dir
 
 RATIO = 1.5
+SPARE = 3
 BITS = 1024
 BLOCK = 1024
 
@@ -70,7 +72,7 @@ def cells(flat: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarra
         high = starts[region + 1] - 1
         m = differing(high, high, percent)
         live &= m > 0
-        k = np.where(live, m + 2 + m // 50, 0)
+        k = np.where(live, m + 2 + m // SPARE, 0)
         begin = np.cumsum(k) - k
         element = live[doc]
         d = doc[element]
@@ -78,10 +80,12 @@ def cells(flat: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarra
         total = int(k.sum())
         sums = np.zeros(total, np.uint64)
         np.add.at(sums, at, mixed[element])
-        held = np.bincount(at, minlength=total) > 0
+        held = np.bincount(at, minlength=total)
         of = np.repeat(np.arange(len(n)), k)
-        filled = np.bincount(of[held], minlength=len(n))
-        use = held | (filled <= m)[of]  # with as few filled classes, an empty one may be the only equal one
+        # by number of shingles, then place: the first of the equal classes is among the first m + 1 of both sets
+        order = np.argsort(of * (int(held.max(initial=0)) + 1) - held, kind="stable")
+        use = np.empty(total, bool)
+        use[order] = np.arange(total) - begin[of] <= m[of]
         place = (region[of].astype(np.uint64) << np.uint64(32)) + (np.arange(total) - begin[of]).astype(np.uint64)
         out.append(mix(sums + mix(place))[use])
         owner.append(of[use])
@@ -290,26 +294,28 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     links = saved(verified(tried, texts, words, percent), "links-0")
     component = components(links)
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # a pivot has met all members of its cell, so only the others are compared
+    placed = saved(grouped(saved(measured(members.where(F.col("size") > BLOCK), sketch, side("pivot")), "far"), members, percent), "placed")
     turn, most = 0, 1
     while True:
         turn += 1
-        placed = members.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = placed.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("cell")
-        groups = grouped(placed.join(mixed, "cell", "left_semi").join(sketch, "rep"), side("pivot"), percent)
+        named = placed.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        mixed = named.groupBy("cell", "ring").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("cell", "ring")
+        groups = paired(named.join(mixed, ["cell", "ring"], "left_semi")).join(sketch, "rep").select("group", "rep", "component", "n", "sketch", "block", "home")
         pairs = saved(groups.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(across(percent, most), "a long, b long").distinct(), f"pairs-{turn}")
         new = saved(pairs.where("a <> b").join(tried, ["a", "b"], "left_anti"), f"tried-{turn}")
         more = not pairs.where("a = b").isEmpty()
         if new.isEmpty():
             if not more:
                 break
-            most *= 4
+            most *= 16
             continue
         tried = tried.unionByName(new)
         fresh = saved(verified(new, texts, words, percent), f"links-{turn}")
         if fresh.isEmpty():
             if not more:
                 break
-            most *= 4
+            most *= 16
             continue
         component = components(fresh.unionByName(component.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     # copies and linked documents only; all others are their own component
@@ -322,27 +328,36 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def grouped(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """Members with the groups they are compared in: the cell, or rings around its pivot, and pairs of blocks of these."""
-    small = members.where(F.col("size") <= BLOCK).select("cell", "rep", "component", "n", "sketch", "size", F.lit(0).cast("long").alias("ring"), F.lit(True).alias("home"))
-    large = members.where(F.col("size") > BLOCK).join(pivots, "pivot")
+def measured(large: DataFrame, sketch: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Members of large cells, without the pivot, with their size and their sketch distance to it."""
 
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             far = distances(batch.column("sketch").to_pylist(), batch.column("sketch_pivot").to_pylist())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("cell", "rep", "component", "n", "sketch", "size")], pa.array(far)], names=["cell", "rep", "component", "n", "sketch", "size", "far"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("cell", "rep", "n")], pa.array(far)], names=["cell", "rep", "n", "far"])
+
+    rows = large.where("rep <> pivot").join(sketch, "rep").join(pivots, "pivot")
+    return rows.select("cell", "rep", "n", "sketch", "sketch_pivot").mapInArrow(run, "cell long, rep long, n long, far long")
+
 
-    far = large.select("cell", "rep", "component", "n", "sketch", "size", "sketch_pivot").mapInArrow(measured, "cell long, rep long, component long, n long, sketch binary, size long, far long")
+def grouped(far: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Members that are no pivots, with ring and block: cells are one ring and block, large ones rings by distance to the pivot and blocks of these."""
+    small = members.where((F.col("size") > 2) & (F.col("size") <= BLOCK) & (F.col("rep") != F.col("pivot")))
+    small = small.select("cell", "rep", F.lit(0).cast("long").alias("ring"), F.lit(True).alias("home"), F.lit(1).alias("blocks"))
     # no pair of the cell is linked over more than this sketch distance
     width = far.groupBy("cell").agg(F.greatest(F.lit(1), F.expr(f"(100 - {percent}) * 2 * max(n) div (100 + {percent})")).alias("width"))
     ring = (F.col("far") / F.col("width")).cast("long")
-    rings = far.join(width, "cell").select("cell", "rep", "component", "n", "sketch", "size", F.explode(F.array(F.struct(ring.alias("ring"), F.lit(True).alias("home")), F.struct((ring + 1).alias("ring"), F.lit(False).alias("home")))).alias("r"))
-    rings = rings.select("cell", "rep", "component", "n", "sketch", "size", "r.ring", "r.home")
-    counted = rings.groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("held"))
-    rings = rings.drop("size").join(counted, ["cell", "ring"]).withColumnRenamed("held", "size")
-    every = small.unionByName(rings).withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    every = every.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return every.select(F.xxhash64("cell", "ring", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "rep", "component", "n", "sketch", "block", "home")
+    rings = far.join(width, "cell").select("cell", "rep", F.explode(F.array(F.struct(ring.alias("ring"), F.lit(True).alias("home")), F.struct((ring + 1).alias("ring"), F.lit(False).alias("home")))).alias("r"))
+    rings = rings.select("cell", "rep", "r.ring", "r.home")
+    counted = rings.groupBy("cell", "ring").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    every = small.unionByName(rings.join(counted, ["cell", "ring"]))
+    return every.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+
+
+def paired(placed: DataFrame) -> DataFrame:
+    """Each member once for each block that its own is compared with, under one group for both."""
+    every = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return every.withColumn("group", F.xxhash64("cell", "ring", F.least("block", "other"), F.greatest("block", "other")))
 
 
 def representatives(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
