@@ -70,3 +70,22 @@ def test_one_row_of_each_group_stays(documents):
     kept = jaccard.representatives(documents([(3, text), (1, text + " more"), (2, "other words here"), (4, None), (5, "")]))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 5]
     assert kept.columns == documents([]).columns
+
+
+def test_linked_sets_share_a_cell():
+    import numpy as np
+
+    from tallyhouse.llm.jaccard import cells
+
+    rng = np.random.default_rng(7)
+    for percent in (80, 90):
+        for size in (1, 4, 9, 10, 19, 20, 50, 333, 2000):
+            for _ in range(20):
+                one = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+                lost = int(rng.integers(0, size * (100 - percent) // 100 + 1))
+                grown = int(rng.integers(0, 3)) * size // 100
+                other = np.concatenate([one[lost:], rng.integers(0, 1 << 63, grown, dtype=np.uint64)])
+                if 100 * (size - lost) < percent * (size + grown) or not (lost or grown):
+                    continue
+                found, begin = cells(np.concatenate([np.sort(one), np.sort(other)]), np.array([0, size, size + len(other)]), percent)
+                assert set(found[: begin[1]]) & set(found[begin[1] :])
