@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm.bloom import possible
-from tallyhouse.llm.components import components
+from tallyhouse.llm.components import components, files
 from tallyhouse.llm.words import mix, shingle_sets, slices
 from tallyhouse.session import work_dir
 
@@ -271,8 +271,9 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     spark, folder = docs.sparkSession, work_dir(docs.sparkSession, "jaccard")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def saved(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
+    def saved(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """``rows``: about how many rows the last, light stage of ``df`` makes, so that it doesn't write a tiny file per shuffle partition."""
+        (df if rows is None else df.coalesce(files(rows))).write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
     embedded = saved(embed(docs, words, percent, text, key), "embedded")
@@ -283,15 +284,15 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     multi = saved(found.join(same.select("rep").distinct(), "rep", "left_semi"), "multi")
     sizes = multi.groupBy("cell").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y")).where("size > 1")
     distinct_cells = sizes.groupBy("pivot", "size", "x", "y").agg(F.min("cell").alias("cell")).select("cell", "pivot", "size")
-    members = saved(multi.join(distinct_cells, "cell").distinct(), "members")
+    members = saved(multi.join(distinct_cells, "cell").distinct(), "members", multi.count())
     wanted = members.select("rep").distinct()
-    sketch = saved(real.select(F.col("key").alias("rep"), "n", "sketch").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sketches")
+    sketch = saved(real.select(F.col("key").alias("rep"), "n", "sketch").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sketches", embedded.count())
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("text"))
 
     side = lambda c: sketch.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     stars = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     tried = saved(stars.join(side("a"), "a").join(side("b"), "b").mapInArrow(close_to_pivot(percent), "a long, b long"), "tried-0")
-    links = saved(verified(tried, texts, words, percent), "links-0")
+    links = saved(verified(tried, texts, words, percent), "links-0", tried.count())
     component = components(links)
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # a pivot has met all members of its cell, so only the others are compared
@@ -302,8 +303,8 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
         named = placed.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         mixed = named.groupBy("cell", "ring").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("cell", "ring")
         groups = paired(named.join(mixed, ["cell", "ring"], "left_semi")).join(sketch, "rep").select("group", "rep", "component", "n", "sketch", "block", "home")
-        pairs = saved(groups.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(across(percent, most), "a long, b long").distinct(), f"pairs-{turn}")
-        new = saved(pairs.where("a <> b").join(tried, ["a", "b"], "left_anti"), f"tried-{turn}")
+        pairs = saved(groups.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(across(percent, most), "a long, b long").distinct(), f"pairs-{turn}", members.count())
+        new = saved(pairs.where("a <> b").join(tried, ["a", "b"], "left_anti"), f"tried-{turn}", pairs.count())
         more = not pairs.where("a = b").isEmpty()
         if new.isEmpty():
             if not more:
@@ -311,7 +312,7 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
             most *= 16
             continue
         tried = tried.unionByName(new)
-        fresh = saved(verified(new, texts, words, percent), f"links-{turn}")
+        fresh = saved(verified(new, texts, words, percent), f"links-{turn}", new.count())
         if fresh.isEmpty():
             if not more:
                 break
