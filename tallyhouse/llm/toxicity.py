@@ -94,12 +94,14 @@ def swapped(text: str) -> str | None:
     return re.sub(r"\w+", lambda m: SWAP.get(m[0].lower(), m[0]), text)
 
 
-def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds: int = 300) -> dict:
-    """Fit on rows (text, toxic); toxic is 0 or 1, rows with other labels and null texts do nothing.
+def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds: int = 300, key: str = "doc_id") -> dict:
+    """Fit on rows (key, text, toxic); toxic is 0 or 1, rows with other labels and null texts do nothing.
+
+    The key only decides by hash which rows are drawn, so a run that is repeated, whole or in part, draws the same.
 
     Without rows of both labels the model gives every text the share of toxic rows (0 if there are none).
     """
-    rows = labelled.where("toxic IN (0, 1) AND text IS NOT NULL").select("text", F.col("toxic").cast("long").alias("toxic"))
+    rows = labelled.where("toxic IN (0, 1) AND text IS NOT NULL").select("text", F.col("toxic").cast("long").alias("toxic"), F.xxhash64(*[F.col(f"`{c}`") for c in (key, "text") if c in labelled.columns]).alias("at"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, place = np.zeros((2, BUCKETS + 1), np.int64), np.arange(BUCKETS)
@@ -112,7 +114,7 @@ def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds:
         at = np.flatnonzero(found.sum(0) > 0)
         yield pa.RecordBatch.from_pydict({"bucket": at.astype(np.int64), "clean": found[0, at], "toxic": found[1, at]})
 
-    counts = rows.mapInArrow(count, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()  # at most BUCKETS rows
+    counts = rows.select("text", "toxic").mapInArrow(count, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()  # at most BUCKETS rows
     total = counts[counts.bucket == BUCKETS]
     clean, toxic = (int(total.clean.iloc[0]), int(total.toxic.iloc[0])) if len(total) else (0, 0)
     base = toxic / max(1, clean + toxic)
@@ -136,11 +138,11 @@ def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds:
                 other = [swapped(t) for t in texts.to_pylist()]
                 (r, f), (s, g) = present(texts, place), present(pa.array(other, pa.string()), place)
                 cut, cut2 = np.searchsorted(r, np.arange(b - a + 1)), np.searchsorted(s, np.arange(b - a + 1))
-                yield pa.RecordBatch.from_arrays([pa.array([f[cut[i] : cut[i + 1]] for i in range(b - a)], pa.list_(pa.int64())), pa.array([None if other[i] is None else g[cut2[i] : cut2[i + 1]] for i in range(b - a)], pa.list_(pa.int64())), batch.column(1).slice(a, b - a)], names=["own", "other", "toxic"])
+                yield pa.RecordBatch.from_arrays([pa.array([f[cut[i] : cut[i + 1]] for i in range(b - a)], pa.list_(pa.int64())), pa.array([None if other[i] is None else g[cut2[i] : cut2[i + 1]] for i in range(b - a)], pa.list_(pa.int64())), batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a)], names=["own", "other", "toxic", "at"])
 
     # SAMPLE rows in expectation, whatever the table's size; copies of a text are drawn one by one
-    drawn = rows.sample(min(1.0, SAMPLE / (clean + toxic)), seed=7)
-    got = drawn.mapInArrow(features, "own array<long>, other array<long>, toxic long").toPandas()
+    drawn = rows.where(F.pmod("at", F.lit(1 << 30)) < int(min(1.0, SAMPLE / (clean + toxic)) * (1 << 30)))
+    got = drawn.mapInArrow(features, "own array<long>, other array<long>, toxic long, at long").toPandas().sort_values("at", kind="stable")
     weights, bias = fit(list(got.own), list(got.other), got.toxic.to_numpy(float), len(buckets), weight, prior, rounds)
     return {"buckets": buckets, "weights": weights, "bias": bias}
 
