@@ -28,18 +28,31 @@ class MetricView:
 
 
 def metric_query(
-    view: MetricView, dims: list[str], measures: list[str], where: Column | None = None, order_by: str | None = None
+    view: MetricView, dims: list[str], measures: list[str], where: Column | None = None, order_by: str | None = None, filters: dict[str, object] | None = None
 ) -> DataFrame:
-    """``measures`` per combination of ``dims``; unknown names are an error."""
-    for name in [*dims, *measures]:
-        if name not in view.dimensions and name not in view.measures:
+    """``measures`` per combination of ``dims``; unknown names are an error.
+
+    ``filters`` keeps rows by dimension, selected or not, before they are aggregated: a value, a list of values, None for
+    NULL, or a function from the dimension to a condition. ``where`` is a condition on columns of the source.
+    """
+    filters = filters or {}
+    for name in [*dims, *measures, *filters]:
+        if name not in view.dimensions and (name in filters or name not in view.measures):
             raise KeyError(f"{name} is not part of this metric view")
     df = view.source
-    for join in dict.fromkeys(view.needs[n] for n in [*dims, *measures] if n in view.needs):
+    for join in dict.fromkeys(view.needs[n] for n in [*dims, *measures, *filters] if n in view.needs):
         other, key = view.joins[join]
         df = df.join(other, key, "left")
     if where is not None:
         df = df.where(where)
+    for name, wanted in filters.items():
+        c = view.dimensions[name]()
+        if callable(wanted):
+            df = df.where(wanted(c))
+        elif wanted is None:
+            df = df.where(c.isNull())
+        else:
+            df = df.where(c.isin(*wanted) if isinstance(wanted, list | tuple | set) else c == F.lit(wanted))
     out = df.groupBy(*[view.dimensions[d]().alias(d) for d in dims]).agg(*[view.measures[m]().alias(m) for m in measures])
     return out.orderBy(F.col(order_by).desc(), *dims) if order_by else out
 

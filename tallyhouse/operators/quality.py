@@ -262,18 +262,18 @@ def column_profile(df: DataFrame, entity: str, k: int = 5) -> DataFrame:
     )
 
 
-def discover_issues(df: DataFrame, entity: str, rare_share: float = 0.02, category_limit: int = 20) -> DataFrame:
+def discover_issues(df: DataFrame, entity: str, rare_share: float = 0.02, most_rare: float = 0.25) -> DataFrame:
     """Findings beyond the configured rules, from the distinct values of each column.
 
     Detectors: placeholder texts, currency signs among plain numbers, two date layouts in one
-    column, stray blanks around values, and rare values of a column with few values.
+    column, stray blanks around values, and rare values (below ``rare_share`` of the rows) of a column that is mostly
+    frequent ones (rare values together have at most ``most_rare`` of the rows).
     """
     values = column_values(df, entity).where(F.col("value").isNotNull())
     v, n = F.col("value"), F.col("n")
     total = lambda cond: F.sum(F.when(cond, n).otherwise(0))
     stats = values.groupBy("entity", "column_name").agg(
         F.sum(n).alias("rows"),
-        F.count(F.lit(1)).alias("kinds"),
         total(F.trim(v).isin("?", "NULL", "n/a", "N/A", "")).alias("placeholder_n"),
         total(v.rlike(r"^\$-?[0-9]")).alias("money_n"),
         total(v.rlike(r"^-?[0-9]+(\.[0-9]+)?$")).alias("number_n"),
@@ -294,9 +294,9 @@ def discover_issues(df: DataFrame, entity: str, rare_share: float = 0.02, catego
     ]
     by_column = stats.withColumn("f", F.explode(F.array_compact(F.array(*checks)))).select("entity", "column_name", "f.*")
     rare = (
-        values.join(stats.where(c("kinds") <= category_limit).select("column_name", "rows", "kinds"), "column_name")
-        .where(n < F.lit(rare_share) * c("rows"))
-        .groupBy("entity", "column_name").agg(F.sum(n).cast("bigint").alias("hits"))
+        values.join(stats.select("column_name", "rows"), "column_name")
+        .groupBy("entity", "column_name").agg(F.sum(F.when(n < F.lit(rare_share) * c("rows"), n).otherwise(0)).cast("bigint").alias("hits"), F.sum(n).alias("all"))
+        .where((c("hits") > 0) & (c("hits") <= F.lit(most_rare) * c("all")))
         .select("entity", "column_name", F.lit("suspicious_distribution").alias("issue_type"), F.lit("WARNING").alias("severity"), "hits",
                 F.concat(name, F.lit(" within its frequent values")).alias("suggested_rule"))
     )

@@ -107,8 +107,8 @@ def folder_load(t):
     root = work_dir(t.spark, "folder")
     write_return_files(t, root)
     parts = None
-    for name, entry in (("returns_1", f"{root}/returns_1"), ("returns_2", f"{root}/returns_2")):
-        one = ingest.ingest_json(t.spark, entry, multi_line=False).agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
+    for name, rows in ingest.load_folder(t.spark, root, multi_line=False).items():
+        one = rows.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
         parts = one if parts is None else parts.unionByName(one)
     return parts
 
@@ -120,7 +120,8 @@ def table_reads(t):
 
     root = work_dir(t.spark, "table")
     run_append(file_stream(t.spark, t.dir, "orders.parquet"), f"{root}/orders", f"{root}/checkpoint")
-    return t.spark.read.parquet(f"{root}/orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("row_count"))
+    t.spark.read.parquet(f"{root}/orders").createOrReplaceTempView("streamed_orders")
+    return ingest.read_table(t.spark, "streamed_orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query("src_11_config_seed", "SELECT e.entity, r.n AS rules, m.n AS mappings, e.row_count FROM (" + " UNION ALL ".join(

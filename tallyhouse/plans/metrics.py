@@ -18,7 +18,14 @@ def any_dimensions(t):
     return mv.metric_query(view, ["segment", "payment_type"], REVENUE, where=F.col("payment_type") != "voucher", order_by="total_revenue")
 
 
-@query("met_2_revenue_by_region", f"SELECT region, {REVENUE_SQL} FROM g_sales GROUP BY 1")
+@query("met_1_unselected_filters", f"SELECT payment_type, {REVENUE_SQL} FROM g_sales WHERE quarter(day) IN (1, 2) AND region IS NOT NULL GROUP BY 1")
+def unselected_filters(t):
+    """Filters on two dimensions that the result doesn't show; one of them needs a join."""
+    view = mv.revenue_view(common.sales(t), t.customers)
+    return mv.metric_query(view, ["payment_type"], REVENUE, filters={"quarter": [1, 2], "region": lambda c: c.isNotNull()})
+
+
+@query("met_2_revenue_by_region",f"SELECT region, {REVENUE_SQL} FROM g_sales GROUP BY 1")
 def revenue_by_region(t):
     return mv.metric_query(mv.revenue_view(common.sales(t), t.customers), ["region"], REVENUE, order_by="total_revenue")
 

@@ -174,8 +174,8 @@ DISCOVERY_SQL = f"""
     UNION ALL SELECT column_name, 'format_inconsistency', 'WARNING', CAST(least(money, num) AS BIGINT) FROM stats WHERE money > 0 AND num > 0
     UNION ALL SELECT column_name, 'format_inconsistency', 'CRITICAL', CAST(least(iso, us) AS BIGINT) FROM stats WHERE iso > 0 AND us > 0
     UNION ALL SELECT column_name, 'encoding_issue', 'WARNING', CAST(blank AS BIGINT) FROM stats WHERE blank > 0
-    UNION ALL SELECT c.column_name, 'suspicious_distribution', 'WARNING', CAST(sum(c.n) AS BIGINT) FROM cells c JOIN stats s ON c.column_name = s.column_name
-        WHERE s.kinds <= 20 AND c.n < CAST(0.02 AS DOUBLE) * s.total GROUP BY 1"""
+    UNION ALL SELECT * FROM (SELECT c.column_name, 'suspicious_distribution', 'WARNING', CAST(sum(CASE WHEN c.n < CAST(0.02 AS DOUBLE) * s.total THEN c.n ELSE 0 END) AS BIGINT) AS rare
+        FROM cells c JOIN stats s ON c.column_name = s.column_name GROUP BY 1, s.total HAVING rare > 0 AND rare * 4 <= s.total) r"""
 
 
 @query("dq_13_discovered_issues", DISCOVERY_SQL)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import io
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,15 +38,27 @@ def _first_line(path: str) -> str:
     if path.startswith("file:"):
         system, name = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     else:
-        system, name = fs.FileSystem.from_uri(quote(path, safe=":/@"))
-    line = b""
+        scheme, rest = path.split(":", 1)
+        system, name = fs.FileSystem.from_uri(quote(f"{SCHEMES.get(scheme, scheme)}:{rest}", safe=":/@"))
+    text, end = b"", None
     with system.open_input_stream(name) as stream:
-        while b"\n" not in line:
+        while end is None:
             part = stream.read(8192)
-            if not part:
-                break
-            line += part
-    return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+            text += part
+            end = _line_end(text) if part else len(text)
+    return text[:end].decode("utf-8-sig").rstrip("\r")
+
+
+#: Names of one store under Spark's connectors, and the one that the header reader knows.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def _line_end(text: bytes) -> int | None:
+    """Where the first line break outside quotes is."""
+    at = text.find(b"\n")
+    while at >= 0 and text.count(b'"', 0, at) % 2:
+        at = text.find(b"\n", at + 1)
+    return at if at >= 0 else None
 
 
 def csv_headers(files: DataFrame) -> DataFrame:
@@ -53,7 +67,7 @@ def csv_headers(files: DataFrame) -> DataFrame:
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            names = [next(csv.reader([_first_line(p)]), []) for p in frame["path"]]
+            names = [next(csv.reader(io.StringIO(_first_line(p), newline="")), []) for p in frame["path"]]
             yield frame.assign(columns=pd.Series(names, index=frame.index, dtype=object))
 
     return files.mapInPandas(scan, schema)
@@ -137,21 +151,31 @@ def ingest_json(spark: SparkSession, path: str, glob: str = "*.json", schema: T.
     return sanitize_columns(with_lineage((reader.schema(schema) if schema else reader).json(path)))
 
 
-def load_folder(spark: SparkSession, path: str, database: str | None = None) -> dict[str, DataFrame]:
-    """One frame per CSV or JSON entry directly below a folder, saved as tables on request."""
-    found: dict[str, list[str]] = {}
-    root = path.rstrip("/")
-    for row in discover(spark, root).select("path").collect():
-        inner = row["path"].split(root.split("/")[-1] + "/", 1)[-1]
-        entry = inner.split("/")[0]
-        if row["path"].endswith((".csv", ".json")):
-            found.setdefault(entry.rsplit(".", 1)[0], []).append(row["path"])
-    frames = {}
-    for name, paths in sorted(found.items()):
-        if paths[0].endswith(".csv"):
-            frames[name] = spark.read.option("header", "true").csv(paths)
+def _plain(path: str) -> str:
+    """A path without scheme, with one leading slash."""
+    return "/" + re.sub(r"^[A-Za-z][\w+.-]*:", "", path).strip("/")
+
+
+def load_folder(spark: SparkSession, path: str, database: str | None = None, multi_line: bool = True) -> dict[str, DataFrame]:
+    """One frame per file or folder directly below a folder, by name without extension; saved as tables on request.
+
+    CSV files of an entry meet by column name, whatever the order of their columns; JSON files of the same entry join
+    them by name. Other files are left out.
+    """
+    inner = F.element_at(F.split(F.regexp_replace("path", r"^[A-Za-z][\w+.-]*:/*", "/"), re.escape(_plain(path) + "/"), 2), -1)
+    entry = F.regexp_replace(F.substring_index(inner, "/", 1), r"\.(csv|json)$", "")
+    files = discover(spark, path).withColumns({"entry": entry, "kind": F.regexp_extract("path", r"\.(csv|json)$", 1)}).where("kind <> ''")
+    found: dict[str, dict[str, DataFrame]] = {}
+    for name, kind in sorted(tuple(r) for r in files.select("entry", "kind").distinct().collect()):
+        own = files.where((F.col("entry") == name) & (F.col("kind") == kind)).select("path")
+        if kind == "csv":
+            frame = read_csv_files(csv_headers(own)).drop("source_file", "load_timestamp")
         else:
-            frames[name] = spark.read.option("multiLine", "true").json(paths)
+            frame = spark.read.option("multiLine", str(multi_line).lower()).json([r["path"] for r in own.collect()])
+        found.setdefault(name, {})[kind] = frame
+    frames = {}
+    for name, kinds in found.items():
+        frames[name] = next(iter(kinds.values())) if len(kinds) == 1 else kinds["csv"].unionByName(kinds["json"], allowMissingColumns=True)
         if database:
             frames[name].write.mode("overwrite").saveAsTable(f"{database}.{name}")
     return frames
@@ -170,6 +194,12 @@ def rescue(df: DataFrame, known: list[str], out: str = "_rescued_data") -> DataF
 # --- incremental loads -------------------------------------------------------------------------
 
 
+def _new_files(spark: SparkSession, path: str, glob: str, files_per_trigger: int) -> DataFrame:
+    """A stream of the paths of new files; contents are not read."""
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    return files.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_trigger).load(path).select("path")
+
+
 def ingest_csv_stream(spark: SparkSession, path: str, target: str, checkpoint: str, glob: str = "*.csv", files_per_trigger: int = FILES_PER_TRIGGER) -> None:
     """Load files that have not been loaded before, whatever their layout, and stop.
 
@@ -177,28 +207,35 @@ def ingest_csv_stream(spark: SparkSession, path: str, target: str, checkpoint: s
     is repeated after a failure overwrites its own folder, so nothing is loaded twice. Columns
     that turn up later simply appear in the later files of the table.
     """
-    names = (
-        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", files_per_trigger).load(path).select("path")
-    )
 
     def load(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             read_csv_files(csv_headers(batch)).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    names.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    _new_files(spark, path, glob, files_per_trigger).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def ingest_json_stream(spark: SparkSession, path: str, target: str, checkpoint: str, schema: T.StructType | str, glob: str = "*.json", multi_line: bool = True) -> None:
-    """Append new JSON files to a Parquet table and stop."""
-    raw = (
-        spark.readStream.schema(schema).option("multiLine", str(multi_line).lower()).option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob).json(path)
-    )
-    (
-        sanitize_columns(with_lineage(raw)).writeStream.format("parquet").option("path", target)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    )
+def ingest_json_stream(
+    spark: SparkSession, path: str, target: str, checkpoint: str, schema: T.StructType | str | None = None, glob: str = "*.json", multi_line: bool = True,
+    files_per_trigger: int = FILES_PER_TRIGGER,
+) -> None:
+    """Load JSON files that have not been loaded before, whatever their fields, and stop.
+
+    Fields of ``schema`` have its types; all other fields that a batch's files hold are kept too, single values as text, so
+    that batches agree. As with CSV, a repeated batch overwrites its own folder.
+    """
+    given = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema or T.StructType()
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in batch.collect()]  # at most files_per_trigger
+        if not paths:
+            return
+        reader = spark.read.option("multiLine", str(multi_line).lower()).option("primitivesAsString", "true")
+        more = [f for f in reader.json(paths).schema if f.name not in given.names]
+        rows = reader.schema(T.StructType([*given, *more])).json(paths)
+        sanitize_columns(with_lineage(rows)).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    _new_files(spark, path, glob, files_per_trigger).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def read_table(spark: SparkSession, name: str, stream: bool = False) -> DataFrame:

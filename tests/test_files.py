@@ -76,6 +76,32 @@ def test_load_folder(spark, tmp_path):
     assert {n: d.columns for n, d in frames.items()} == {"a": ["x", "y"], "b": ["z"]}
 
 
+def test_load_folder_names_entries_by_the_whole_root_and_columns_by_name(spark, tmp_path, rows):
+    root = tmp_path / "data/data"
+    write(root, "x.csv", "a,b\n1,2\n")
+    write(root, "y.csv", "c\n3\n")
+    write(root, "places/1.csv", "city,state\nFresno,CA\n")
+    write(root, "places/2.csv", "state,city\nTX,Austin\n")
+    write(root, "places/3.json", '[{"city": "Reno"}]')
+    frames = ingest.load_folder(spark, str(root))
+    assert {n: sorted(d.columns) for n, d in frames.items()} == {"places": ["city", "state"], "x": ["a", "b"], "y": ["c"]}
+    assert rows(frames["places"], "city", "state") == [("Austin", "TX"), ("Fresno", "CA"), ("Reno", None)]
+
+
+def test_json_stream_keeps_fields_outside_the_schema(spark, tmp_path, rows):
+    raw, out, mark = tmp_path / "raw", str(tmp_path / "o"), str(tmp_path / "c")
+    write(raw, "1.json", '[{"id": 1, "a": "x"}]')
+    ingest.ingest_json_stream(spark, str(raw), out, mark, "id long, a string")
+    write(raw, "2.json", '[{"id": 2, "extra_new": 5}]')
+    ingest.ingest_json_stream(spark, str(raw), out, mark, "id long, a string")
+    assert rows(ingest.read_bronze(spark, out), "id", "a", "extra_new") == [(1, "x", None), (2, None, "5")]
+
+
+def test_quoted_header_with_a_line_break(spark, tmp_path):
+    write(tmp_path, "q.csv", '"first\nname",b\n1,2\n')
+    assert ingest.csv_headers(ingest.discover(spark, str(tmp_path))).first()["columns"] == ["first\nname", "b"]
+
+
 def test_sinks(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     sinks.append(spark.createDataFrame([(1,)], "a int"), path)
