@@ -15,8 +15,7 @@ from tallyhouse.session import work_dir
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the threshold of a classifier that is fitted on all labelled documents of the stage's input."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_labelled"), "toxic")
-    model = toxicity.train(docs.join(labels, F.col("doc_id") == F.col("_labelled")).select("doc_id", "text", "toxic"))
+    model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
     return toxicity.clean(docs, model)
 
 

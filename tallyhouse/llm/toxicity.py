@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from tallyhouse.llm.bloom import possible
 from tallyhouse.llm.words import mix, slices, word_codes
 
 BUCKETS = 1 << 18
@@ -94,6 +95,15 @@ def swapped(text: str) -> str | None:
     return re.sub(r"\w+", lambda m: SWAP.get(m[0].lower(), m[0]), text)
 
 
+def labelled(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Rows (key, text, toxic) of the documents that have a label.
+
+    Only texts that pass a filter of bounded size over the labelled keys are moved to the join, however many documents have none.
+    """
+    wanted = labels.select(F.col(f"`{key}`").alias(key), "toxic")
+    return possible(docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text")), wanted.select(key), key).join(wanted, key)
+
+
 def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds: int = 300, key: str = "doc_id") -> dict:
     """Fit on rows (key, text, toxic); toxic is 0 or 1, rows with other labels and null texts do nothing.
 
