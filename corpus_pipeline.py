@@ -15,7 +15,8 @@ from tallyhouse.session import work_dir
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the threshold of a classifier that is fitted on all labelled documents of the stage's input."""
-    model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.train(toxicity.labelled(docs, labels), draw=lambda share: toxicity.labelled(docs, labels, share))
     return toxicity.clean(docs, model)
 
 

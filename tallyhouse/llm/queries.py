@@ -39,7 +39,8 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)))
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
+    model = toxicity.train(toxicity.labelled(docs, labels), draw=lambda share: toxicity.labelled(docs, labels, share))
     scored = toxicity.scored(docs, model)
     return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 

@@ -11,12 +11,12 @@ the weights of identity terms together, and by the prior towards zero.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.llm.bloom import possible
 from tallyhouse.llm.words import mix, slices, word_codes
@@ -95,23 +95,38 @@ def swapped(text: str) -> str | None:
     return re.sub(r"\w+", lambda m: SWAP.get(m[0].lower(), m[0]), text)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Rows (key, text, toxic) of the documents that have a label.
+def labelled(docs: DataFrame, labels: DataFrame, share: float | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Rows (key, text, toxic) of the documents labelled 0 or 1; a repeated label counts once.
 
     Only texts that pass a filter of bounded size over the labelled keys are moved to the join, however many documents have none.
+    With ``share``, only the labels drawn by a hash of the key take part. Those are about ``SAMPLE`` at any size, so they go
+    to the texts instead.
     """
-    wanted = labels.select(F.col(f"`{key}`").alias(key), "toxic")
-    return possible(docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text")), wanted.select(key), key).join(wanted, key)
+    wanted = labels.where("toxic IN (0, 1)").select(F.col(f"`{key}`").alias(key), "toxic")
+    texts = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text"))
+    if share is not None:
+        return texts.join(F.broadcast(wanted.where(_drawn(F.xxhash64(key), share)).distinct()), key)
+    wanted = wanted.distinct()
+    return possible(texts, wanted.select(key), key).join(wanted, key)
 
 
-def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds: int = 300, key: str = "doc_id") -> dict:
+def _drawn(at: Column, share: float) -> Column:
+    return F.pmod(at, F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))
+
+
+def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds: int = 300, key: str = "doc_id", draw: Callable[[float], DataFrame] | None = None) -> dict:
     """Fit on rows (key, text, toxic); toxic is 0 or 1, rows with other labels and null texts do nothing.
 
-    The key only decides by hash which rows are drawn, so a run that is repeated, whole or in part, draws the same.
+    The key only decides by hash which rows are drawn, so a run that is repeated, whole or in part, draws the same. ``draw`` gives the
+    rows drawn for a share, if there is a cheaper way than a filter on ``labelled``.
 
     Without rows of both labels the model gives every text the share of toxic rows (0 if there are none).
     """
-    rows = labelled.where("toxic IN (0, 1) AND text IS NOT NULL").select("text", F.col("toxic").cast("long").alias("toxic"), F.xxhash64(*[F.col(f"`{c}`") for c in (key, "text") if c in labelled.columns]).alias("at"))
+    def real(rows: DataFrame) -> DataFrame:
+        at = F.xxhash64(f"`{key}`" if key in rows.columns else "text")
+        return rows.where("toxic IN (0, 1) AND text IS NOT NULL").select("text", F.col("toxic").cast("long").alias("toxic"), at.alias("at"))
+
+    rows = real(labelled)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, place = np.zeros((2, BUCKETS + 1), np.int64), np.arange(BUCKETS)
@@ -134,8 +149,8 @@ def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds:
     p, q = (counts.toxic.to_numpy() + 0.5) / (toxic + 1), (counts.clean.to_numpy() + 0.5) / (clean + 1)
     # surprise of the label given the feature, for either label: binomial deviance
     n, y = (counts.toxic + counts.clean).to_numpy(), counts.toxic.to_numpy()
-    share = np.clip((y + base) / (n + 1), 1e-9, 1 - 1e-9)
-    gain = n * (share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base))) * np.where(p > q, 1.0, 0.25)
+    part = np.clip((y + base) / (n + 1), 1e-9, 1 - 1e-9)
+    gain = n * (part * np.log(part / base) + (1 - part) * np.log((1 - part) / (1 - base))) * np.where(p > q, 1.0, 0.25)
     best = np.argsort(-gain, kind="stable")[:FEATURES]
     best = best[gain[best] > np.log(BUCKETS)]  # more than the best of so many features would show by chance
     buckets = np.sort(counts.bucket.to_numpy()[best])
@@ -151,7 +166,8 @@ def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds:
                 yield pa.RecordBatch.from_arrays([pa.array([f[cut[i] : cut[i + 1]] for i in range(b - a)], pa.list_(pa.int64())), pa.array([None if other[i] is None else g[cut2[i] : cut2[i + 1]] for i in range(b - a)], pa.list_(pa.int64())), batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a)], names=["own", "other", "toxic", "at"])
 
     # SAMPLE rows in expectation, whatever the table's size; copies of a text are drawn one by one
-    drawn = rows.where(F.pmod("at", F.lit(1 << 30)) < int(min(1.0, SAMPLE / (clean + toxic)) * (1 << 30)))
+    share = SAMPLE / (clean + toxic)
+    drawn = real(draw(share)) if draw else rows.where(_drawn(F.col("at"), share))
     got = drawn.mapInArrow(features, "own array<long>, other array<long>, toxic long, at long").toPandas().sort_values("at", kind="stable")
     weights, bias = fit(list(got.own), list(got.other), got.toxic.to_numpy(float), len(buckets), weight, prior, rounds)
     return {"buckets": buckets, "weights": weights, "bias": bias}
