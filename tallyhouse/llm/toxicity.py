@@ -99,14 +99,14 @@ def labelled(docs: DataFrame, labels: DataFrame, share: float | None = None, tex
     """Rows (key, text, toxic) of the documents labelled 0 or 1; a repeated label counts once.
 
     Only texts that pass a filter of bounded size over the labelled keys are moved to the join, however many documents have none.
-    With ``share``, only the labels drawn by a hash of the key take part. Those are about ``SAMPLE`` at any size, so they go
-    to the texts instead.
+    With ``share``, only the labels drawn by a hash of the key take part. If they are counted to be at most twice ``SAMPLE``, which
+    only labels without documents can exceed, they go to the texts instead.
     """
     wanted = labels.where("toxic IN (0, 1)").select(F.col(f"`{key}`").alias(key), "toxic")
     texts = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text"))
-    if share is not None:
-        return texts.join(F.broadcast(wanted.where(_drawn(F.xxhash64(key), share)).distinct()), key)
-    wanted = wanted.distinct()
+    wanted = wanted.distinct() if share is None else wanted.where(_drawn(F.xxhash64(key), share)).distinct()
+    if share is not None and wanted.count() <= 2 * SAMPLE:
+        return texts.join(F.broadcast(wanted), key)
     return possible(texts, wanted.select(key), key).join(wanted, key)
 
 
