@@ -169,6 +169,8 @@ def test_findings_with_and_without_fences(spark):
 
 def test_issue_discovery(spark):
     data = [("2017-01-01", "$1.00", " a")] * 60 + [("01/02/2017", "2.00", "b")] * 60 + [("?", "3.00", "z")]
+    many = [(f"k{i % 30}",) for i in range(3000)] + [("odd",)]  # more than twenty frequent kinds
+    assert [(r.issue_type, r.hits) for r in dq.discover_issues(spark.createDataFrame(many, "c string"), "x").collect()] == [("suspicious_distribution", 1)]
     found = {(r.column_name, r.issue_type) for r in dq.discover_issues(spark.createDataFrame(data, "d string, m string, c string"), "x").collect()}
     assert {("d", "unexpected_values"), ("d", "format_inconsistency"), ("m", "format_inconsistency"), ("c", "encoding_issue"), ("c", "suspicious_distribution")} <= found
 
