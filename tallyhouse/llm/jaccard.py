@@ -153,21 +153,24 @@ def embed(docs: DataFrame, words: int, percent: int, text: str, key: str) -> Dat
 
 
 def shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (cell, rep) sorted by cell those whose cell has more rows; a cell at the edge of the partition may, so it stays."""
+    """Of rows (cell, rep) sorted by both, each once, those whose cell has other documents; a cell at the edge of the partition may, so it stays."""
     held_cell, held_rep, first = np.zeros(0, np.int64), np.zeros(0, np.int64), True
     for batch in batches:
         cell = np.concatenate([held_cell, batch.column(0).to_numpy()])
         rep = np.concatenate([held_rep, batch.column(1).to_numpy()])
         if not len(cell):
             continue
+        fresh = np.ones(len(cell), bool)  # a repeated row is no further member
+        fresh[1:] = (cell[1:] != cell[:-1]) | (rep[1:] != rep[:-1])
+        cell, rep = cell[fresh], rep[fresh]
         keep = np.zeros(len(cell), bool)
         same = cell[1:] == cell[:-1]
         keep[1:] |= same
         keep[:-1] |= same
         if first:
             keep |= cell == cell[0]
-            first = False
         tail = int(np.searchsorted(cell, cell[-1]))  # may go on in the next batch
+        first = first and not tail
         held_cell, held_rep = cell[tail:], rep[tail:]
         yield pa.RecordBatch.from_pydict({"cell": cell[:tail][keep[:tail]], "rep": rep[:tail][keep[:tail]]})
     yield pa.RecordBatch.from_pydict({"cell": held_cell, "rep": held_rep})
@@ -279,8 +282,9 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     embedded = saved(embed(docs, words, percent, text, key), "embedded")
     real = embedded.where("n > 0 AND key IS NOT NULL")
     same = real.groupBy("print").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    # every row's cells, so that only 16 bytes a cell are moved; copies leave again where cells turn out to be shared
-    found = real.select(F.explode("cells").alias("cell"), F.col("key").alias("rep")).repartitionByRange(parts, "cell", "rep").sortWithinPartitions("cell").mapInArrow(shared_cells, "cell long, rep long")
+    # every row's cells, so that only 16 bytes a cell are moved; copies leave again where cells turn out to be shared.
+    # Rows of one key meet in one partition and count once: marks over repeated rows would cancel, and unequal cells pass for equal
+    found = real.select(F.explode("cells").alias("cell"), F.col("key").alias("rep")).repartitionByRange(parts, "cell", "rep").sortWithinPartitions("cell", "rep").mapInArrow(shared_cells, "cell long, rep long")
     multi = saved(found.join(same.select("rep").distinct(), "rep", "left_semi"), "multi")
     sizes = multi.groupBy("cell").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y")).where("size > 1")
     distinct_cells = sizes.groupBy("pivot", "size", "x", "y").agg(F.min("cell").alias("cell")).select("cell", "pivot", "size")

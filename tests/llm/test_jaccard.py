@@ -89,3 +89,28 @@ def test_linked_sets_share_a_cell():
                     continue
                 found, begin = cells(np.concatenate([np.sort(one), np.sort(other)]), np.array([0, size, size + len(other)]), percent)
                 assert set(found[: begin[1]]) & set(found[begin[1] :])
+
+
+def test_repeated_rows_keep_links(spark, documents):
+    """q and r each differ from p by one word at an edge and stand twice: no cell may take them for the same member."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(0, 90, 3):
+        p = [f"w{rng.randrange(100_000)}" for _ in range(22)]
+        rows += [(i, " ".join(p)), *[(i + 1, " ".join([*p[:-1], "x"]))] * 2, *[(i + 2, " ".join(["y", *p[1:]]))] * 2]
+    rng.shuffle(rows)
+    got = jaccard.linked_components(documents(rows), 3, 90).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 3, 90)
+
+
+def test_rows_of_a_cell_count_once_over_batches():
+    import pyarrow as pa
+
+    from tallyhouse.llm.jaccard import shared_cells
+
+    rows = [(1, 5)] * 3 + [(2, 6)] * 4 + [(3, 6)] * 2 + [(3, 7)] * 3 + [(4, 8)] * 2
+    for size in (1, 2, 3, 20):
+        parts = [rows[k : k + size] for k in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_pydict({"cell": [c for c, _ in part], "rep": [r for _, r in part]}) for part in parts]
+        got = [(r["cell"], r["rep"]) for b in shared_cells(iter(batches)) for r in b.to_pylist()]
+        assert got == [(1, 5), (3, 6), (3, 7), (4, 8)]
