@@ -33,11 +33,11 @@ PARTS[list(b".,;:!?()[]{}<>\"")] = True
 
 
 class Index:
-    """Keys of all windows of the items, for each window size and repetition."""
+    """Keys of all windows of the items, for each window size and repetition; items go by their place in ``texts``."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, texts: list[str]):
         words, bounds = word_hashes(pa.array(texts, pa.large_string()), space=PARTS)
-        self.items = {i: words[bounds[k] : bounds[k + 1]] for k, i in enumerate(ids) if bounds[k + 1] > bounds[k]}
+        self.items = {k: words[bounds[k] : bounds[k + 1]] for k in range(len(texts)) if bounds[k + 1] > bounds[k]}
         self.sizes = sorted({min(WINDOW, len(w)) for w in self.items.values()})
         self.reps = []
         for size in self.sizes:
@@ -117,8 +117,8 @@ def passages(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "
     """One row per row of ``docs`` and item it holds: key, item, ``edits``, ``words`` (of the item), ``ends_at`` (word in the document).
 
     Held means at most ``EDITS`` of the item's words are edits. Items are searched in blocks of at most ``BLOCK_BYTES`` of text (or one
-    longer item), each a pass over the documents; an item or text without words is held by nothing. Equal items are
-    reported each.
+    longer item), each a pass over the documents; an item or text without words is held by nothing. Rows of ``items`` are
+    reported each, with their own ``item_id``: equal items, several items of one id, and an item with a null id as null.
     """
     spark = docs.sparkSession
     kind, item_kind = docs.select(f"`{key}`").schema[0].dataType.simpleString(), "long"
@@ -130,24 +130,24 @@ def passages(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "
     return out.withColumnRenamed("_key", key)
 
 
-def blocks(items: DataFrame) -> Iterator[tuple[list[int], list[str]]]:
+def blocks(items: DataFrame) -> Iterator[tuple[list[int | None], list[str]]]:
     ids, texts, size = [], [], 0
     for i, t in items.toLocalIterator():
         if ids and size + len(t) > BLOCK_BYTES:
             yield ids, texts
             ids, texts, size = [], [], 0
-        ids.append(len(ids) if i is None else i)
+        ids.append(i)
         texts.append(t)
         size += len(t)
     if ids:
         yield ids, texts
 
 
-def searcher(ids: list[int], texts: list[str]):
+def searcher(ids: list[int | None], texts: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = None
         for batch in batches:
-            index = index or Index(ids, texts)
+            index = index or Index(texts)
             for a, b in slices(batch.column(1)):
                 words, bounds = word_hashes(batch.column(1).slice(a, b - a), space=PARTS)
                 best: dict[tuple[int, int], tuple[int, int]] = {}
@@ -160,6 +160,6 @@ def searcher(ids: list[int], texts: list[str]):
                         best[r, i] = min(best.get((r, i), (edits, first + end)), (edits, first + end))
                 keys = batch.column(0).slice(a, b - a)
                 hits = sorted(best.items())
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array([r for (r, _), _ in hits], pa.int64())), *[pa.array(c, pa.int64()) for c in ([i for (_, i), _ in hits], [e for _, (e, _) in hits], [len(index.items[i]) for (_, i), _ in hits], [e for _, (_, e) in hits])]], names=["_key", "item_id", "edits", "words", "ends_at"])
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array([r for (r, _), _ in hits], pa.int64())), *[pa.array(c, pa.int64()) for c in ([ids[i] for (_, i), _ in hits], [e for _, (e, _) in hits], [len(index.items[i]) for (_, i), _ in hits], [e for _, (_, e) in hits])]], names=["_key", "item_id", "edits", "words", "ends_at"])
 
     return run

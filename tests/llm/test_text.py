@@ -84,3 +84,10 @@ def test_lines_on_many_sites_go(spark, sites):
     got = line_dedup.without_boilerplate(docs, sites)
     assert sorted((r.doc_id, r.lines, r.removed, r.clean) for r in got.collect()) == sorted(want)
     assert line_dedup.without_boilerplate(docs.limit(0), sites).count() == 0
+
+
+def test_items_with_null_and_repeated_ids(spark, documents):
+    items = [(0, "zero one two three four"), (None, "red green blue white black"), (None, "salt pepper sugar flour yeast"), (7, "mon tue wed thu fri"), (7, "jan feb mar apr may"), (7, "jan feb mar apr may")]
+    rows = [(i, f"before {t} behind") for i, (_, t) in enumerate(items[:5])]
+    got = decontaminate.passages(documents(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted([(r.doc_id, r.item_id) for r in got], key=str) == sorted([(0, 0), (1, None), (2, None), (3, 7), (4, 7), (4, 7)], key=str)
