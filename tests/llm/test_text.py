@@ -86,6 +86,27 @@ def test_lines_on_many_sites_go(spark, sites):
     assert line_dedup.without_boilerplate(docs.limit(0), sites).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 4, 5, 6, 8, 10, 12, 14, 15, 16, 18, 20, 25, 45])
+def test_every_edited_passage_is_found(size):
+    """For each item length all passages at each number of edits, with the least number of edits."""
+    import pyarrow as pa
+
+    rng = random.Random(size)
+    for edits in range(int(0.2 * size) + 1):
+        items, texts = [], []
+        for _ in range(60):
+            item = [f"w{rng.randrange(5000)}" for _ in range(size)]
+            passage = list(item)
+            for at in sorted(rng.sample(range(size), edits), reverse=True):
+                passage[at : at + 1] = rng.choice([[], ["new"], [passage[at], "new"]])
+            items.append(" ".join(item))
+            texts.append([f"v{rng.randrange(5000)}" for _ in range(rng.randrange(30))] + passage + [f"v{rng.randrange(5000)}" for _ in range(rng.randrange(30))])
+        keys, docs = pa.array(range(60), pa.int64()), pa.array([" ".join(t) for t in texts])
+        (got,) = decontaminate.searcher(list(range(60)), items)(iter([pa.RecordBatch.from_arrays([keys, docs], names=["_key", "_text"])]))
+        found = {(r["_key"], r["item_id"]): r["edits"] for r in got.to_pylist()}
+        assert all(found[i, i] == edit_distance(items[i].split(), texts[i]) for i in range(60))
+
+
 def test_items_with_null_and_repeated_ids(spark, documents):
     items = [(0, "zero one two three four"), (None, "red green blue white black"), (None, "salt pepper sugar flour yeast"), (7, "mon tue wed thu fri"), (7, "jan feb mar apr may"), (7, "jan feb mar apr may")]
     rows = [(i, f"before {t} behind") for i, (_, t) in enumerate(items[:5])]
