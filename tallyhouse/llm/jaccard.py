@@ -125,9 +125,10 @@ def folded(sketch: list[bytes], size: int) -> np.ndarray:
     return out
 
 
-def distances(left: list[bytes], right: list[bytes]) -> np.ndarray:
-    """Sketch distance of each pair, at the shorter length of the two."""
-    size = np.minimum(np.fromiter(map(len, left), np.int64, len(left)), np.fromiter(map(len, right), np.int64, len(right)))
+def distances(left: list[bytes], right: list[bytes], size: np.ndarray | None = None) -> np.ndarray:
+    """Sketch distance of each pair, at its ``size`` in bytes or else at the shorter length of the two."""
+    if size is None:
+        size = np.minimum(np.fromiter(map(len, left), np.int64, len(left)), np.fromiter(map(len, right), np.int64, len(right)))
     out = np.zeros(len(left), np.int64)
     for length in np.unique(size):
         at = np.flatnonzero(size == length)
@@ -334,15 +335,20 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
 
 
 def measured(large: DataFrame, sketch: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Members of large cells, without the pivot, with their size and their sketch distance to it."""
+    """Members of large cells, without the pivot, with their size and their sketch distance to it.
+
+    All sketches of a cell are folded to its shortest, the pivot's included: only in one space do two distances to the pivot
+    differ by no more than the members do from each other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = distances(batch.column("sketch").to_pylist(), batch.column("sketch_pivot").to_pylist())
+            far = distances(batch.column("sketch").to_pylist(), batch.column("sketch_pivot").to_pylist(), batch.column("least").to_numpy())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("cell", "rep", "n")], pa.array(far)], names=["cell", "rep", "n", "far"])
 
-    rows = large.where("rep <> pivot").join(sketch, "rep").join(pivots, "pivot")
-    return rows.select("cell", "rep", "n", "sketch", "sketch_pivot").mapInArrow(run, "cell long, rep long, n long, far long")
+    least = large.join(sketch.select("rep", F.length("sketch").cast("long").alias("bytes")), "rep").groupBy("cell").agg(F.min("bytes").alias("least"))
+    rows = large.where("rep <> pivot").join(least, "cell").join(sketch, "rep").join(pivots, "pivot")
+    return rows.select("cell", "rep", "n", "sketch", "sketch_pivot", "least").mapInArrow(run, "cell long, rep long, n long, far long")
 
 
 def grouped(far: DataFrame, members: DataFrame, percent: int) -> DataFrame:

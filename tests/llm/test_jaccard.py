@@ -114,3 +114,20 @@ def test_rows_of_a_cell_count_once_over_batches():
         batches = [pa.RecordBatch.from_pydict({"cell": [c for c, _ in part], "rep": [r for _, r in part]}) for part in parts]
         got = [(r["cell"], r["rep"]) for b in shared_cells(iter(batches)) for r in b.to_pylist()]
         assert got == [(1, 5), (3, 6), (3, 7), (4, 8)]
+
+
+def test_distances_to_a_pivot_are_of_one_space(spark):
+    """Sets around 512 shingles have sketches of two lengths: linked ones still lie in one ring or in neighbours."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    make = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    pivot, one = make(560), make(510)
+    sets = [np.sort(x) for x in (pivot, one, np.concatenate([one, make(8)]))]
+    sketch = jaccard.sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    assert len(sketch[1]) < len(sketch[2])
+    rows = spark.createDataFrame([(i, len(s), bytearray(k)) for i, (s, k) in enumerate(zip(sets, sketch, strict=True))], "rep long, n long, sketch binary")
+    large = spark.createDataFrame([(9, i, 0, 3) for i in range(3)], "cell long, rep long, pivot long, size long")
+    got = jaccard.measured(large, rows, rows.toDF("pivot", "n_pivot", "sketch_pivot")).collect()
+    far = {r.rep: r.far for r in got}
+    assert sorted(far) == [1, 2] and abs(far[1] - far[2]) <= 8
