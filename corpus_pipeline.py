@@ -6,7 +6,7 @@ one reads it. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import decontaminate, exact_dedup, jaccard, toxicity
 from tallyhouse.llm.queries import pack, table
@@ -31,9 +31,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of a benchmark item."""
-    held = decontaminate.passages(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, F.col("doc_id") == F.col("_held"), "left_anti")
+    """Rows that hold no passage of a benchmark item, judged by their own text: a null or repeated ``doc_id`` makes no difference."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,23 +188,49 @@ def blocks(items: DataFrame) -> Iterator[tuple[list[int | None], list[str]]]:
         yield ids, texts
 
 
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:
+    """The rows that hold no item, with all their columns, whatever their keys; nothing is shuffled."""
+    at = docs.columns.index(text)
+    for _, texts in blocks(items.select(F.lit(None).cast("long"), F.col(f"`{item_text}`")).where(F.col(f"`{item_text}`").isNotNull())):
+        docs = docs.mapInArrow(cleaner(texts, at), docs.schema)
+    return docs
+
+
+def cleaner(texts: list[str], at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = None
+        for batch in batches:
+            index = index or Index(texts)
+            for a, b in slices(batch.column(at)):
+                keep = np.ones(b - a, bool)
+                keep[[r for r, _ in held(batch.column(at).slice(a, b - a), index)]] = False
+                yield batch.slice(a, b - a).filter(pa.array(keep))
+
+    return run
+
+
+def held(texts: pa.Array, index: Index) -> dict[tuple[int, int], tuple[int, int]]:
+    """Of each row and item it holds the least edits, and where such a passage ends first."""
+    words, bounds = word_hashes(texts, space=PARTS)
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+    for r, i, block in sorted(candidates(words, bounds, index)):
+        item, half = index.items[i], int(index.half[i])
+        most = int(EDITS * len(item))
+        first = max(0, block * half - most - half)
+        edits, end = distance(item, words[bounds[r] + first : min(bounds[r + 1], bounds[r] + block * half + len(item) + most + 2 * half)])
+        if edits <= most:
+            best[r, i] = min(best.get((r, i), (edits, first + end)), (edits, first + end))
+    return best
+
+
 def searcher(ids: list[int | None], texts: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = None
         for batch in batches:
             index = index or Index(texts)
             for a, b in slices(batch.column(1)):
-                words, bounds = word_hashes(batch.column(1).slice(a, b - a), space=PARTS)
-                best: dict[tuple[int, int], tuple[int, int]] = {}
-                for r, i, block in sorted(candidates(words, bounds, index)):
-                    item, half = index.items[i], int(index.half[i])
-                    most = int(EDITS * len(item))
-                    first = max(0, block * half - most - half)
-                    edits, end = distance(item, words[bounds[r] + first : min(bounds[r + 1], bounds[r] + block * half + len(item) + most + 2 * half)])
-                    if edits <= most:
-                        best[r, i] = min(best.get((r, i), (edits, first + end)), (edits, first + end))
                 keys = batch.column(0).slice(a, b - a)
-                hits = sorted(best.items())
+                hits = sorted(held(batch.column(1).slice(a, b - a), index).items())
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array([r for (r, _), _ in hits], pa.int64())), *[pa.array(c, pa.int64()) for c in ([ids[i] for (_, i), _ in hits], [e for _, (e, _) in hits], [len(index.items[i]) for (_, i), _ in hits], [e for _, (_, e) in hits])]], names=["_key", "item_id", "edits", "words", "ends_at"])
 
     return run

@@ -49,3 +49,13 @@ def test_pipeline_on_an_empty_table(spark, tmp_path, sf_dir):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{sf_dir}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_contaminated_rows_go_whatever_their_key(spark, tmp_path, documents):
+    """A null key with a passage goes; a clean row stays though another row of its key goes."""
+    item = "salt pepper sugar flour yeast water"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = documents([(None, f"take {item} now"), (None, "clean"), (5, f"again {item}"), (5, "clean too"), (6, None), (7, "")])
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(None, "clean"), (5, "clean too"), (6, None), (7, "")], key=str)
