@@ -1,7 +1,7 @@
 """Web archives: WARC files written by Spark, read back, and their indexes merged in order.
 
-Each writing task sorts its records by URL key, time and page and writes files of bounded record count:
-every file is one sorted run of captures. Reading parses a file by its content lengths and yields index
+Each writing task sorts its records by URL key, time and page and writes files of bounded record count
+and bytes: every file is one sorted run of captures. Reading parses a file by its content lengths and yields index
 entries in file order. The merge gives each task one range of (URL key, time, page), cut by
 sampled splitters; inside it the entries of each run stay in file order and a loser tree merges the runs.
 So the captures of one URL follow each other in time, over all files and tasks.
@@ -18,6 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 RECORDS_PER_FILE = 2000
+#: Bytes that a file of more than one record holds at most, and the record sizes up to which records share files.
+FILE_BYTES, SIZES = 256 << 20, (1 << 17, 1 << 20, 1 << 23, 1 << 26)
+#: Most bytes of a record besides its URL and payload.
+HEAD_BYTES = 1024
 CRLF = "\r\n"
 FIRST_CAPTURE = 1_704_067_200
 BASE32, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -53,10 +57,10 @@ def originals(pages: DataFrame, least: int, key: str, html: str) -> DataFrame:
     return joined.select("_page", "_digest", "_size", F.when(F.col("_first") != F.col("_page"), F.col("_first")).alias("_refers"))
 
 
-def records(pages: DataFrame, least: int = 0, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Sort columns and the text of one WARC record per page, without the two line ends after it."""
+def records(pages: DataFrame, least: int = 0, key: str = "page_id", url: str = "url", html: str = "html", within: Column | None = None) -> DataFrame:
+    """Sort columns and the text of one WARC record per page, without the two line ends after it; only of pages ``within``, if given."""
     decided = originals(pages, least, key, html).dropDuplicates(["_page", "_digest"]).withColumnsRenamed({"_page": "_same", "_digest": "_sha"})
-    p = pages.select(F.col(f"`{key}`").alias("_page"), F.regexp_replace(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"[\x00-\x20\x7F]", "").alias("_url"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("_html"))
+    p = (pages if within is None else pages.where(within)).select(F.col(f"`{key}`").alias("_page"), F.regexp_replace(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"[\x00-\x20\x7F]", "").alias("_url"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("_html"))
     p = p.withColumn("_digest", base32_sha1(F.col("_html"))).join(decided, F.col("_page").eqNullSafe(F.col("_same")) & (F.col("_digest") == F.col("_sha")))
     revisit = F.col("_refers").isNotNull()
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("_size"), F.lit(CRLF * 2))
@@ -71,13 +75,19 @@ def records(pages: DataFrame, least: int = 0, key: str = "page_id", url: str = "
     return p.select(url_key(F.col("_url")).alias("urlkey"), stamp.alias("timestamp"), F.col("_page").alias("page"), F.concat(head, F.lit(CRLF * 2), block).alias("value"))
 
 
-def write(pages: DataFrame, folder: str, **options) -> None:
+def write(pages: DataFrame, folder: str, url: str = "url", html: str = "html", **options) -> None:
     """Write ``records`` as WARC files, each sorted by URL key, time and page.
 
-    Spark's text writer appends the line separator to every row, and two line ends are what closes a record.
+    Spark's text writer appends the line separator to every row, and two line ends are what closes a record. It bounds
+    files by records only, so records of each class of sizes are written on their own, the larger the fewer to a file.
     """
-    sorted_ = records(pages, **options).sortWithinPartitions("urlkey", "timestamp", "page")
-    sorted_.select("value").write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in (url, html)), F.lit(HEAD_BYTES))
+    of = sum(((size > limit).cast("int") for limit in SIZES), F.lit(0))
+    held = sorted(r[0] for r in pages.select(of).distinct().collect())
+    for n, c in enumerate(held or [0]):
+        most = min(RECORDS_PER_FILE, max(1, FILE_BYTES // SIZES[c])) if c < len(SIZES) else 1
+        sorted_ = records(pages, url=url, html=html, within=of == c if len(held) > 1 else None, **options).sortWithinPartitions("urlkey", "timestamp", "page")
+        sorted_.select("value").write.mode("append" if n else "errorifexists").option("lineSep", CRLF * 2).option("maxRecordsPerFile", most).text(folder)
 
 
 def parse(content: bytes) -> Iterator[dict]:

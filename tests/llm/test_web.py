@@ -62,3 +62,23 @@ def test_filter_and_exact_join(spark, monkeypatch):
     assert all(got[i].verdict == "block" for i in range(14, 44)) and all(got[i].verdict == "allow" for i in range(44, len(rows)))
     assert url_filter.judge(pages(spark, []), listed).count() == 0
     assert url_filter.judge(pages(spark, rows), listed.limit(0)).where("listed").count() == 0
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archive, "FILE_BYTES", 16_000, raising=False)
+    monkeypatch.setattr(archive, "SIZES", (2_000, 8_000), raising=False)
+    rng = random.Random(12)
+    rows = [(i, f"http://a.b/{i % 9}", f"{i} " + "y" * rng.choice([10, 500, 3_000, 6_000, 30_000])) for i in range(120)]
+    rows += [(200, "http://a.b/long", rows[4][2]), (201, None, None)]
+    folder = str(tmp_path / "warc")
+    archive.write(pages(spark, rows).coalesce(2), folder)
+    entries = archive.read(spark, folder).collect()
+    assert sorted(e.page_id for e in entries) == sorted(r[0] for r in rows)
+    held = {}
+    for e in entries:
+        held.setdefault(e.run, []).append(e)
+    assert sum(f.stat().st_size > 16_000 and len(held[f.name]) > 1 for f in (tmp_path / "warc").glob("part-*")) == 0
+    merged = archive.merge(archive.read(spark, folder)).orderBy("shard", "rank").collect()
+    order = [(e.urlkey.encode(), e.date, e.page_id) for e in merged]
+    assert len(merged) == len(rows) and order == sorted(order)
+    assert {e.page_id: e.refers_to for e in merged}[200] == 4
