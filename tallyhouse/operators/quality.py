@@ -339,19 +339,22 @@ SAMPLE_SALTS = 64
 def issue_groups(frames: dict[str, DataFrame], sample_reasons: int = 3, sample_files: int = 5) -> DataFrame:
     """Rejections per entity, issue and rule with the first reasons and files as evidence.
 
-    Two steps over one scan: counts and distinct texts per rule and salt of the file, cut to
-    the first few, then per rule. No task sees more than a share of a rule's files.
+    One scan: distinct reasons and files per rule with their counts, numbered per salt of the
+    text and cut to the first few, then per rule. No set of texts is gathered before it is cut,
+    and no task sees more than a share of a rule's texts.
     """
     keys = ["entity", "_issue_type", "_expectation_name"]
     rows = stack_entities(frames, [*keys[1:], "_failure_reason", "_source_file", "_quarantine_timestamp"])
-    first = lambda c, k: F.slice(F.sort_array(F.collect_set(c)), 1, k)
-    salted = rows.groupBy(*keys, F.pmod(F.hash("_source_file"), F.lit(SAMPLE_SALTS)).alias("_salt")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_quarantine_timestamp").alias("lo"), F.max("_quarantine_timestamp").alias("hi"),
-        first("_failure_reason", sample_reasons).alias("reasons"), first("_source_file", sample_files).alias("files"))
-    merged = lambda c, k: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), 1, k)
+    texts = F.array(*[F.struct(F.lit(is_file).alias("is_file"), F.col(c).alias("value")) for is_file, c in ((False, "_failure_reason"), (True, "_source_file"))])
+    values = rows.select(*keys, "_quarantine_timestamp", F.explode(texts).alias("_t")).select("*", "_t.is_file", "_t.value")
+    distinct = values.groupBy(*keys, "is_file", "value").agg(F.count(F.lit(1)).alias("n"), F.min("_quarantine_timestamp").alias("lo"), F.max("_quarantine_timestamp").alias("hi"))
+    ranked = distinct.withColumn("_salt", F.pmod(F.hash("value"), F.lit(SAMPLE_SALTS))).withColumn("nth", F.row_number().over(Window.partitionBy(*keys, "is_file", "_salt").orderBy(F.col("value").asc_nulls_last())))
+    few = F.when(F.col("nth") <= F.when(F.col("is_file"), sample_files).otherwise(sample_reasons), F.col("value"))
+    salted = ranked.groupBy(*keys, "is_file", "_salt").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list(few).alias("few"))
+    merged = lambda kind, k: F.slice(F.array_sort(F.flatten(F.collect_list(F.when(kind, F.col("few"))))), 1, k)
     return salted.groupBy(*keys).agg(
-        F.sum("n").alias("rejected_count"), F.min("lo").alias("earliest_failure"), F.max("hi").alias("latest_failure"),
-        merged("reasons", sample_reasons).alias("sample_reasons"), merged("files", sample_files).alias("source_files"),
+        F.sum(F.when(~F.col("is_file"), F.col("n"))).alias("rejected_count"), F.min("lo").alias("earliest_failure"), F.max("hi").alias("latest_failure"),
+        merged(~F.col("is_file"), sample_reasons).alias("sample_reasons"), merged(F.col("is_file"), sample_files).alias("source_files"),
     ).withColumnsRenamed({"_issue_type": "issue_type", "_expectation_name": "field_affected"})
 
 

@@ -206,3 +206,22 @@ def test_bootstrap_is_idempotent(spark):
     setup.bootstrap(spark, prefix="t_")
     for layer in setup.LAYERS:
         spark.sql(f"DROP DATABASE t_{layer}")
+
+
+def test_issue_groups_gather_no_whole_sets(spark):
+    """The first reasons and files of each rule, with nulls and repeats, without a set of all of them."""
+    import random
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", None]), rng.choice(["r1", "r2"]), rng.choice([None, *[f"why {i}" for i in range(40)]]), rng.choice([None, *[f"f{i}" for i in range(90)]]), i) for i in range(800)]
+    rows += [("b", "r3", None, None, 5)] * 2
+    frame = spark.createDataFrame(rows, "_issue_type string, _expectation_name string, _failure_reason string, _source_file string, _quarantine_timestamp long")
+    got = dq.issue_groups({"returns": frame})
+    assert "collect_set" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = {}
+    for issue, rule, why, file, at in rows:
+        want.setdefault((issue, rule), []).append((why, file, at))
+    few = lambda part, c, k: sorted({x[c] for x in part} - {None})[:k]
+    want = [(*key, len(part), min(x[2] for x in part), max(x[2] for x in part), few(part, 0, 3), few(part, 1, 5)) for key, part in want.items()]
+    found = [(r.issue_type, r.field_affected, r.rejected_count, r.earliest_failure, r.latest_failure, r.sample_reasons, r.source_files) for r in got.collect()]
+    assert sorted(found, key=str) == sorted(want, key=str)
