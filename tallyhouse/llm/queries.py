@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import archive, decontaminate, exact_dedup, jaccard, language, line_dedup, packing, pii, toxicity, url_filter
+from tallyhouse.llm import archive, byte_bpe, decontaminate, exact_dedup, jaccard, language, line_dedup, packing, pii, toxicity, url_filter
 from tallyhouse.session import work_dir
 
 
@@ -79,13 +79,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "date", "shard", "rank")
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode(encoded, path)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_components, op2_personal_data, op3_language, op4_toxicity, op5_url_filter, op6_line_spread, op7_benchmark_passages, op8_packing, op9_exact_dedup, op10_warc, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_components, op2_personal_data, op3_language, op4_toxicity, op5_url_filter, op6_line_spread, op7_benchmark_passages, op8_packing, op9_exact_dedup, op10_warc, op13_byte_bpe, pipeline)}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
