@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import archive, byte_bpe, decontaminate, exact_dedup, jaccard, language, line_dedup, packing, pii, toxicity, url_filter
+from tallyhouse.llm import archive, byte_bpe, decontaminate, exact_dedup, jaccard, language, line_dedup, packing, pii, spelling, toxicity, url_filter, vector_codes
 from tallyhouse.session import work_dir
 
 
@@ -79,6 +79,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "date", "shard", "rank")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.corpus_words(table(spark, sf_dir, "documents")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    summed = vector_codes.with_label_error(codes)
+    return summed.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"), F.col("scans").alias("n_scans"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -92,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_components, op2_personal_data, op3_language, op4_toxicity, op5_url_filter, op6_line_spread, op7_benchmark_passages, op8_packing, op9_exact_dedup, op10_warc, op13_byte_bpe, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_components, op2_personal_data, op3_language, op4_toxicity, op5_url_filter, op6_line_spread, op7_benchmark_passages, op8_packing, op9_exact_dedup, op10_warc, op11_spelling_variants, op12_vector_codes, op13_byte_bpe, pipeline)}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
