@@ -1,16 +1,19 @@
 """Byte-level BPE over a table of ranks: encoding by a fold of ranked merges, decoding by joining pieces.
 
 The work on words is a Spark higher-order function. A word's bytes are the first pieces; each step of the fold looks up
-the rank of every neighbouring pair's bytes in a literal map and merges the leftmost pair of the least rank, until no
-pair has a rank. Words that are frequent in the whole corpus are folded once (``HEAD`` of them at most, a bounded
-dictionary that goes to the tasks); every other word is folded once in each document that holds it. No text is shuffled.
-
-Words are kept as strings of one character per byte (ISO 8859-1), so that pieces may end inside a character.
-
-A word above ``WINDOW`` bytes is folded in overlapping windows. The pieces of two windows are joined at a piece that both
-have: pieces of a ranked merge are the right ones exactly if each two neighbours are, so the result is that of the whole
-word. That holds for rank tables in which each piece encodes to itself by merges of rising rank (``is_proper``). Where two
-windows share no piece, the word is folded whole, which takes time with the square of its length.
+every neighbouring pair in a literal map of ranked merges and merges the pair of the least rank wherever it stands, from
+the left, until no pair is in the map. Words that are frequent in the whole corpus are folded once (``HEAD`` of them at
+most, a bounded dictionary that goes to the tasks); every other word is folded once in each document that holds it. No
+text is shuffled.
+
+While it is folded, a word is a string with one character for each piece, whose code point is the piece's id plus
+``FIRST``; so the least rank is the least string, and a merge is a replacement.
+
+This needs a table in which each piece encodes to itself alone, by merges of rising rank, as every table from training has
+(``ranked_merges`` checks it). Then a merge only makes pairs of higher rank, and a piece is always made of the same two
+parts. It also makes an encoding right exactly if each two neighbouring pieces are: so a word above ``WINDOW`` bytes is
+folded in overlapping windows, which are joined at a piece that two windows share. Where two share none, the word is
+folded whole, which takes time with the square of its length.
 """
 
 from __future__ import annotations
@@ -28,9 +31,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 HEAD, LONGEST = 1 << 20, 64
 #: Bytes of a window of a long word. Windows begin every half window; a multiple of 3 and of powers of two keeps runs of one letter in step.
 WINDOW = 192
-#: Lists of the literal map; a list has one piece on average.
-SLOTS = 1 << 16
+#: Lists of the literal map; a list has one or two merges on average.
+SLOTS = 1 << 15
+#: Code point of id 0. Surrogates are skipped.
+FIRST, SURROGATES = 256, range(0xD800, 0xE000)
 MISSING = -1
+#: Stands before a word that has no more merges.
+DONE = "!"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,108 +46,121 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-def merged(piece: bytes, ranks: dict[bytes, int]) -> tuple[list[bytes], list[int]]:
-    """The pieces of a word by repeated merges of the least rank, and the ranks in the order of the merges; plain Python, for checks."""
-    parts, order = [piece[i : i + 1] for i in range(len(piece))], []
-    while True:
-        rank, i = min(((ranks[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in ranks), default=(None, 0))
-        if rank is None:
-            return parts, order
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        order.append(rank)
+def ranked_merges(ranks: dict[bytes, int]) -> dict[tuple[bytes, bytes], int]:
+    """The two parts that each piece is made of, with its rank.
 
-
-def is_proper(ranks: dict[bytes, int]) -> bool:
-    """Whether each piece encodes to itself alone, by merges of rising rank."""
-    for piece in ranks:
-        parts, order = merged(piece, ranks)
-        if len(parts) != 1 or order != sorted(order):
-            return False
-    return True
+    A piece's bytes are merged by least rank, from the left. ``ValueError`` if a byte has no rank, or if a piece does not
+    become itself alone by merges of rising rank.
+    """
+    if missing := [i for i in range(256) if bytes([i]) not in ranks]:
+        raise ValueError(f"no rank for the bytes {missing}")
+    made: dict[tuple[bytes, bytes], int] = {}
+    for piece, rank in ranks.items():
+        parts, last = [piece[i : i + 1] for i in range(len(piece))], -1
+        while len(parts) > 1:
+            least, i = min(((ranks[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in ranks), default=(-1, 0))
+            if least < last or least < 0:
+                raise ValueError(f"the piece {piece!r} is not made by merges of rising rank")
+            last = least
+            if len(parts) == 2:
+                made[parts[0], parts[1]] = rank
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return made
+
+
+def _sign(number: int) -> str:
+    """The character of an id."""
+    point = number + FIRST
+    return chr(point if point < SURROGATES.start else point + len(SURROGATES))
 
 
 class Merges:
-    """The rank table as literals of a query."""
+    """The rank table as literals of a query. Each stands once in an expression: their text is up to a megabyte."""
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
-        if missing := [i for i in range(256) if bytes([i]) not in ranks]:
-            raise ValueError(f"no rank for the bytes {missing}")
-        rows = [(piece.decode("latin-1"), rank) for piece, rank in ranks.items()]
-        lists: list[dict[str, int]] = [{} for _ in range(SLOTS)]
-        for piece, rank, slot in spark.createDataFrame(rows, "piece string, rank int").select("piece", "rank", self._slot(F.col("piece"))).collect():
-            lists[slot][piece] = rank
-        self.map = F.from_json(F.lit(json.dumps(lists, separators=(",", ":"))), F.lit("array<map<string,int>>"))
-        pieces = [""] * (max(ranks.values()) + 1)
-        for piece, rank in ranks.items():
-            pieces[rank] = piece.hex()
-        self.pieces = F.from_json(F.lit(json.dumps(pieces, separators=(",", ":"))), F.lit("array<string>"))
+        rows = [(_sign(ranks[x]) + _sign(ranks[y]), _sign(rank)) for (x, y), rank in ranked_merges(ranks).items()]
+        lists: list[dict[str, str]] = [{} for _ in range(SLOTS)]
+        for pair, sign, slot in spark.createDataFrame(rows or [("", "")], "pair string, sign string").select("pair", "sign", _slot(F.col("pair"))).collect():
+            lists[slot][pair] = sign
+        top = max(ranks.values())
+        by_rank = {rank: piece for piece, rank in ranks.items()}
+        self.map = _literal(lists, "array<map<string,string>>")
+        self.sizes = _literal([len(by_rank.get(i, b"")) for i in range(top + 1)], "array<int>")
+        self.pieces = _literal([by_rank.get(i, b"").hex() for i in range(top + 1)], "array<string>")
+        self.bytes = "".join(map(chr, range(256))), "".join(_sign(ranks[bytes([i])]) for i in range(256))
 
-    @staticmethod
-    def _slot(piece: Column) -> Column:
-        return F.xxhash64(piece).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+    def encoded(self, word: Column) -> Column:
+        """Ids of one word, given with a character per byte."""
+        signs = F.translate(word, *self.bytes)
 
-    def rank(self, piece: Column) -> Column:
-        """Null if the bytes are no piece."""
-        return F.try_element_at(F.get(self.map, self._slot(piece)), piece)
+        def folded(merges: Column) -> Column:
+            return F.when(F.length(signs) <= WINDOW, _ids(_folded(signs, merges))).otherwise(_let(self._windows(signs, merges), lambda windows: _joined(signs, merges, windows)))
 
-    def pieces_of(self, word: Column) -> Column:
-        """Pieces of one word by the fold."""
+        return _let(self.map, folded)
 
-        def step(parts: Column, _: Column) -> Column:
-            pair = lambda i: F.concat(F.get(parts, i), F.get(parts, i + 1))
-            ranks = F.transform(parts, lambda part, i: self.rank(F.concat(part, F.get(parts, i + 1))))
+    def _windows(self, signs: Column, merges: Column) -> Column:
+        """Of each window, its pieces as (begin, end, id) in the word."""
+        half = WINDOW // 2
+        nothing = F.array().cast("array<struct<b:int,e:int,id:int>>")
 
-            def merge(found: Column) -> Column:
-                least = F.array_min(found)
-                return F.when(least.isNull(), parts).otherwise(_let(F.array_position(found, least).cast("int") - 1, at))
+        def placed(begin: Column, sizes: Column) -> Column:
+            def add(s: Column, number: Column) -> Column:
+                end = s["at"] + F.get(sizes, number)
+                return F.struct(F.concat(s["done"], F.array(F.struct(s["at"].alias("b"), end.alias("e"), number.alias("id")))).alias("done"), end.alias("at"))
 
-            def at(place: Column) -> Column:
-                joined = F.transform(parts, lambda part, i: F.when(i == place, pair(i)).otherwise(part))
-                return F.filter(joined, lambda _, i: i != place + 1)
+            return F.aggregate(_ids(_folded(F.substring(signs, begin + 1, F.lit(WINDOW)), merges)), F.struct(nothing.alias("done"), begin.alias("at")), add, lambda s: s["done"])
 
-            return _let(ranks, merge)
+        return _let(self.sizes, lambda sizes: F.transform(F.sequence(F.lit(0), F.length(signs) - half - 1, F.lit(half)), lambda begin: placed(begin, sizes)))
 
-        return F.aggregate(F.sequence(F.lit(1), F.length(word)), F.split(word, ""), step)
+    def decoded(self, ids: Column) -> Column:
+        """The bytes of an array of ids: their pieces one after another. Ids without a piece and nulls add nothing."""
+        return _let(self.pieces, lambda pieces: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")))
 
-    def encoded(self, word: Column) -> Column:
-        """Ids of one word, given with a character per byte."""
-        short = F.transform(self.pieces_of(word), lambda piece: self.rank(piece))
-        return F.when(F.length(word) <= WINDOW, short).otherwise(_let(self._windows(word), lambda windows: self._joined(word, windows)))
 
-    def _windows(self, word: Column) -> Column:
-        """Of each window, its pieces as (begin, end, id) in the word."""
-        half = WINDOW // 2
+def _literal(value: list, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False, separators=(",", ":"))), F.lit(kind))
 
-        def placed(begin: Column) -> Column:
-            parts = self.pieces_of(F.substring(word, begin + 1, F.lit(WINDOW)))
-            start = F.struct(F.array().cast("array<struct<b:int,e:int,id:int>>").alias("done"), begin.alias("at"))
-            return F.aggregate(
-                parts,
-                start,
-                lambda s, part: F.struct(
-                    F.concat(s["done"], F.array(F.struct(s["at"].alias("b"), (s["at"] + F.length(part)).alias("e"), self.rank(part).alias("id")))).alias("done"), (s["at"] + F.length(part)).alias("at")
-                ),
-                lambda s: s["done"],
-            )
-
-        return F.transform(F.sequence(F.lit(0), F.length(word) - half - 1, F.lit(half)), placed)
-
-    def _joined(self, word: Column, windows: Column) -> Column:
-        """Each window gives what lies between the first piece it shares with the one before and the first it shares with the next."""
-        last = F.size(windows) - 1
-        # the first pieces of a window may be cut by its edge, but not one that the window before has too
-        shared = F.transform(F.sequence(F.lit(0), last - 1), lambda k: F.array_min(F.array_intersect(F.get(windows, k), F.get(windows, k + 1)))["b"])
-
-        def spliced(seams: Column) -> Column:
-            part = lambda k: F.filter(F.get(windows, k), lambda p: (p["b"] >= F.coalesce(F.get(seams, k - 1), F.lit(0))) & ((k == last) | (p["b"] < F.get(seams, k))))
-            ids = F.transform(F.flatten(F.transform(F.sequence(F.lit(0), last), part)), lambda p: p["id"])
-            return F.when(F.exists(seams, lambda s: s.isNull()), F.transform(self.pieces_of(word), lambda piece: self.rank(piece))).otherwise(ids)
-
-        return F.when(last == 0, F.transform(F.get(windows, 0), lambda p: p["id"])).otherwise(_let(shared, spliced))
 
-    def decoded(self, ids: Column) -> Column:
-        """The bytes of an array of ids: their pieces one after another. Ids without a piece and nulls add nothing."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
+def _slot(pair: Column) -> Column:
+    return F.xxhash64(pair).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+
+def _folded(signs: Column, merges: Column) -> Column:
+    """The pieces of one word by ranked merges, each a character."""
+
+    def step(state: Column, _: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(1), F.length(state) - 1), lambda i: F.substring(state, i, F.lit(2)))
+        found = F.transform(pairs, lambda pair: F.try_element_at(F.get(merges, _slot(pair)), pair))
+
+        def merge(found: Column) -> Column:
+            least = F.array_min(found)
+            pair = F.substring(state, F.array_position(found, least).cast("int"), F.lit(2))
+            return F.when(least.isNull(), F.concat(F.lit(DONE), state)).otherwise(F.replace(state, pair, least))
+
+        return F.when(F.startswith(state, F.lit(DONE)) | (F.length(state) < 2), state).otherwise(_let(found, merge))
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(signs)), signs, step, lambda state: F.ltrim(state, F.lit(DONE)))
+
+
+def _ids(signs: Column) -> Column:
+    def number(sign: Column) -> Column:
+        return _let(F.ascii(sign), lambda point: F.when(point < SURROGATES.start, point - FIRST).otherwise(point - FIRST - len(SURROGATES)))
+
+    return F.transform(F.split(signs, ""), number)
+
+
+def _joined(signs: Column, merges: Column, windows: Column) -> Column:
+    """Each window gives what lies between the first piece it shares with the one before and the first it shares with the next."""
+    last = F.size(windows) - 1
+    # the first pieces of a window may be cut by its edge, but not one that the window before has too
+    shared = F.transform(F.sequence(F.lit(0), last - 1), lambda k: F.array_min(F.array_intersect(F.get(windows, k), F.get(windows, k + 1)))["b"])
+
+    def spliced(seams: Column) -> Column:
+        part = lambda k: F.filter(F.get(windows, k), lambda p: (p["b"] >= F.coalesce(F.get(seams, k - 1), F.lit(0))) & ((k == last) | (p["b"] < F.get(seams, k))))
+        ids = F.transform(F.flatten(F.transform(F.sequence(F.lit(0), last), part)), lambda p: p["id"])
+        return F.when(F.exists(seams, lambda s: s.isNull()), _ids(_folded(signs, merges))).otherwise(ids)
+
+    return F.when(last == 0, F.transform(F.get(windows, 0), lambda p: p["id"])).otherwise(_let(shared, spliced))
 
 
 def _let(value: Column, use) -> Column:

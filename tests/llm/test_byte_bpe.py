@@ -24,8 +24,14 @@ def digest(raw: bytes) -> str:
 
 
 def test_table_is_proper():
-    assert byte_bpe.is_proper(byte_bpe.read_ranks(PATH))
-    assert not byte_bpe.is_proper({b"a": 0, b"b": 1, b"abc": 3})
+    ranks = byte_bpe.read_ranks(PATH)
+    assert len(byte_bpe.ranked_merges(ranks)) == len(ranks) - 256
+    single = {bytes([i]): i for i in range(256)}
+    for odd in ({b"abc": 300}, {b"ab": 300, b"abc": 299}):
+        with pytest.raises(ValueError):
+            byte_bpe.ranked_merges(single | odd)
+    with pytest.raises(ValueError):
+        byte_bpe.ranked_merges({b"a": 0})
 
 
 @pytest.mark.parametrize("head", [0, 20, byte_bpe.HEAD])
