@@ -179,3 +179,45 @@ def price_history(transactions: DataFrame, orders: DataFrame) -> DataFrame:
         F.least("lo0", "lo").alias("min_price_to_date"),
         F.greatest("hi0", "hi").alias("max_price_to_date"),
     )
+
+
+#: Days of one piece of a key's time line in ``price_as_of``.
+PIECE_DAYS = 30
+
+
+def price_as_of(lookups: DataFrame, history: DataFrame, at: str = "order_purchase_timestamp", keys: tuple[str, ...] = ("product_id", "vendor_id"), days: int = PIECE_DAYS) -> DataFrame:
+    """The version of the price that was valid when each row of ``lookups`` happened.
+
+    Adds ``list_price``, ``price_valid_from``, ``price_valid_to`` and ``price_version``, all NULL for a row before the first
+    version, without a time, or of a key without history. A version holds from ``valid_from`` on, that moment included;
+    of versions that begin together the last one counts. NULL keys are a key of their own.
+
+    The time line of a key is cut into pieces of ``days``. Each piece begins with the version carried in from the pieces
+    before, one row per piece, so versions and lookups are merged in order piece by piece: a key with
+    millions of versions is sorted in as many tasks as its time line has pieces, and nothing is paired.
+    """
+    names = [k for k in keys]
+    piece = lambda c: F.floor(F.unix_date(F.to_date(c)) / days)
+    begin = lambda p: F.date_from_unix_date((p * days).cast("int"))
+    moment = lookups.schema[at].dataType
+    version = F.struct(F.col("base_unit_price").alias("list_price"), F.col("valid_from").alias("price_valid_from"), F.col("valid_to").alias("price_valid_to"), F.col("version_rank").alias("price_version"))
+    starts = (
+        history.where("valid_from IS NOT NULL").select(*names, F.col("valid_from").cast(moment).alias("_at"), version.alias("_version"))
+        .groupBy(*names, "_at").agg(F.max_by("_version", "_version.price_version").alias("_version"))
+    )
+    rows = lookups.select(*names, F.col(at).alias("_at"), F.struct(*[F.col(f"`{c}`") for c in lookups.columns]).alias("_row"))
+    # the last version of each piece, and the pieces that are asked for
+    last = starts.groupBy(*names, piece("_at").alias("_piece")).agg(F.max_by("_version", "_at").alias("_last"))
+    asked = rows.where("_at IS NOT NULL").select(*names, piece("_at").alias("_piece")).distinct()
+    pieces = last.unionByName(asked, allowMissingColumns=True).groupBy(*names, "_piece").agg(F.max("_last").alias("_last"))
+    earlier = Window.partitionBy(*names).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = pieces.select(*names, "_piece", F.last("_last", True).over(earlier).alias("_version")).where("_version IS NOT NULL")
+    events = (
+        rows.select(*names, "_at", piece("_at").alias("_piece"), F.lit(2).alias("_kind"), "_row")
+        .unionByName(starts.select(*names, "_at", piece("_at").alias("_piece"), F.lit(1).alias("_kind"), "_version"), allowMissingColumns=True)
+        .unionByName(carried.select(*names, begin(F.col("_piece")).cast(moment).alias("_at"), "_piece", F.lit(0).alias("_kind"), "_version"), allowMissingColumns=True)
+    )
+    until = Window.partitionBy(*names, "_piece").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = events.select("_row", "_at", F.last("_version", True).over(until).alias("_version")).where("_row IS NOT NULL")
+    valid = F.when(F.col("_at").isNotNull(), F.col("_version"))
+    return found.select("_row.*", *[valid[c].alias(c) for c in ("list_price", "price_valid_from", "price_valid_to", "price_version")])
