@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Words of the dictionary that goes to every task, and the longest of them in bytes: 64 MB of words at the very most.
 HEAD, LONGEST = 1 << 20, 64
+#: Words or ids that a task works on at once.
+SLICE = 1 << 18
 #: Bytes of a window of a long word. Windows begin every half window; a multiple of 3 and of powers of two keeps runs of one letter in step.
 WINDOW = 192
 #: Lists of the literal map; a list has one or two merges on average.
@@ -212,7 +214,7 @@ def _look_up(known: pa.Table):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, flat = ids.offsets.to_numpy(), ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-        for batch in batches:
+        for batch in _slices(batches, "_words"):
             texts = batch.column("_words")
             all_words, first = texts.flatten(), texts.offsets.to_numpy() - texts.offsets[0].as_py()
             place = pc.index_in(all_words, value_set=words.cast(all_words.type)).fill_null(MISSING).to_numpy(zero_copy_only=False) if len(words) else np.full(len(all_words), MISSING, np.int32)
@@ -239,6 +241,17 @@ def _look_up(known: pa.Table):
     return run
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The rows in slices whose lists have ``SLICE`` items together, or of one row with more."""
+    for batch in batches:
+        offsets = batch.column(column).offsets.to_numpy()
+        start = 0
+        while start < len(batch):
+            stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + SLICE, side="right")) - 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All numbers of the ranges, one range after another."""
     ends = np.cumsum(size)
@@ -247,7 +260,7 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Put the ids of further words in their places."""
-    for batch in batches:
+    for batch in _slices(batches, "_ids"):
         numbers, rest = batch.column("_ids"), batch.column("_rest")
         flat, first = numbers.flatten().to_numpy(zero_copy_only=False), numbers.offsets.to_numpy() - numbers.offsets[0].as_py()
         inner = rest.flatten()
