@@ -27,8 +27,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Words of the dictionary that goes to every task, and the longest of them in bytes: 64 MB of words at the very most.
-HEAD, LONGEST = 1 << 20, 64
+#: Words of the dictionary that goes to every task, and the longest of them in bytes: 16 MB of words at the very most.
+HEAD, LONGEST = 1 << 18, 64
 #: Words or ids that a task works on at once.
 SLICE = 1 << 18
 #: Bytes of a window of a long word. Windows begin every half window; a multiple of 3 and of powers of two keeps runs of one letter in step.
