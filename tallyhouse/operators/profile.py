@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.functions.numbers import count_if, ratio
 
@@ -70,8 +70,7 @@ def overview(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def schema_matrix(spark: SparkSession, layouts: dict[str, list[str]]) -> DataFrame:
-    """One row per column name (case ignored), one column per table: its spelling or MISSING."""
-    rows = [(t, c.lower(), c) for t, columns in layouts.items() for c in columns]
-    long = spark.createDataFrame(rows, "table_name string, column_name string, spelling string")
-    return long.groupBy("column_name").pivot("table_name", list(layouts)).agg(F.first("spelling")).fillna("MISSING")
+def schema_matrix(headers: DataFrame, names: list[str]) -> DataFrame:
+    """One row per column name (case ignored), one column per named file or table: its spelling or MISSING. Expects ``file_name, columns``."""
+    long = headers.select("file_name", F.explode("columns").alias("spelling")).withColumn("column_name", F.lower("spelling"))
+    return long.groupBy("column_name").pivot("file_name", names).agg(F.min("spelling")).fillna("MISSING")

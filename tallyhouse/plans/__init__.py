@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ingest", "silver", "quality", "gold", "marts", "metrics", "fraud", "basket", "pricing", "checks", "profile", "kpis", "retrieval", "streams")
+MODULES = ("files", "ingest", "silver", "quality", "gold", "marts", "metrics", "fraud", "basket", "pricing", "checks", "profile", "kpis", "retrieval", "streams")
 
 
 def load() -> None:

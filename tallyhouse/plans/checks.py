@@ -8,7 +8,6 @@ from tallyhouse.plans import common
 from tallyhouse.plans.check_views import div
 from tallyhouse.plans.quality import DISCOVERY_SQL
 from tallyhouse.plans.registry import query
-from tallyhouse.sources import ingest
 
 
 def every(pattern: str, entities=ENTITIES) -> str:
@@ -45,65 +44,6 @@ def all_null_keys(t):
     })
 
 
-# Layouts as the regional files carry them, one row per source file found in the data.
-LAYOUTS = {
-    "customers_1": "customer_id,customer_email,customer_name,segment,country,city,state,postal_code,region",
-    "customers_2": "CustomerID,customer_email,customer_name,segment,country,city,state,postal_code,region",
-    "customers_3": "cust_id,customer_email,customer_name,segment,country,city,state,postal_code,region",
-    "customers_4": "customer_id,customer_email,customer_name,segment,country,state,city,postal_code,region",
-    "customers_5": "customer_id,customer_name,segment,country,city,state",
-    "customers_6": "identifier,email_address,full_name,customer_segment,country,city,state,postal_code",
-    "orders_1": "order_id,customer_id,ship_mode,order_status,order_purchase_date,order_approved_at,order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date",
-    "orders_2": "order_id,customer_id,ship_mode,order_status,order_purchase_date,order_approved_at,order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date",
-    "orders_3": "order_id,customer_id,ship_mode,order_status,order_purchase_date,order_approved_at,order_delivered_carrier_date,order_delivered_customer_date",
-    "returns_1": "order_id,refund_amount,return_date,return_reason,return_status",
-    "returns_2": "OrderId,amount,date_of_return,reason,status",
-}
-
-
-def headers(t):
-    """Layout of every source file named in the bronze data."""
-    files = None
-    for e in ("customers", "orders", "returns"):
-        part = t.bronze(e).select("source_file").distinct()
-        files = part if files is None else files.unionByName(part)
-    layouts = F.create_map(*[x for name, text in LAYOUTS.items() for x in (F.lit(name), F.lit(text))])
-    name = ingest.file_label(F.col("source_file"))
-    return files.select(
-        F.col("source_file").alias("path"), name.alias("file_name"), F.split(F.try_element_at(layouts, F.substring_index(name, ".", 1)), ",").alias("columns"))
-
-
-_LAYOUT_SQL = (
-    "SELECT source_file AS file_path, list_extract(string_split(source_file, '/'), -1) AS file_name, lower(CASE split_part(list_extract(string_split(source_file, '/'), -1), '.', 1) "
-    + " ".join(f"WHEN '{n}' THEN '{c}'" for n, c in LAYOUTS.items())
-    + " END) AS cols FROM (SELECT DISTINCT source_file FROM b_customers UNION SELECT DISTINCT source_file FROM b_orders UNION SELECT DISTINCT source_file FROM b_returns) f"
-)
-CONTRACT_SQL = f"""
-    SELECT file_name, entity, file_path, CASE WHEN min_ok AND key_ok AND req_ok THEN 'PASS' ELSE 'WARN' END AS status, n AS data_columns,
-           array_to_string(list_sort(string_split(cols, ',')), ', ') AS columns_found, CASE WHEN key_ok THEN 'PASS' ELSE 'WARN' END AS key_check,
-           CASE WHEN req_ok THEN 'PASS' ELSE 'WARN' END AS required_check, CASE WHEN min_ok THEN 'PASS' ELSE 'WARN' END AS min_columns_check,
-           CASE WHEN min_ok AND key_ok AND req_ok THEN 'None' ELSE concat_ws('; ', CASE WHEN NOT min_ok THEN 'too narrow: ' || CAST(n AS VARCHAR) || ' of at least ' || CAST(least_n AS VARCHAR) || ' columns' END,
-             CASE WHEN NOT key_ok THEN 'no key among ' || keys END, CASE WHEN NOT req_ok THEN 'absent: ' || gone END) END AS issues
-    FROM (SELECT *, n >= least_n AS min_ok, list_has_any(string_split(cols, ','), string_split(keys, ', ')) AS key_ok, gone = '' AS req_ok
-          FROM (SELECT *, CAST(len(string_split(cols, ',')) AS INTEGER) AS n, array_to_string(list_filter(CASE WHEN req = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(req, ',') END,
-                          lambda r: NOT list_contains(string_split(cols, ','), r)), ', ') AS gone
-                FROM (SELECT file_path, file_name, cols, CASE WHEN file_path LIKE '%customers%' THEN 'customers' WHEN file_path LIKE '%orders%' THEN 'orders' ELSE 'returns' END AS entity,
-                             CASE WHEN file_path LIKE '%customers%' THEN 7 WHEN file_path LIKE '%orders%' THEN 9 ELSE 4 END AS least_n,
-                             CASE WHEN file_path LIKE '%customers%' THEN 'customer_id, customerid, cust_id, customer_identifier' WHEN file_path LIKE '%orders%' THEN 'order_id' ELSE 'order_id, orderid' END AS keys,
-                             CASE WHEN file_path LIKE '%customers%' THEN 'country,region' WHEN file_path LIKE '%orders%' THEN 'order_status' ELSE '' END AS req FROM ({_LAYOUT_SQL}) l) a) b) c"""
-
-
-@query("src_8_contract_check", CONTRACT_SQL)
-def contract_check(t):
-    return ingest.contract_check(headers(t))
-
-
-@query("chk_3_contract_results", f"SELECT entity, file_name, status, key_check, required_check, min_columns_check, issues FROM ({CONTRACT_SQL}) r")
-def contract_results(t):
-    found = ingest.contract_check(headers(t))
-    return found.select("entity", "file_name", "status", "key_check", "required_check", "min_columns_check", "issues").orderBy("entity", "file_name")
-
-
 @query("chk_4_layer_counts", every("SELECT '{e}' AS entity, (SELECT count(*) FROM b_{e}) AS bronze_rows, (SELECT count(*) FROM c_{e}) AS silver_rows, (SELECT count(*) FROM q_{e}) AS quarantine_rows"))
 def layer_counts(t):
     return ck.layer_counts({

@@ -1,37 +1,17 @@
 """Queries that write the derived tables as raw files and load them again.
 
-The files go to the shared working folder; nothing is kept on one machine.
+The files go to the shared working folder (on a local master without one, to a temporary folder).
 """
 
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.operators import setup
 from tallyhouse.operators.harmonize import harmonize_entity
-from tallyhouse.plans.checks import LAYOUTS
+from tallyhouse.plans.files import COLUMNS, header
 from tallyhouse.plans.registry import query
 from tallyhouse.session import work_dir
 from tallyhouse.sources import ingest, sinks
 
-# file -> bronze columns in file order; the header names are those of LAYOUTS
-FILES = {
-    "customers_1": ["customer_id", "customer_email", "customer_name", "segment", "country", "city", "state", "postal_code", "region"],
-    "customers_2": ["customerid", "customer_email", "customer_name", "segment", "country", "city", "state", "postal_code", "region"],
-    "customers_3": ["cust_id", "customer_email", "customer_name", "segment", "country", "city", "state", "postal_code", "region"],
-    "customers_4": ["customer_id", "customer_email", "customer_name", "segment", "country", "state", "city", "postal_code", "region"],
-    "customers_5": ["customer_id", "customer_name", "segment", "country", "city", "state"],
-    "customers_6": ["customer_identifier", "email_address", "full_name", "customer_segment", "country", "city", "state", "postal_code"],
-}
-HEADERS = {n: LAYOUTS[n].replace("identifier,", "customer_identifier,", 1).split(",") if n == "customers_6" else LAYOUTS[n].split(",") for n in FILES}
-
-
-def write_customer_files(t, root: str) -> None:
-    """One folder of CSV parts per region and layout."""
-    rows = t.bronze("customers")
-    for i, (name, columns) in enumerate(FILES.items(), 1):
-        part = rows.where(F.col("source_file").endswith(f"/{name}.csv")).select(*columns).toDF(*HEADERS[name])
-        part.write.option("header", "true").csv(f"{root}/Region {i}/{name}")
-
-
 def write_return_files(t, root: str) -> None:
     """Line-delimited JSON with two sets of field names."""
     rows = t.bronze("returns")
@@ -59,8 +39,8 @@ def csv_stream(t):
     """Two incremental runs: the second one meets two files with new layouts."""
     root = work_dir(t.spark, "csv")
     rows = t.bronze("customers")
-    for i, (name, columns) in enumerate(FILES.items(), 1):
-        part = rows.where(F.col("source_file").endswith(f"/{name}.csv")).select(*columns).toDF(*HEADERS[name])
+    for i, name in enumerate([n for n in COLUMNS if n.startswith("customers")], 1):
+        part = rows.where(F.col("source_file").endswith(f"/{name}.csv")).select(*COLUMNS[name]).toDF(*header(name))
         part.write.option("header", "true").csv(f"{root}/raw/Region {i}/{name}")
         if name == "customers_4":
             ingest.ingest_csv_stream(t.spark, f"{root}/raw", f"{root}/bronze", f"{root}/checkpoint")
@@ -80,28 +60,6 @@ def json_stream(t):
     return rows.select("order_id", "refund_amount", "return_date", "return_reason", "return_status")
 
 
-@query("src_3_lineage", "SELECT string_split(string_split(source_file, '/')[2], '.')[1] AS source, count(*) AS row_count FROM b_customers GROUP BY 1")
-def lineage(t):
-    root = work_dir(t.spark, "lineage")
-    write_customer_files(t, root)
-    rows = ingest.ingest_csv(t.spark, root)
-    return rows.where("load_timestamp IS NOT NULL").groupBy(F.regexp_extract("source_file", r"(customers_\d)", 1).alias("source")).agg(F.count(F.lit(1)).alias("row_count"))
-
-
-@query("src_5_rescued_data", """SELECT order_id, CASE WHEN coalesce(amount, reason) IS NULL THEN 0 ELSE 1 END AS rescued, amount, reason FROM b_returns""")
-def rescued_data(t):
-    rows = ingest.rescue(t.bronze("returns").select("order_id", "amount", "reason"), ["order_id"])
-    return rows.select(
-        "order_id", F.col("_rescued_data").isNotNull().cast("int").alias("rescued"), F.get_json_object("_rescued_data", "$.amount").alias("amount"),
-        F.get_json_object("_rescued_data", "$.reason").alias("reason"))
-
-
-@query("src_7_discovered_files")
-def discovered_files(t):
-    """The Parquet files of the given tables."""
-    return ingest.discover(t.spark, t.dir, "*.parquet").select("file_name", "length")
-
-
 @query("src_9_folder_load", "SELECT 'returns_1' AS table_name, count(*) AS row_count FROM b_returns WHERE source_file LIKE '%returns_1%' UNION ALL SELECT 'returns_2', count(*) FROM b_returns WHERE source_file LIKE '%returns_2%'")
 def folder_load(t):
     root = work_dir(t.spark, "folder")

@@ -5,9 +5,7 @@ from pyspark.sql import functions as F
 from tallyhouse.config import ENTITIES
 from tallyhouse.operators import profile as ex
 from tallyhouse.plans.check_views import div
-from tallyhouse.plans.checks import LAYOUTS, headers
 from tallyhouse.plans.registry import query
-from tallyhouse.sources import ingest
 
 COLUMNS = {
     "customers": ["customer_id", "customerid", "cust_id", "customer_identifier", "customer_email", "email_address", "customer_name", "full_name", "segment",
@@ -76,18 +74,6 @@ def key_overlap(t):
     return ex.key_overlap({n: (t.bronze(source), F.expr(sk), t.bronze(target), F.expr(tk)) for n, source, sk, target, tk in OVERLAPS})
 
 
-@query("eda_6_schema_matrix")
-def schema_matrix(t):
-    """Layouts of the bronze tables side by side."""
-    return ex.schema_matrix(t.spark, {e: t.bronze(e).columns for e in ENTITIES})
-
-
-@query("src_6_drift_report")
-def drift_report(t):
-    """Customer files against the layout of the first of them."""
-    return ingest.drift_report(headers(t).where("file_name LIKE 'customers%'"), LAYOUTS["customers_1"].split(","))
-
-
 @query("snk_5_overview", " UNION ALL ".join(f"SELECT '{e}' AS table_name, count(*) AS row_count FROM b_{e}" for e in ENTITIES))
 def overview(t):
     return ex.overview({e: t.bronze(e) for e in ENTITIES}).select("table_name", "row_count")

@@ -5,10 +5,10 @@ from __future__ import annotations
 import csv
 import io
 import re
-from collections.abc import Iterator
+import uuid
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tallyhouse.config import CONTRACTS, Contract
 from tallyhouse.operators.harmonize import sanitize_columns
@@ -29,55 +29,65 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 # --- headers ----------------------------------------------------------------------------------
 
+#: Lines that a header with line breaks inside quotes may have.
+HEADER_LINES = 16
 
-def _first_line(path: str) -> str:
-    from urllib.parse import quote
 
-    from pyarrow import fs
+def _uri(path: Column) -> Column:
+    """One spelling of a path that Spark's readers give in several: decoded, with one slash after the scheme."""
+    return F.regexp_replace(F.url_decode(F.regexp_replace(path, r"\+", "%2B")), r"^([A-Za-z][\w+.-]*):/+", "$1:/")
 
-    if path.startswith("file:"):
-        system, name = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    else:
-        scheme, rest = path.split(":", 1)
-        system, name = fs.FileSystem.from_uri(quote(f"{SCHEMES.get(scheme, scheme)}:{rest}", safe=":/@"))
-    text, end = b"", None
-    with system.open_input_stream(name) as stream:
-        while end is None:
-            part = stream.read(8192)
-            text += part
-            end = _line_end(text) if part else len(text)
-    return text[:end].decode("utf-8-sig").rstrip("\r")
 
+def _text(spark: SparkSession, paths: str | list[str], glob: str | None, whole: bool = False) -> DataFrame:
+    """Lines (or whole files) below the paths, with ``path`` and the place ``at`` where the piece of the file begins."""
+    found = spark.read.text(paths, wholetext=whole, recursiveFileLookup=True, pathGlobFilter=glob)
+    return found.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
 
-#: Names of one store under Spark's connectors, and the one that the header reader knows.
-SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
+def _named(headers: DataFrame) -> DataFrame:
+    return headers.select("path", F.url_decode(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\+", "%2B")).alias("file_name"), "columns")
 
-def _line_end(text: bytes) -> int | None:
-    """Where the first line break outside quotes is."""
-    at = text.find(b"\n")
-    while at >= 0 and text.count(b'"', 0, at) % 2:
-        at = text.find(b"\n", at + 1)
-    return at if at >= 0 else None
 
+def _first_record(text: pd.Series) -> pd.Series:
+    """The cells of the first CSV record of each text."""
+    return text.map(lambda t: next(csv.reader(io.StringIO(t.removeprefix("\ufeff"), newline="")), []))
 
-def csv_headers(files: DataFrame) -> DataFrame:
-    """Column names in the first line of every file; only that line is read, by the executors."""
-    schema = T.StructType([*files.schema.fields, T.StructField("columns", T.ArrayType(T.StringType()))])
 
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            names = [next(csv.reader(io.StringIO(_first_line(p), newline="")), []) for p in frame["path"]]
-            yield frame.assign(columns=pd.Series(names, index=frame.index, dtype=object))
+def csv_headers(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
+    """``path, file_name, columns`` of every CSV file that has a line, on any store that Spark reads (which lists no empty files).
 
-    return files.mapInPandas(scan, schema)
+    Spark's text reader reads the files; of each only the lines of its first piece are kept, and of these the first ones.
+    Tasks number their lines and drop all but ``HEADER_LINES`` of a file before anything is moved.
+    """
+    lines = _text(spark, paths, glob).where("at = 0").withColumn("n", F.monotonically_increasing_id())
+    first = lines.withColumn("nth", F.row_number().over(Window.partitionBy("path").orderBy("n"))).where(F.col("nth") <= HEADER_LINES)
+    heads = first.groupBy("path").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("nth", "value"))), lambda x: x["value"]), "\n").alias("head"))
+    return _named(heads.select("path", F.pandas_udf(_first_record, "array<string>")("head").alias("columns")))
+
+
+def _records(spark: SparkSession, paths: str | list[str], glob: str | None, multi_line: bool) -> DataFrame:
+    """JSON records as VARIANT ``v`` and, of objects, as a map ``all``; both are NULL for text that is no JSON."""
+    texts = _text(spark, paths, glob, multi_line).where(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
+    if multi_line:
+        texts = texts.withColumn("v", F.explode(F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))))
+    return texts.withColumn("all", F.try_variant_get("v", "$", "map<string,variant>"))
+
+
+def json_headers(spark: SparkSession, paths: str | list[str], glob: str | None = None, multi_line: bool = False) -> DataFrame:
+    """``path, file_name, columns`` of every JSON file: the names of all fields that any of its records has, sorted.
+
+    Files have one record per line, or hold one record or an array of records (``multi_line``). A broken record has no names.
+    """
+    records = _records(spark, paths, glob, multi_line)
+    names = records.select("path", F.explode_outer(F.map_keys("all")).alias("name")).distinct()
+    return _named(names.groupBy("path").agg(F.sort_array(F.collect_set("name")).alias("columns")))
 
 
-def contract_check(headers: DataFrame, contracts: tuple[Contract, ...] = CONTRACTS) -> DataFrame:
+def contract_check(headers: DataFrame, contracts: tuple[Contract, ...] = CONTRACTS, run_id: str | None = None, run_at: Column | None = None) -> DataFrame:
     """Check the columns of every file against the contract of its entity.
 
     The entity is the first one whose name occurs in the file's path. Expects ``path,
-    file_name, columns``; files of no entity are left out.
+    file_name, columns``; files of no entity are left out. Every row carries the id and time of the run.
     """
     texts = lambda values: F.array(*[F.lit(v) for v in values]).cast("array<string>")
     listed = F.array(*[
@@ -105,6 +115,7 @@ def contract_check(headers: DataFrame, contracts: tuple[Contract, ...] = CONTRAC
         n.alias("data_columns"), F.array_join(F.sort_array("names"), ", ").alias("columns_found"),
         verdict(key_ok).alias("key_check"), verdict(req_ok).alias("required_check"), verdict(min_ok).alias("min_columns_check"),
         F.when(issues == "", "None").otherwise(issues).alias("issues"),
+        F.lit(run_id or uuid.uuid4().hex).alias("run_id"), (F.current_timestamp() if run_at is None else run_at).alias("checked_at"),
     )
 
 
@@ -121,20 +132,22 @@ def drift_report(headers: DataFrame, expected: list[str]) -> DataFrame:
 # --- batch loads ------------------------------------------------------------------------------
 
 
-def read_csv_files(headers: DataFrame) -> DataFrame:
+def read_csv_files(headers: DataFrame, broken: str | None = None) -> DataFrame:
     """Read CSV files of differing layouts by column name.
 
     One reader maps columns by position, so files are read per distinct header and then
-    combined by name; every column is text. What reaches the driver is the list of files.
+    combined by name; every column is text. What reaches the driver is the list of files, which Spark's file index
+    holds there anyway. With ``broken``, a column of that name has the text of lines that do not fit their file's header.
     """
     spark = headers.sparkSession
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.select("path", "columns").collect():
-        layouts.setdefault(tuple(row["columns"]), []).append(row["path"])
+    for path, columns in headers.where(F.size("columns") > 0).select(_uri(F.col("path")), "columns").collect():
+        layouts.setdefault(tuple(columns), []).append(path)
     out = None
     for columns, paths in sorted(layouts.items()):
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        part = sanitize_columns(with_lineage(spark.read.schema(schema).option("header", "true").csv(paths)))
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *([broken] if broken else [])]])
+        reader = spark.read.schema(schema).option("header", "true").option("enforceSchema", "true")
+        part = sanitize_columns(with_lineage((reader.option("columnNameOfCorruptRecord", broken) if broken else reader).csv(paths)))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise FileNotFoundError("no files to read")
@@ -142,7 +155,7 @@ def read_csv_files(headers: DataFrame) -> DataFrame:
 
 
 def ingest_csv(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    return read_csv_files(csv_headers(discover(spark, path, glob)))
+    return read_csv_files(csv_headers(spark, path, glob))
 
 
 def ingest_json(spark: SparkSession, path: str, glob: str = "*.json", schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
@@ -167,11 +180,11 @@ def load_folder(spark: SparkSession, path: str, database: str | None = None, mul
     files = discover(spark, path).withColumns({"entry": entry, "kind": F.regexp_extract("path", r"\.(csv|json)$", 1)}).where("kind <> ''")
     found: dict[str, dict[str, DataFrame]] = {}
     for name, kind in sorted(tuple(r) for r in files.select("entry", "kind").distinct().collect()):
-        own = files.where((F.col("entry") == name) & (F.col("kind") == kind)).select("path")
+        own = [r["path"] for r in files.where((F.col("entry") == name) & (F.col("kind") == kind)).select("path").collect()]
         if kind == "csv":
-            frame = read_csv_files(csv_headers(own)).drop("source_file", "load_timestamp")
+            frame = read_csv_files(csv_headers(spark, own)).drop("source_file", "load_timestamp")
         else:
-            frame = spark.read.option("multiLine", str(multi_line).lower()).json([r["path"] for r in own.collect()])
+            frame = spark.read.option("multiLine", str(multi_line).lower()).json(own)
         found.setdefault(name, {})[kind] = frame
     frames = {}
     for name, kinds in found.items():
@@ -191,6 +204,51 @@ def rescue(df: DataFrame, known: list[str], out: str = "_rescued_data") -> DataF
     return df.select(*kept, F.when(filled, F.to_json(F.struct(*[F.col(f"`{c}`") for c in unknown]))).alias(out))
 
 
+def read_csv_rescued(spark: SparkSession, path: str, schema: T.StructType | str, glob: str = "*.csv", out: str = "_rescued_data") -> DataFrame:
+    """CSV files of differing layouts with the columns and types of ``schema``; whatever does not fit is kept.
+
+    ``out`` is a JSON object of the texts that have no place: columns that the schema does not name, and values that
+    are not of their column's type (which is NULL then). Of a line with more or fewer cells than its file's header, it is
+    ``{"_line": text}`` and all columns are NULL. It is NULL for a row without loss. Column names are compared in lower case.
+    """
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    rows = read_csv_files(csv_headers(spark, path, glob), "_line")
+    texts = {c.lower(): F.col(f"`{c}`") for c in rows.columns if c not in (LINE, "source_file", "load_timestamp")}
+    whole = F.col(LINE).isNull()
+    typed, kept = [], []
+    for f in fields:
+        text = texts.pop(f.name.lower(), F.lit(None).cast("string"))
+        value = text.try_cast(f.dataType)
+        typed.append(F.when(whole, value).alias(f.name))
+        kept += [F.lit(f.name), F.when(whole & value.isNull(), text)]
+    for name, text in texts.items():
+        kept += [F.lit(name), F.when(whole, text)]
+    lost = F.map_filter(F.create_map(*kept, F.lit("_line"), F.col(LINE)), lambda _, v: v.isNotNull())
+    return rows.select(*typed, F.when(F.size(lost) > 0, F.to_json(lost)).alias(out), "source_file", "load_timestamp")
+
+
+#: The column of a broken line, after column names were put in order.
+LINE = "line"
+
+
+def read_json_rescued(spark: SparkSession, path: str, schema: T.StructType | str, glob: str = "*.json", multi_line: bool = False, out: str = "_rescued_data") -> DataFrame:
+    """JSON records with the columns and types of ``schema``; whatever does not fit is kept, as in ``read_csv_rescued``.
+
+    Records are parsed to VARIANT. ``out`` keeps unknown fields and values of the wrong type as they are, with nested
+    parts; of text that is no JSON object it is ``{"_line": text}``. A JSON null is NULL and no loss. Field names are
+    compared as they are. Blank lines are no records.
+    """
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    parsed = _records(spark, path, glob, multi_line)
+    typed = {f.name: F.try_variant_get(F.try_element_at("all", F.lit(f.name)), "$", f.dataType.simpleString()) for f in fields}
+    names = F.array(*[F.lit(n) for n in typed]).cast("array<string>")
+    filled = F.array_compact(F.array(*[F.when(value.isNotNull(), F.lit(n)) for n, value in typed.items()])).cast("array<string>")
+    lost = F.map_filter("all", lambda name, value: ~F.array_contains(names, name) | (~F.array_contains(filled, name) & ~F.is_variant_null(value)))
+    line = F.to_json(F.create_map(F.lit("_line"), F.coalesce(F.to_json("v"), "value")))
+    kept = F.when(F.col("all").isNull(), line).when(F.size(lost) > 0, F.to_json(lost))
+    return parsed.select(*[v.alias(n) for n, v in typed.items()], kept.alias(out), F.col("path").alias("source_file"), F.current_timestamp().alias("load_timestamp"))
+
+
 # --- incremental loads -------------------------------------------------------------------------
 
 
@@ -210,7 +268,8 @@ def ingest_csv_stream(spark: SparkSession, path: str, target: str, checkpoint: s
 
     def load(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            read_csv_files(csv_headers(batch)).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+            paths = [r["path"] for r in batch.collect()]  # at most files_per_trigger
+            read_csv_files(csv_headers(spark, paths)).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     _new_files(spark, path, glob, files_per_trigger).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 

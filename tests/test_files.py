@@ -1,5 +1,7 @@
 """Files in and out: layouts, increments, sinks, streams, vectors and generators."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -60,7 +62,7 @@ def test_drift_and_matrix(spark):
     df = spark.createDataFrame([("a.csv", ["id", "x"]), ("b.csv", ["ID", "y"])], "file_name string, columns array<string>")
     got = {r.file_name: (r.added_columns, r.missing_columns, r.status) for r in ingest.drift_report(df, ["id", "x"]).collect()}
     assert got == {"a.csv": ("", "", "SAME"), "b.csv": ("y", "x", "DRIFT")}
-    matrix = {r.column_name: (r.a, r.b) for r in ex.schema_matrix(spark, {"a": ["id", "x"], "b": ["ID", "y"]}).collect()}
+    matrix = {r.column_name: (r.a, r.b) for r in ex.schema_matrix(spark.createDataFrame([("a", ["id", "x"]), ("b", ["ID", "y"])], "file_name string, columns array<string>"), ["a", "b"]).collect()}
     assert matrix == {"id": ("id", "ID"), "x": ("x", "MISSING"), "y": ("MISSING", "y")}
 
 
@@ -99,7 +101,52 @@ def test_json_stream_keeps_fields_outside_the_schema(spark, tmp_path, rows):
 
 def test_quoted_header_with_a_line_break(spark, tmp_path):
     write(tmp_path, "q.csv", '"first\nname",b\n1,2\n')
-    assert ingest.csv_headers(ingest.discover(spark, str(tmp_path))).first()["columns"] == ["first\nname", "b"]
+    assert ingest.csv_headers(spark, str(tmp_path)).first()["columns"] == ["first\nname", "b"]
+
+
+def test_headers_of_odd_files(spark, tmp_path):
+    """A byte-order mark, Windows line ends, names with blanks and signs, a header alone, an empty file, and many lines over several pieces."""
+    write(tmp_path, "in/Region 1/a+b%20c.csv", "\ufeffid,x\r\n1,2\r\n")
+    write(tmp_path, "in/only.csv", "p,q")
+    write(tmp_path, "in/empty.csv", "")
+    write(tmp_path, "in/long.csv", "k,v\n" + "".join(f"{i},w\n" for i in range(200_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        got = {r.file_name: r["columns"] for r in ingest.csv_headers(spark, str(tmp_path / "in"), "*.csv").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {"a+b%20c.csv": ["id", "x"], "only.csv": ["p", "q"], "long.csv": ["k", "v"]}
+    assert sorted(ingest.ingest_csv(spark, str(tmp_path / "in/Region 1")).select("id", "x").first()) == ["1", "2"]
+
+
+def test_json_headers(spark, tmp_path):
+    write(tmp_path, "l/a.json", '{"id": 1, "b": null}\nnot json\n{"id": 2, "c": {"d": 1}}\n')
+    write(tmp_path, "m/b.json", '[{"x": 1},\n {"y": [1, 2]}]')
+    write(tmp_path, "m/c.json", '{"z": 1}')
+    assert {r.file_name: r["columns"] for r in ingest.json_headers(spark, str(tmp_path / "l")).collect()} == {"a.json": ["b", "c", "id"]}
+    assert {r.file_name: r["columns"] for r in ingest.json_headers(spark, str(tmp_path / "m"), multi_line=True).collect()} == {"b.json": ["x", "y"], "c.json": ["z"]}
+
+
+def test_csv_rescue_loses_nothing(spark, tmp_path):
+    write(tmp_path, "r/1.csv", "id,price,note\n1,2.50,a\nx,3,b\n3,cheap,\n4,5\n5,6,c,d\n")
+    write(tmp_path, "r/2.csv", "PRICE,ID,more\n7,6,extra\n")
+    rows = ingest.read_csv_rescued(spark, str(tmp_path / "r"), "id int, price decimal(6,2), absent date")
+    got = sorted(((r.id, None if r.price is None else float(r.price), r.absent, r._rescued_data and json.loads(r._rescued_data)) for r in rows.collect()), key=str)
+    assert got == sorted([
+        (1, 2.5, None, {"note": "a"}), (None, 3.0, None, {"id": "x", "note": "b"}), (3, None, None, {"price": "cheap"}),
+        (None, None, None, {"_line": "4,5"}), (None, None, None, {"_line": "5,6,c,d"}), (6, 7.0, None, {"more": "extra"})], key=str)
+
+
+def test_json_rescue_loses_nothing(spark, tmp_path):
+    write(tmp_path, "j/1.json", '{"id": 1, "at": "2020-01-02", "o\'n": 1}\n{"id": "x", "new": {"a": [1, null]}}\n{"id": 3, "at": null\n\n[1]\n{"id": 4, "at": "soon", "deep": "q"}\n{}\n')
+    rows = ingest.read_json_rescued(spark, str(tmp_path / "j"), "id int, at date, `o'n` int")
+    got = sorted(((r.id, r.at and str(r.at), r["o'n"], r._rescued_data and json.loads(r._rescued_data)) for r in rows.collect()), key=str)
+    assert got == sorted([
+        (1, "2020-01-02", 1, None), (None, None, None, {"id": "x", "new": {"a": [1, None]}}), (None, None, None, {"_line": '{"id": 3, "at": null'}),
+        (None, None, None, {"_line": "[1]"}), (4, None, None, {"at": "soon", "deep": "q"}), (None, None, None, None)], key=str)
+    write(tmp_path, "k/1.json", '[{"id": 1},\n {"id": "y"}]')
+    again = ingest.read_json_rescued(spark, str(tmp_path / "k"), "id int", multi_line=True)
+    assert sorted(((r.id, r._rescued_data) for r in again.collect()), key=str) == [(1, None), (None, '{"id":"y"}')]
 
 
 def test_sinks(spark, tmp_path, rows):
