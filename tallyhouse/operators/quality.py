@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -219,17 +220,22 @@ def _value_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in LINEAGE_COLUMNS and f"_{c}" not in LINEAGE_COLUMNS]
 
 
-def column_values(df: DataFrame, entity: str) -> DataFrame:
+def _cells(frames: dict[str, DataFrame]) -> DataFrame:
+    """All values of all columns as texts: ``entity, column_name, value``."""
+    parts = []
+    for entity, df in frames.items():
+        cells = [F.struct(F.lit(entity).alias("entity"), F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in _value_columns(df)]
+        parts.append(df.select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def column_values(frames: dict[str, DataFrame]) -> DataFrame:
     """Distinct values with their counts, per column: ``entity, column_name, value, n``.
 
-    Values are counted map-side before the shuffle, which is by column and value, so a value
+    All entities go through one shuffle. Values are counted map-side before it, and it is by column and value, so a value
     that fills a third of the table costs one row per task.
     """
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in _value_columns(df)]
-    return (
-        df.select(F.inline(F.array(*cells))).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("entity", F.lit(entity))
-    )
+    return _cells(frames).groupBy("entity", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def smallest_values(values: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -245,9 +251,9 @@ def smallest_values(values: DataFrame, keys: list[str], k: int) -> DataFrame:
         F.array_compact(F.transform(F.sort_array(F.collect_list(F.struct("value", "n"))), lambda s: s["value"])).alias("samples"))
 
 
-def column_profile(df: DataFrame, entity: str, k: int = 5) -> DataFrame:
-    """Share of missing values, distinct values and up to ``k`` sample values per column."""
-    values = column_values(df, entity)
+def column_profile(frames: dict[str, DataFrame], k: int = 5) -> DataFrame:
+    """Share of missing values, distinct values and up to ``k`` sample values per column of every entity."""
+    values = column_values(frames)
     missing = F.col("value").isNull() | (F.trim("value") == "")
     keys = ["entity", "column_name"]
     counts = values.groupBy(*keys).agg(
@@ -262,17 +268,107 @@ def column_profile(df: DataFrame, entity: str, k: int = 5) -> DataFrame:
     )
 
 
-def discover_issues(df: DataFrame, entity: str, rare_share: float = 0.02, most_rare: float = 0.25) -> DataFrame:
-    """Findings beyond the configured rules, from the distinct values of each column.
+NUMBER = r"^\$?-?[0-9]+(\.[0-9]+)?%?$"
+#: Half the width of the ranks around a quartile that a sketch brackets; its own error at the default size is about 0.013.
+BRACKET = 0.03
+
+
+def _number(value: Column) -> Column:
+    return F.when(value.rlike(NUMBER), F.regexp_replace(value, "[$%]", "").cast("double"))
+
+
+def exact_quartiles(raw: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
+    """``q1`` and ``q3`` per key: the least value that a quarter (three quarters) of all values do not exceed.
+
+    ``raw`` has a row per value ``x``, ``counted`` a row per distinct ``x`` with its count ``n``. Mergeable sketches
+    bracket each quartile first; values below a bracket are only counted, and only those inside are put in order. Where
+    the count shows that a bracket has missed its quartile, all values of that key take part, so the result is exact.
+    """
+    sketches = raw.groupBy(*keys).agg(F.kll_sketch_agg_double("x").alias("_s"))
+    at = lambda rank: F.kll_sketch_get_quantile_double("_s", F.lit(min(1.0, max(0.0, rank))))
+    brackets = sketches.select(*keys, F.inline(F.array(*[F.struct(F.lit(k).alias("_k"), at(k / 4 - BRACKET).alias("_lo"), at(k / 4 + BRACKET).alias("_hi")) for k in (1, 3)])))
+    n = F.col("n")
+    counts = counted.join(brackets, keys).groupBy(*keys, "_k", "_lo", "_hi").agg(
+        F.sum(n).alias("_all"), F.sum(F.when(F.col("x") < F.col("_lo"), n).otherwise(0)).alias("_below"), F.sum(F.when(F.col("x") <= F.col("_hi"), n).otherwise(0)).alias("_upto"))
+    place = F.floor((F.col("_k") * F.col("_all") + 3) / 4)
+    sure = (F.col("_below") < place) & (place <= F.col("_upto"))
+    ranges = counts.select(
+        *keys, "_k", place.alias("_place"), F.when(sure, F.col("_lo")).otherwise(float("-inf")).alias("_lo"), F.when(sure, F.col("_hi")).otherwise(float("inf")).alias("_hi"),
+        F.when(sure, F.col("_below")).otherwise(0).alias("_below"))
+    running = F.col("_below") + F.sum(n).over(Window.partitionBy(*keys, "_k").orderBy("x"))
+    near = counted.join(ranges, keys).where(F.col("x").between(F.col("_lo"), F.col("_hi"))).withColumn("_running", running)
+    hit = near.where(F.col("_running") >= F.col("_place"))
+    return hit.groupBy(*keys).agg(F.min(F.when(F.col("_k") == 1, F.col("x"))).alias("q1"), F.min(F.when(F.col("_k") == 3, F.col("x"))).alias("q3"))
+
+
+def _outliers(frames: dict[str, DataFrame], values: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """Columns of numbers (nine in ten of the values that are no placeholder) with values far outside their quartiles."""
+    numeric = stats.where(F.col("numeric_n") * 10 >= (F.col("rows") - F.col("placeholder_n")) * 9).where("numeric_n > 0").select(*keys)
+    counted = values.withColumn("x", _number(F.col("value"))).where("x IS NOT NULL").groupBy(*keys, "x").agg(F.sum("n").alias("n")).join(numeric, keys, "left_semi")
+    raw = _cells(frames).select(*keys, _number(F.col("value")).alias("x")).where("x IS NOT NULL").join(numeric, keys, "left_semi")
+    spread = F.col("q3") - F.col("q1")
+    fences = exact_quartiles(raw, counted, keys).select(*keys, (F.col("q1") - 1.5 * spread).alias("lo"), (F.col("q3") + 1.5 * spread).alias("hi"))
+    out = counted.join(fences, keys).where((F.col("x") < F.col("lo")) | (F.col("x") > F.col("hi"))).groupBy(*keys, "lo", "hi").agg(F.sum("n").alias("hits"))
+    rule = F.concat("column_name", F.lit(" BETWEEN "), F.floor("lo").cast("string"), F.lit(" AND "), F.ceil("hi").cast("string"))
+    return out.select(*keys, F.lit("outlier").alias("issue_type"), F.lit("WARNING").alias("severity"), F.col("hits").cast("bigint").alias("hits"), rule.alias("suggested_rule"))
+
+
+STAMPS = ("yyyy-MM-dd H:mm", "MM/dd/yyyy H:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "MM-dd-yyyy", "yyyy-MM-dd HH:mm:ss")
+DATE_TYPES = ("date", "timestamp", "timestamp_ntz")
+
+
+def _stamp(df: DataFrame, name: str) -> Column:
+    if df.schema[name].dataType.typeName() in DATE_TYPES:
+        return F.col(f"`{name}`").cast("timestamp_ntz")
+    return F.coalesce(*[F.try_to_timestamp(F.col(f"`{name}`"), F.lit(p)) for p in STAMPS]).cast("timestamp_ntz")
+
+
+def date_columns(df: DataFrame) -> list[str]:
+    """Columns of a date type, and text columns whose name speaks of a date or time."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    return [c for c in _value_columns(df) if kinds[c] in DATE_TYPES or kinds[c] == "string" and re.search(r"date|time|_at$", c)]
+
+
+def date_order(frames: dict[str, DataFrame]) -> DataFrame:
+    """Pairs of date columns of which most rows keep one order and some do not; equal dates keep both orders.
+
+    All pairs of an entity are compared in one pass and summed per task. Values that are no dates are left out.
+    """
+    parts = []
+    for entity, df in frames.items():
+        names = date_columns(df)
+        pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+        if not pairs:
+            continue
+        at = {c: F.col(f"d{i}") for i, c in enumerate(names)}
+        counts = [c for i, (a, b) in enumerate(pairs) for c in (count_if(at[a] > at[b]).alias(f"more{i}"), count_if(at[a] < at[b]).alias(f"less{i}"))]
+        sums = df.select(*[_stamp(df, c).alias(f"d{i}") for i, c in enumerate(names)]).agg(*counts)
+        found = []
+        for i, (a, b) in enumerate(pairs):
+            more, less = F.col(f"more{i}"), F.col(f"less{i}")
+            kept = more <= less
+            found.append(F.struct(
+                F.lit(entity).alias("entity"), F.when(kept, a).otherwise(b).alias("column_name"), F.least(more, less).cast("bigint").alias("hits"),
+                F.when(kept, f"{a} <= {b}").otherwise(f"{b} <= {a}").alias("suggested_rule")))
+        parts.append(sums.select(F.inline(F.array(*found))).where("hits > 0"))
+    spark = next(iter(frames.values())).sparkSession
+    out = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "entity string, column_name string, hits bigint, suggested_rule string")
+    return out.select("entity", "column_name", F.lit("date_order").alias("issue_type"), F.lit("CRITICAL").alias("severity"), "hits", "suggested_rule")
+
+
+def discover_issues(frames: dict[str, DataFrame], rare_share: float = 0.02, most_rare: float = 0.25) -> DataFrame:
+    """Findings beyond the configured rules, over all columns of all entities, from the distinct values of each column.
 
     Detectors: placeholder texts, currency signs among plain numbers, two date layouts in one
-    column, stray blanks around values, and rare values (below ``rare_share`` of the rows) of a column that is mostly
-    frequent ones (rare values together have at most ``most_rare`` of the rows).
+    column, stray blanks around values, rare values (below ``rare_share`` of the rows) of a column that is mostly
+    frequent ones (rare values together have at most ``most_rare`` of the rows), numbers further than one and a half
+    times the distance of the quartiles outside them, and pairs of dates in the order that fewer rows have.
     """
-    values = column_values(df, entity).where(F.col("value").isNotNull())
+    keys = ["entity", "column_name"]
+    values = column_values(frames).where(F.col("value").isNotNull())
     v, n = F.col("value"), F.col("n")
     total = lambda cond: F.sum(F.when(cond, n).otherwise(0))
-    stats = values.groupBy("entity", "column_name").agg(
+    stats = values.groupBy(*keys).agg(
         F.sum(n).alias("rows"),
         total(F.trim(v).isin("?", "NULL", "n/a", "N/A", "")).alias("placeholder_n"),
         total(v.rlike(r"^\$-?[0-9]")).alias("money_n"),
@@ -280,6 +376,7 @@ def discover_issues(df: DataFrame, entity: str, rare_share: float = 0.02, most_r
         total(v.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}")).alias("iso_n"),
         total(v.rlike(r"^([0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}-[0-9]{2}-[0-9]{4})")).alias("us_n"),
         total(v != F.trim(v)).alias("blank_n"),
+        total(v.rlike(NUMBER)).alias("numeric_n"),
     )
     c = F.col
     finding = lambda issue, severity, hits, rule: F.struct(
@@ -294,13 +391,13 @@ def discover_issues(df: DataFrame, entity: str, rare_share: float = 0.02, most_r
     ]
     by_column = stats.withColumn("f", F.explode(F.array_compact(F.array(*checks)))).select("entity", "column_name", "f.*")
     rare = (
-        values.join(stats.select("column_name", "rows"), "column_name")
+        values.join(stats.select(*keys, "rows"), keys)
         .groupBy("entity", "column_name").agg(F.sum(F.when(n < F.lit(rare_share) * c("rows"), n).otherwise(0)).cast("bigint").alias("hits"), F.sum(n).alias("all"))
         .where((c("hits") > 0) & (c("hits") <= F.lit(most_rare) * c("all")))
         .select("entity", "column_name", F.lit("suspicious_distribution").alias("issue_type"), F.lit("WARNING").alias("severity"), "hits",
                 F.concat(name, F.lit(" within its frequent values")).alias("suggested_rule"))
     )
-    return by_column.unionByName(rare).withColumns({
+    return by_column.unionByName(rare).unionByName(_outliers(frames, values, stats, keys)).unionByName(date_order(frames)).withColumns({
         "description": F.format_string("%s.%s: %s in %d rows", c("entity"), name, c("issue_type"), c("hits")),
         "discovery_source": F.lit("profile"),
         "_discovery_status": F.lit("pending_review"),

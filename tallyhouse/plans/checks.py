@@ -252,10 +252,10 @@ def distinct_products(t):
 
 
 def _findings(t):
-    return dq.discover_issues(t.bronze("returns").select("refund_amount", "amount", "return_date", "date_of_return", "reason", "return_status", "status"), "returns")
+    return dq.discover_issues({e: t.bronze(e) for e in ENTITIES})
 
 
-@query("chk_21_findings", f"SELECT 'returns' AS entity, severity, issue_type, count(*) AS findings FROM ({DISCOVERY_SQL}) d GROUP BY 2, 3")
+@query("chk_21_findings", f"SELECT entity, severity, issue_type, count(*) AS findings FROM ({DISCOVERY_SQL}) d GROUP BY 1, 2, 3")
 def findings(t):
     return ck.findings_by_severity(_findings(t))
 

@@ -8,6 +8,7 @@ from tallyhouse.plans import common
 from tallyhouse.plans.check_views import div, quote, rule_sql
 from tallyhouse.plans.registry import query
 from tallyhouse.session import work_dir
+from tallyhouse.sources.testbed import VIEWS
 
 
 def _violations(entity: str) -> str:
@@ -139,49 +140,70 @@ def invalid_idle_days(t):
 
 # --- profile and findings -------------------------------------------------------------------------
 
-PROFILED = {
-    "customers": ["customer_id", "customer_email", "segment", "city", "region"],
-    "returns": ["order_id", "orderid", "refund_amount", "amount", "return_date", "date_of_return", "reason", "status"],
-}
+PROFILED = {e: [x.rsplit(" AS ", 1)[-1] for x in VIEWS[f"b_{e}"][1] if not x.endswith((" AS source_file", " AS load_timestamp"))] for e in ENTITIES}
+CELLS_SQL = " UNION ALL ".join(f"SELECT '{e}' AS entity, '{c}' AS column_name, CAST({c} AS VARCHAR) AS v FROM b_{e}" for e, cs in PROFILED.items() for c in cs)
 
 
-def _profile(entity: str, column: str) -> str:
-    missing = f"{column} IS NULL OR trim(CAST({column} AS VARCHAR)) = ''"
-    return (
-        f"SELECT '{entity}' AS entity, '{column}' AS column_name, count(*) AS \"rows\", {div(f'count(CASE WHEN {missing} THEN 1 END)', 'count(*)', 1, 100)} AS null_pct, "
-        f"count(DISTINCT CASE WHEN NOT ({missing}) THEN {column} END) AS distinct_values, "
-        f"coalesce(array_to_string(list_slice(list_sort(list(DISTINCT {column})), 1, 5), ', '), '') AS samples FROM b_{entity}"
-    )
-
-
-@query("dq_12_column_profile", " UNION ALL ".join(_profile(e, c) for e, cs in PROFILED.items() for c in cs))
+@query(
+    "dq_12_column_profile",
+    f"""SELECT entity, column_name, count(*) AS "rows", {div("count(CASE WHEN v IS NULL OR trim(v) = '' THEN 1 END)", 'count(*)', 1, 100)} AS null_pct,
+               count(DISTINCT CASE WHEN NOT (v IS NULL OR trim(v) = '') THEN v END) AS distinct_values, coalesce(array_to_string(list_slice(list_sort(list(DISTINCT v)), 1, 5), ', '), '') AS samples
+        FROM ({CELLS_SQL}) cells GROUP BY 1, 2""",
+)
 def column_profile(t):
-    return dq.column_profile(t.bronze("customers").select(*PROFILED["customers"]), "customers").unionByName(
-        dq.column_profile(t.bronze("returns").select(*PROFILED["returns"]), "returns"))
+    """All columns of all six entities."""
+    return dq.column_profile({e: t.bronze(e) for e in ENTITIES})
 
 
-_RETURN_COLUMNS = ["refund_amount", "amount", "return_date", "date_of_return", "reason", "return_status", "status"]
-_CELLS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS v FROM b_returns" for c in _RETURN_COLUMNS)
 DISCOVERY_SQL = f"""
-    WITH cells AS (SELECT column_name, v, count(*) AS n FROM ({_CELLS}) u WHERE v IS NOT NULL GROUP BY 1, 2),
-    stats AS (SELECT column_name, sum(n) AS total, count(*) AS kinds,
+    WITH cells AS (SELECT entity, column_name, v, count(*) AS n FROM ({CELLS_SQL}) u WHERE v IS NOT NULL GROUP BY 1, 2, 3),
+    stats AS (SELECT entity, column_name, sum(n) AS total, count(*) AS kinds,
         sum(CASE WHEN trim(v) IN ('?', 'NULL', 'n/a', 'N/A', '') THEN n ELSE 0 END) AS ph,
         sum(CASE WHEN regexp_matches(v, '^\\$-?[0-9]') THEN n ELSE 0 END) AS money, sum(CASE WHEN regexp_matches(v, '^-?[0-9]+(\\.[0-9]+)?$') THEN n ELSE 0 END) AS num,
         sum(CASE WHEN regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN n ELSE 0 END) AS iso,
         sum(CASE WHEN regexp_matches(v, '^([0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}})') THEN n ELSE 0 END) AS us,
-        sum(CASE WHEN v <> trim(v) THEN n ELSE 0 END) AS blank FROM cells GROUP BY 1)
-    SELECT column_name, 'unexpected_values' AS issue_type, 'WARNING' AS severity, CAST(ph AS BIGINT) AS hits FROM stats WHERE ph > 0
-    UNION ALL SELECT column_name, 'format_inconsistency', 'WARNING', CAST(least(money, num) AS BIGINT) FROM stats WHERE money > 0 AND num > 0
-    UNION ALL SELECT column_name, 'format_inconsistency', 'CRITICAL', CAST(least(iso, us) AS BIGINT) FROM stats WHERE iso > 0 AND us > 0
-    UNION ALL SELECT column_name, 'encoding_issue', 'WARNING', CAST(blank AS BIGINT) FROM stats WHERE blank > 0
-    UNION ALL SELECT * FROM (SELECT c.column_name, 'suspicious_distribution', 'WARNING', CAST(sum(CASE WHEN c.n < CAST(0.02 AS DOUBLE) * s.total THEN c.n ELSE 0 END) AS BIGINT) AS rare
-        FROM cells c JOIN stats s ON c.column_name = s.column_name GROUP BY 1, s.total HAVING rare > 0 AND rare * 4 <= s.total) r"""
+        sum(CASE WHEN v <> trim(v) THEN n ELSE 0 END) AS blank FROM cells GROUP BY 1, 2),
+    numbers AS (SELECT entity, column_name, CAST(regexp_replace(v, '[$%]', '', 'g') AS DOUBLE) AS x, n FROM cells WHERE regexp_matches(v, '^\\$?-?[0-9]+(\\.[0-9]+)?%?$')),
+    placed AS (SELECT *, sum(n) OVER (PARTITION BY entity, column_name ORDER BY x) AS upto, sum(n) OVER (PARTITION BY entity, column_name) AS every_n FROM numbers),
+    quartiles AS (SELECT p.entity, p.column_name, min(CASE WHEN upto >= (every_n + 3) // 4 THEN x END) AS q1, min(CASE WHEN upto >= (3 * every_n + 3) // 4 THEN x END) AS q3
+        FROM placed p JOIN stats s ON p.entity = s.entity AND p.column_name = s.column_name WHERE p.every_n * 10 >= (s.total - s.ph) * 9 GROUP BY 1, 2),
+    fences AS (SELECT entity, column_name, q1 - CAST(1.5 AS DOUBLE) * (q3 - q1) AS lo, q3 + CAST(1.5 AS DOUBLE) * (q3 - q1) AS hi FROM quartiles),
+    found AS (
+    SELECT entity, column_name, 'unexpected_values' AS issue_type, 'WARNING' AS severity, CAST(ph AS BIGINT) AS hits, column_name || ' NOT IN (''?'', ''NULL'', ''n/a'', ''N/A'', '''')' AS suggested_rule FROM stats WHERE ph > 0
+    UNION ALL SELECT entity, column_name, 'format_inconsistency', 'WARNING', CAST(least(money, num) AS BIGINT), column_name || ' NOT LIKE ''$%''' FROM stats WHERE money > 0 AND num > 0
+    UNION ALL SELECT entity, column_name, 'format_inconsistency', 'CRITICAL', CAST(least(iso, us) AS BIGINT), 'one date layout in ' || column_name FROM stats WHERE iso > 0 AND us > 0
+    UNION ALL SELECT entity, column_name, 'encoding_issue', 'WARNING', CAST(blank AS BIGINT), column_name || ' = TRIM(' || column_name || ')' FROM stats WHERE blank > 0
+    UNION ALL SELECT * FROM (SELECT c.entity, c.column_name, 'suspicious_distribution', 'WARNING', CAST(sum(CASE WHEN c.n < CAST(0.02 AS DOUBLE) * s.total THEN c.n ELSE 0 END) AS BIGINT) AS rare, c.column_name || ' within its frequent values'
+        FROM cells c JOIN stats s ON c.entity = s.entity AND c.column_name = s.column_name GROUP BY 1, 2, s.total HAVING rare > 0 AND rare * 4 <= s.total) r
+    UNION ALL SELECT n.entity, n.column_name, 'outlier', 'WARNING', CAST(sum(n.n) AS BIGINT), n.column_name || ' BETWEEN ' || CAST(CAST(floor(lo) AS BIGINT) AS VARCHAR) || ' AND ' || CAST(CAST(ceil(hi) AS BIGINT) AS VARCHAR)
+        FROM numbers n JOIN fences f ON n.entity = f.entity AND n.column_name = f.column_name WHERE x < lo OR x > hi GROUP BY n.entity, n.column_name, lo, hi)
+    SELECT *, entity || '.' || column_name || ': ' || issue_type || ' in ' || CAST(hits AS VARCHAR) || ' rows' AS description FROM found"""
 
 
 @query("dq_13_discovered_issues", DISCOVERY_SQL)
 def discovered_issues(t):
-    found = dq.discover_issues(t.bronze("returns").select(*_RETURN_COLUMNS), "returns")
-    return found.select("column_name", "issue_type", "severity", "hits")
+    """All columns of all six entities; none of them has dates out of order, which ``dq_13_date_order`` tries."""
+    return dq.discover_issues({e: t.bronze(e) for e in ENTITIES}).drop("discovery_source", "_discovery_status")
+
+
+_DATED = "SELECT strftime(o_orderdate, '%m/%d/%Y %H:%M') AS order_date, CASE WHEN l_linenumber = 5 THEN 'soon' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS ship_date, l_shipdate + l_linenumber * INTERVAL 1 DAY AS arrived_at FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+
+
+@query(
+    "dq_13_date_order",
+    f"""WITH d AS (SELECT try_strptime(order_date, '%m/%d/%Y %H:%M') AS a, try_strptime(ship_date, '%Y-%m-%d') AS b, arrived_at AS c FROM ({_DATED}) x),
+        n AS (SELECT 'order_date' AS x, 'ship_date' AS y, count(CASE WHEN a > b THEN 1 END) AS more, count(CASE WHEN a < b THEN 1 END) AS less FROM d
+              UNION ALL SELECT 'order_date', 'arrived_at', count(CASE WHEN a > c THEN 1 END), count(CASE WHEN a < c THEN 1 END) FROM d
+              UNION ALL SELECT 'ship_date', 'arrived_at', count(CASE WHEN b > c THEN 1 END), count(CASE WHEN b < c THEN 1 END) FROM d)
+        SELECT 'shipments' AS entity, CASE WHEN more <= less THEN x ELSE y END AS column_name, 'date_order' AS issue_type, 'CRITICAL' AS severity, least(more, less) AS hits,
+               CASE WHEN more <= less THEN x || ' <= ' || y ELSE y || ' <= ' || x END AS suggested_rule FROM n WHERE least(more, less) > 0""",
+)
+def date_order(t):
+    """Order day against two days of shipping, which the given tables draw independently; one column is text in two layouts."""
+    rows = t.raw("lineitem").join(t.raw("orders"), F.expr("l_orderkey = o_orderkey")).selectExpr(
+        "date_format(o_orderdate, 'MM/dd/yyyy HH:mm') AS order_date", "CASE WHEN l_linenumber = 5 THEN 'soon' ELSE date_format(l_shipdate, 'yyyy-MM-dd') END AS ship_date",
+        "l_shipdate + l_linenumber * INTERVAL 1 DAY AS arrived_at")
+    return dq.date_order({"shipments": rows})
 
 
 @query(

@@ -1,6 +1,7 @@
 """Cleaning, harmonisation and quality rules on hand-made rows."""
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 
 import pytest
@@ -170,8 +171,8 @@ def test_findings_with_and_without_fences(spark):
 def test_issue_discovery(spark):
     data = [("2017-01-01", "$1.00", " a")] * 60 + [("01/02/2017", "2.00", "b")] * 60 + [("?", "3.00", "z")]
     many = [(f"k{i % 30}",) for i in range(3000)] + [("odd",)]  # more than twenty frequent kinds
-    assert [(r.issue_type, r.hits) for r in dq.discover_issues(spark.createDataFrame(many, "c string"), "x").collect()] == [("suspicious_distribution", 1)]
-    found = {(r.column_name, r.issue_type) for r in dq.discover_issues(spark.createDataFrame(data, "d string, m string, c string"), "x").collect()}
+    assert [(r.issue_type, r.hits) for r in dq.discover_issues({"x": spark.createDataFrame(many, "c string")}).collect()] == [("suspicious_distribution", 1)]
+    found = {(r.column_name, r.issue_type) for r in dq.discover_issues({"x": spark.createDataFrame(data, "d string, m string, c string")}).collect()}
     assert {("d", "unexpected_values"), ("d", "format_inconsistency"), ("m", "format_inconsistency"), ("c", "encoding_issue"), ("c", "suspicious_distribution")} <= found
 
 
@@ -225,3 +226,26 @@ def test_issue_groups_gather_no_whole_sets(spark):
     want = [(*key, len(part), min(x[2] for x in part), max(x[2] for x in part), few(part, 0, 3), few(part, 1, 5)) for key, part in want.items()]
     found = [(r.issue_type, r.field_affected, r.rejected_count, r.earliest_failure, r.latest_failure, r.sample_reasons, r.source_files) for r in got.collect()]
     assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_quartiles_are_exact_even_if_a_bracket_misses(spark, monkeypatch):
+    r = random.Random(2)
+    data = [("a", float(r.randint(0, 50))) for _ in range(3000)] + [("b", r.gauss(0, 1)) for _ in range(5001)] + [("c", 1.0)] * 7 + [("d", 5.0), ("d", 9.0)]
+    raw = spark.createDataFrame(data, "k string, x double").repartition(5)
+    counted = raw.groupBy("k", "x").agg(F.count(F.lit(1)).alias("n"))
+    want = {}
+    for k in "abcd":
+        xs = sorted(x for key, x in data if key == k)
+        want[k] = (xs[(len(xs) + 3) // 4 - 1], xs[(3 * len(xs) + 3) // 4 - 1])
+    for width in (dq.BRACKET, 0.0, -0.2):
+        monkeypatch.setattr(dq, "BRACKET", width)
+        assert {r.k: (r.q1, r.q3) for r in dq.exact_quartiles(raw, counted, ["k"]).collect()} == want
+
+
+def test_outliers_and_order_of_dates(spark):
+    rows = [(f"${i % 10}.50", "2024-01-02", f"01/0{1 + i % 3}/2024 10:00") for i in range(50)] + [("900%", "2023-12-01", "soon"), ("?", None, None)]
+    found = {(r.column_name, r.issue_type): (r.hits, r.suggested_rule) for r in dq.discover_issues({"x": spark.createDataFrame(rows, "m string, due_date string, paid_at string")}).collect()}
+    assert found["m", "outlier"][0] == 1
+    # 17 rows are paid on the day before; on the day itself the hour is later
+    assert found["due_date", "date_order"] == (17, "due_date <= paid_at")
+    assert dq.date_order({"x": spark.createDataFrame([(1,)], "a int")}).count() == 0
