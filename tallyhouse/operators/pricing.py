@@ -114,21 +114,19 @@ def top_category(categories: Column) -> Column:
 def median_list_price(lines: DataFrame) -> DataFrame:
     """Exact median list price per product without holding the prices of a product.
 
-    Prices are counted per product and value first; the median is then read off the running
-    counts, which are taken per price bucket so that one product never sorts in one task.
+    A histogram by product and whole price says in which bar the middle lies. Only prices of these bars are counted by
+    value and put in order, bar by bar; all others are counted once and never moved again.
     """
-    counted = lines.where("lp IS NOT NULL").groupBy("product_id", "lp").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "bucket", F.floor(F.col("lp")).cast("bigint"))
-    buckets = counted.groupBy("product_id", "bucket").agg(F.sum("n").alias("bn"))
-    w = Window.partitionBy("product_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("product_id")
-    edges = buckets.select("product_id", "bucket", "bn", F.coalesce(F.sum("bn").over(w), F.lit(0)).alias("before"), F.sum("bn").over(whole).alias("total"))
+    priced = lines.where("lp IS NOT NULL").select("product_id", "lp", F.floor(F.col("lp")).cast("bigint").alias("bar"))
+    bars = priced.groupBy("product_id", "bar").agg(F.count(F.lit(1)).alias("bn"))
+    below = Window.partitionBy("product_id").orderBy("bar").rowsBetween(Window.unboundedPreceding, -1)
+    edges = bars.select("product_id", "bar", "bn", F.coalesce(F.sum("bn").over(below), F.lit(0)).alias("before"), F.sum("bn").over(Window.partitionBy("product_id")).alias("total"))
     # positions (1-based) of the two middle values
     lo, hi = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
-    middle = edges.where((F.col("before") < hi) & (F.col("before") + F.col("bn") >= lo))
-    inner = Window.partitionBy("product_id", "bucket").orderBy("lp")
-    placed = counted.join(middle.select("product_id", "bucket", "before", "total"), ["product_id", "bucket"]).withColumn(
-        "upto", F.col("before") + F.sum("n").over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    middle = edges.where((F.col("before") < hi) & (F.col("before") + F.col("bn") >= lo)).select("product_id", "bar", "before", "total")
+    counted = priced.join(middle, ["product_id", "bar"]).groupBy("product_id", "bar", "before", "total", "lp").agg(F.count(F.lit(1)).alias("n"))
+    inner = Window.partitionBy("product_id", "bar").orderBy("lp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumn("upto", F.col("before") + F.sum("n").over(inner))
     hit = lambda p: (F.col("upto") - F.col("n") < p) & (F.col("upto") >= p)
     return placed.groupBy("product_id").agg(
         F.round((F.max(F.when(hit(lo), F.col("lp"))) + F.max(F.when(hit(hi), F.col("lp")))) / 2, 2).alias("median_list_price"))

@@ -135,3 +135,20 @@ def strong_rules(t):
 @query("mba_9_rules_per_strength", f"SELECT rule_strength, count(*) AS rules FROM ({_LOOSE}) r GROUP BY 1")
 def rules_per_strength(t):
     return _loose(t).groupBy("rule_strength").agg(F.count(F.lit(1)).alias("rules"))
+
+
+_BRANDS = "b AS (SELECT DISTINCT l.order_id, p.brand AS i FROM s_lines l JOIN s_products p ON l.product_id = p.product_id)"
+_SETS = {
+    2: "SELECT a.i || ' + ' || b.i AS items, 2 AS size, count(*) AS freq FROM b a JOIN b ON a.order_id = b.order_id AND a.i < b.i GROUP BY 1 HAVING count(*) >= 5",
+    3: "SELECT a.i || ' + ' || b.i || ' + ' || c.i, 3, count(*) FROM b a JOIN b ON a.order_id = b.order_id AND a.i < b.i JOIN b c ON a.order_id = c.order_id AND b.i < c.i GROUP BY 1 HAVING count(*) >= 5",
+    4: "SELECT a.i || ' + ' || b.i || ' + ' || c.i || ' + ' || d.i, 4, count(*) FROM b a JOIN b ON a.order_id = b.order_id AND a.i < b.i JOIN b c ON a.order_id = c.order_id AND b.i < c.i "
+       "JOIN b d ON a.order_id = d.order_id AND c.i < d.i GROUP BY 1 HAVING count(*) >= 5",
+}
+
+
+@query("mba_10_itemsets", f"WITH {_BRANDS} {' UNION ALL '.join(_SETS.values())}")
+def itemsets(t):
+    """Brands that are ordered together, in sets of two to four."""
+    brands = t.lines.join(t.products.select("product_id", "brand"), "product_id").select("order_id", F.col("brand").alias("product_id"))
+    found = mb.itemsets(mb.clean_basket(brands), 5, 4)
+    return found.select(F.array_join("items", " + ").alias("items"), "size", "freq")

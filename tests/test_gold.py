@@ -214,17 +214,43 @@ def brute_pairs(baskets, least=2):
     return {p: n for p, n in counts.items() if n >= least}
 
 
-@pytest.mark.parametrize("wide", [1, 3, 5, 1000])
+@pytest.mark.parametrize("block", [1, 3, 5, 1000])
 @pytest.mark.parametrize("least", [2, 3])
-def test_pairs_are_exact_for_any_width(spark, wide, least):
-    rnd = random.Random(wide)
+def test_pairs_are_exact_for_any_size_of_block(spark, block, least):
+    rnd = random.Random(block)
     baskets = {f"o{i}": {f"p{rnd.randrange(14):02d}" for _ in range(rnd.randrange(1, 12))} for i in range(25)}
     baskets["huge"] = {f"p{i:02d}" for i in range(40)}
     df = spark.createDataFrame([(o, p) for o, items in baskets.items() for p in items], "order_id string, product_id string")
-    got = {(r.product_a, r.product_b): r.pair_order_count for r in mb.pair_counts(df, min_count=least, wide_basket=wide).collect()}
+    got = {(r.product_a, r.product_b): r.pair_order_count for r in mb.pair_counts(df, min_count=least, block=block).collect()}
     assert got == brute_pairs(baskets, least)
 
 
+def test_a_long_basket_and_a_product_of_all_baskets(spark):
+    """The hot product meets each product once per basket, and the long basket is dealt into many groups."""
+    baskets = {f"o{i}": {"hot", f"p{i % 50:03d}", f"p{(i * 7) % 90:03d}"} for i in range(400)} | {"long": {f"p{i:03d}" for i in range(150)}}
+    df = spark.createDataFrame([(o, p) for o, items in baskets.items() for p in items], "order_id string, product_id string")
+    counted = mb.pair_counts(df, block=16)
+    assert {(r.product_a, r.product_b): r.pair_order_count for r in counted.collect()} == brute_pairs(baskets)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "LeftSemi" in plan
+
+
+def test_itemsets_of_all_sizes(spark):
+    from collections import Counter
+    from itertools import combinations
+
+    rnd = random.Random(4)
+    baskets = {i: {rnd.choice("abcdefgh") for _ in range(rnd.randrange(1, 7))} for i in range(200)}
+    df = spark.createDataFrame([(o, p) for o, items in baskets.items() for p in items], "order_id int, product_id string")
+    want = Counter(c for items in baskets.values() for k in range(2, 8) for c in combinations(sorted(items), k))
+    found = {tuple(r["items"]): r.freq for r in mb.itemsets(df, 6).collect()}
+    assert found == {c: n for c, n in want.items() if n >= 6} and max(map(len, found)) > 3
+    pairs = {(r.product_a, r.product_b): r.pair_order_count for r in mb.pair_counts(df, min_count=6).collect()}
+    assert {c: n for c, n in found.items() if len(c) == 2} == pairs
+    assert {len(r["items"]) for r in mb.itemsets(df, 6, largest=3).collect()} == {2, 3}
+    assert mb.itemsets(df.limit(0), 2).count() == 0
+
+
 def test_rules_are_symmetric_at_a_floor_of_zero(spark):
     data = [(1, "a"), (1, "b"), (2, "a"), (2, "b"), (3, "a"), (4, "c"), (4, "c"), (5, "d")]
     basket = mb.clean_basket(spark.createDataFrame(data, "order_id int, product_id string"))
