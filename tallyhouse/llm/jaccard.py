@@ -15,7 +15,8 @@ triangle inequality says which documents a region must also receive:
    comparison with each other for their component. Cells that then still hold several components are joined:
    a parity sketch maps sets into Hamming space, where distances never exceed the number of differing shingles. A large cell is cut
    into rings by sketch distance to its pivot; linked documents lie in one ring or in neighbours, so each
-   ring also receives the ring before it, and long rings are joined block by block.
+   ring also receives the ring before it. In a ring only members of different components are compared: blocks of the
+   largest component meet blocks of the others, and these each other.
 
 Whatever passes goes to an exact comparison of the sets. Pairs inside one component are never compared, and rounds
 repeat until no pair between components is left, so the components are those of all links.
@@ -306,8 +307,7 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     while True:
         turn += 1
         named = placed.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = named.groupBy("cell", "ring").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("cell", "ring")
-        groups = paired(named.join(mixed, ["cell", "ring"], "left_semi")).join(sketch, "rep").select("group", "rep", "component", "n", "sketch", "block", "home")
+        groups = paired(named).join(sketch, "rep").select("group", "rep", "component", "n", "sketch", "block", "home")
         pairs = saved(groups.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(across(percent, most), "a long, b long").distinct(), f"pairs-{turn}", members.count())
         new = saved(pairs.where("a <> b").join(tried, ["a", "b"], "left_anti"), f"tried-{turn}", pairs.count())
         more = not pairs.where("a = b").isEmpty()
@@ -352,23 +352,39 @@ def measured(large: DataFrame, sketch: DataFrame, pivots: DataFrame) -> DataFram
 
 
 def grouped(far: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Members that are no pivots, with ring and block: cells are one ring and block, large ones rings by distance to the pivot and blocks of these."""
+    """Members that are no pivots, with their ring: cells of up to a block are one ring, large ones are cut by distance to the pivot."""
     small = members.where((F.col("size") > 2) & (F.col("size") <= BLOCK) & (F.col("rep") != F.col("pivot")))
-    small = small.select("cell", "rep", F.lit(0).cast("long").alias("ring"), F.lit(True).alias("home"), F.lit(1).alias("blocks"))
+    small = small.select("cell", "rep", F.lit(0).cast("long").alias("ring"), F.lit(True).alias("home"))
     # no pair of the cell is linked over more than this sketch distance
     width = far.groupBy("cell").agg(F.greatest(F.lit(1), F.expr(f"(100 - {percent}) * 2 * max(n) div (100 + {percent})")).alias("width"))
     ring = (F.col("far") / F.col("width")).cast("long")
     rings = far.join(width, "cell").select("cell", "rep", F.explode(F.array(F.struct(ring.alias("ring"), F.lit(True).alias("home")), F.struct((ring + 1).alias("ring"), F.lit(False).alias("home")))).alias("r"))
-    rings = rings.select("cell", "rep", "r.ring", "r.home")
-    counted = rings.groupBy("cell", "ring").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    every = small.unionByName(rings.join(counted, ["cell", "ring"]))
-    return every.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    return small.unionByName(rings.select("cell", "rep", "r.ring", "r.home"))
 
 
-def paired(placed: DataFrame) -> DataFrame:
-    """Each member once for each block that its own is compared with, under one group for both."""
-    every = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return every.withColumn("group", F.xxhash64("cell", "ring", F.least("block", "other"), F.greatest("block", "other")))
+def paired(named: DataFrame) -> DataFrame:
+    """Members of rings with several components, dealt into groups of at most about two blocks in which pairs are compared.
+
+    Pairs of one component need no comparison, so the largest component of a ring, its body, is never compared with itself: each
+    block of the body meets each block of the others, the strays, and blocks of strays meet each other. A ring that is
+    nearly all body thus has about a row per member, however large it is. Rows: ``group``, and ``block``, which two members of
+    a group must differ in unless it is the same for the whole group.
+    """
+    shape = (
+        named.groupBy("cell", "ring", "component").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("cell", "ring").agg(F.max(F.struct("n", "component")).alias("body"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    )
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    shape = shape.select("cell", "ring", F.col("body.component").alias("body"), blocks(F.col("body.n")).alias("bodies"), blocks(F.col("all") - F.col("body.n")).alias("strays"), (F.col("all") <= BLOCK).alias("lone"))
+    inside = F.col("component") == F.col("body")
+    rows = named.join(shape, ["cell", "ring"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.when(inside, F.col("bodies")).otherwise(F.col("strays"))).cast("int"))
+    place = lambda kind, x, y, block: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"), block.alias("block"))
+    none, own = F.lit(0), F.col("own")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    body = F.transform(upto("strays"), lambda j: place(1, own, j, none))
+    stray = F.concat(F.transform(upto("bodies"), lambda i: place(1, i, own, F.lit(1))), F.transform(upto("strays"), lambda j: place(2, F.least(own, j), F.greatest(own, j), own)))
+    places = F.when(F.col("lone"), F.array(place(0, none, none, none))).when(inside, body).otherwise(stray)
+    return rows.withColumn("p", F.explode(places)).select(F.xxhash64("cell", "ring", "p.kind", "p.x", "p.y").alias("group"), "rep", "component", "home", F.col("p.block").alias("block"))
 
 
 def representatives(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:

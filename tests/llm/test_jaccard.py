@@ -131,3 +131,29 @@ def test_distances_to_a_pivot_are_of_one_space(spark):
     got = jaccard.measured(large, rows, rows.toDF("pivot", "n_pivot", "sketch_pivot")).collect()
     far = {r.rep: r.far for r in got}
     assert sorted(far) == [1, 2] and abs(far[1] - far[2]) <= 8
+
+
+def test_rows_of_a_ring_grow_with_its_members(spark):
+    """A ring that is nearly all one component has a row per member and block of strays, not one per member and block."""
+    made = []
+    for size in (4096, 16384):
+        named = spark.range(size).selectExpr("1L AS cell", "0L AS ring", "id AS rep", "TRUE AS home", "CASE WHEN id % 512 = 7 THEN id ELSE 0 END AS component")
+        made.append(jaccard.paired(named).count())
+        assert made[-1] < 2 * size
+    assert made[1] < 5 * made[0]
+
+
+def test_all_pairs_of_components_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    for kinds in (2, 3, 30):
+        component = {i: i % kinds if i % 3 else 0 for i in range(60)}
+        named = spark.createDataFrame([(1, 0, i, True, c) for i, c in component.items()], "cell long, ring long, rep long, home boolean, component long")
+        groups = {}
+        for r in jaccard.paired(named).collect():
+            groups.setdefault(r.group, []).append((r.rep, r.component, r.block))
+        met = []
+        for rows in groups.values():
+            lone = len({b for _, _, b in rows}) == 1
+            met += [tuple(sorted((x, y))) for k, (x, cx, bx) in enumerate(rows) for y, cy, by in rows[:k] if cx != cy and (lone or bx != by)]
+        assert set(met) == {(i, j) for i in range(60) for j in range(i + 1, 60) if component[i] != component[j]}
+        assert max(map(len, groups.values())) <= 8 * 4
