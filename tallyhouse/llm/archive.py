@@ -17,9 +17,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyhouse.llm.bloom import marked, possible
+from tallyhouse.llm.components import files
+from tallyhouse.session import work_dir
+
 RECORDS_PER_FILE = 2000
+#: Entries of one range of the merge, which one task holds.
+RANGE = 100_000
 #: Bytes that a file of more than one record holds at most, and the record sizes up to which records share files.
-FILE_BYTES, SIZES = 256 << 20, (1 << 17, 1 << 20, 1 << 23, 1 << 26)
+FILE_BYTES, SIZES = 64 << 20, (1 << 17, 1 << 20, 1 << 23, 1 << 26)
 #: Most bytes of a record besides its URL and payload.
 HEAD_BYTES = 1024
 CRLF = "\r\n"
@@ -41,30 +47,50 @@ def url_key(url: Column) -> Column:
     return F.when(url.contains("://"), F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), rest)).otherwise(F.coalesce(url, F.lit("")))
 
 
-def originals(pages: DataFrame, least: int, key: str, html: str) -> DataFrame:
-    """Key, digest and size of each page, and the page a revisit refers to (null for a response).
+def _plain(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    return pages.select(F.col(f"`{key}`").alias("_page"), F.regexp_replace(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"[\x00-\x20\x7F]", "").alias("_url"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("_html"))
+
+
+def copied(plain: DataFrame, least: int, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The payloads that stand on several pages, and the pages that may have one of them, without their payload; both are written once.
+
+    Copies of one payload may be a third of all pages: the first page of each is found by an aggregation that combines in the tasks,
+    payloads that occur once leave, and a Bloom filter of the rest picks the pages that take part in the join. A page
+    gets ``_refers`` if another page comes first; without it, it is the first one or passed the filter by chance. Pages with a null
+    key are no copies.
+    """
+    spark = plain.sparkSession
+    rows = plain.where("_page IS NOT NULL").select("_page", "_url", base32_sha1(F.col("_html")).alias("_digest"), F.octet_length("_html").cast("long").alias("_size"))
+    several = rows.where(F.col("_size") >= least).groupBy("_digest", "_size").agg(F.min("_page").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    several.drop("_n").write.parquet(f"{folder}/payloads")
+    first = spark.read.parquet(f"{folder}/payloads")
+    joined = possible(rows, first, "_digest").join(first, ["_digest", "_size"], "left")
+    joined.select("_page", "_url", "_digest", "_size", F.when(F.col("_first") != F.col("_page"), F.col("_first")).alias("_refers")).write.parquet(f"{folder}/pages")
+    return first, spark.read.parquet(f"{folder}/pages")
+
+
+def records(pages: DataFrame, least: int = 0, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """Sort columns, size class and the text of one WARC record per page, without the two line ends after it.
+
+    Of equal payloads of at least ``least`` bytes the page with the smallest key is a response and the others revisit it; rows with that
+    same key are responses too. A null key is a response of nobody. Null payloads and URLs are empty. An empty table gives no records.
 
-    Copies of one payload may be a third of all pages: the first page of each payload is found by an aggregation that
-    combines in the tasks, payloads that occur once leave, and only copies of the rest are joined, salted.
+    Payloads stay where they are read, but for those first pages: a page whose payload is surely unique needs
+    no decision, and a revisit has no payload.
     """
-    payload = F.coalesce(F.col(f"`{html}`"), F.lit(""))
-    rows = pages.select(F.col(f"`{key}`").alias("_page"), base32_sha1(payload).alias("_digest"), F.octet_length(payload).cast("long").alias("_size"))
-    first = rows.where(F.col("_size") >= least).groupBy("_digest", "_size").agg(F.min("_page").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    salts = 8
-    first = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_page"), F.lit(salts)).cast("int"))
-    joined = rows.join(first.hint("merge"), ["_digest", "_size", "_salt"], "left")
-    return joined.select("_page", "_digest", "_size", F.when(F.col("_first") != F.col("_page"), F.col("_first")).alias("_refers"))
-
-
-def records(pages: DataFrame, least: int = 0, key: str = "page_id", url: str = "url", html: str = "html", within: Column | None = None) -> DataFrame:
-    """Sort columns and the text of one WARC record per page, without the two line ends after it; only of pages ``within``, if given."""
-    decided = originals(pages, least, key, html).dropDuplicates(["_page", "_digest"]).withColumnsRenamed({"_page": "_same", "_digest": "_sha"})
-    p = (pages if within is None else pages.where(within)).select(F.col(f"`{key}`").alias("_page"), F.regexp_replace(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"[\x00-\x20\x7F]", "").alias("_url"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("_html"))
-    p = p.withColumn("_digest", base32_sha1(F.col("_html"))).join(decided, F.col("_page").eqNullSafe(F.col("_same")) & (F.col("_digest") == F.col("_sha")))
+    plain, folder = _plain(pages, key, url, html), work_dir(pages.sparkSession, "copies")
+    first, few = copied(plain, least, folder)
+    rows = plain.withColumns({"_digest": base32_sha1(F.col("_html")), "_size": F.octet_length("_html").cast("long")})
+    flagged = marked(rows, first, "_digest", "_maybe")
+    unique = flagged.where("_page IS NULL OR NOT _maybe").drop("_maybe").withColumn("_refers", F.lit(None).cast("long"))
+    kept = few.where("_refers IS NULL").select("_page", "_digest").distinct()
+    some = possible(flagged.where("_page IS NOT NULL AND _maybe").drop("_maybe"), kept, "_page").join(kept, ["_page", "_digest"]).withColumn("_refers", F.lit(None).cast("long"))
+    revisits = few.where("_refers IS NOT NULL").withColumn("_html", F.lit(""))
+    few_files = files(kept.count())
+    every = unique.unionByName(some.coalesce(few_files)).unionByName(revisits.coalesce(few_files))
     revisit = F.col("_refers").isNotNull()
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("_size"), F.lit(CRLF * 2))
-    block = F.concat(http, F.when(revisit, "").otherwise(F.col("_html")))
+    block = F.concat(http, "_html")
     stamp = F.lit(FIRST_CAPTURE) + F.coalesce("_page", F.lit(0))
     head = F.concat_ws(
         CRLF, F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")), F.concat(F.lit(f"WARC-Record-ID: <{URN}"), F.coalesce(F.col("_page").cast("string"), F.lit("null")), F.lit(">")),
@@ -72,21 +98,26 @@ def records(pages: DataFrame, least: int = 0, key: str = "page_id", url: str = "
         F.when(revisit, F.concat_ws(CRLF, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), F.concat(F.lit(f"WARC-Refers-To: <{URN}"), F.col("_refers"), F.lit(">")))),
         F.lit("Content-Type: application/http; msgtype=response"), F.concat(F.lit("Content-Length: "), F.octet_length(block)),
     )
-    return p.select(url_key(F.col("_url")).alias("urlkey"), stamp.alias("timestamp"), F.col("_page").alias("page"), F.concat(head, F.lit(CRLF * 2), block).alias("value"))
+    return every.select(url_key(F.col("_url")).alias("urlkey"), stamp.alias("timestamp"), F.col("_page").alias("page"), _size_class(F.octet_length("_url") + F.col("_size")).alias("class"), F.concat(head, F.lit(CRLF * 2), block).alias("value"))
+
+
+def _size_class(size: Column) -> Column:
+    return sum(((size + HEAD_BYTES > limit).cast("int") for limit in SIZES), F.lit(0))
 
 
 def write(pages: DataFrame, folder: str, url: str = "url", html: str = "html", **options) -> None:
-    """Write ``records`` as WARC files, each sorted by URL key, time and page.
+    """Write ``records`` as WARC files, each sorted by URL key, time and page. An empty table writes an empty file.
 
     Spark's text writer appends the line separator to every row, and two line ends are what closes a record. It bounds
-    files by records only, so records of each class of sizes are written on their own, the larger the fewer to a file.
+    files by records only, so records of each class of sizes are written on their own, the larger the fewer to a file. What
+    is a revisit is decided once for all classes.
     """
-    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in (url, html)), F.lit(HEAD_BYTES))
-    of = sum(((size > limit).cast("int") for limit in SIZES), F.lit(0))
-    held = sorted(r[0] for r in pages.select(of).distinct().collect())
+    every = records(pages, url=url, html=html, **options)
+    sizes = _plain(pages, options.get("key", "page_id"), url, html).select(_size_class(F.octet_length("_url") + F.octet_length("_html").cast("long")).alias("class"))
+    held = sorted(r[0] for r in sizes.distinct().collect())
     for n, c in enumerate(held or [0]):
         most = min(RECORDS_PER_FILE, max(1, FILE_BYTES // SIZES[c])) if c < len(SIZES) else 1
-        sorted_ = records(pages, url=url, html=html, within=of == c if len(held) > 1 else None, **options).sortWithinPartitions("urlkey", "timestamp", "page")
+        sorted_ = (every.where(F.col("class") == c) if len(held) > 1 else every).sortWithinPartitions("urlkey", "timestamp", "page")
         sorted_.select("value").write.mode("append" if n else "errorifexists").option("lineSep", CRLF * 2).option("maxRecordsPerFile", most).text(folder)
 
 
@@ -126,8 +157,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 rows = [(run, n, e["offset"], number(e["WARC-Record-ID"]), e.get("WARC-Target-URI", ""), e["WARC-Date"], e["WARC-Type"], number(e.get("WARC-Refers-To")), e["WARC-Payload-Digest"][5:], e["size"]) for n, e in enumerate(parse(batch.column(1)[i].as_py()))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-    return files.select("path", "content").mapInArrow(entries, ENTRY)
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    return found.select("path", "content").mapInArrow(entries, ENTRY)
 
 
 class LoserTree:
@@ -168,9 +199,11 @@ class LoserTree:
 def merge(entries: DataFrame) -> DataFrame:
     """All entries in global order of (urlkey, date, page): partitions are ranges, and ``shard`` and ``rank`` give the place.
 
-    The page is part of the splitters, so a URL with very many captures spans several tasks.
+    The page is part of the splitters, so a URL with very many captures spans several tasks. There are so many ranges that one
+    has about ``RANGE`` entries. ``entries`` is read several times, so give it written. Null pages come first, rows that
+    are equal in all three stay in the order of their runs; no entries give no rows.
     """
-    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-entries.count() // RANGE))
     keyed = entries.select(url_key(F.col("url")).alias("urlkey"), "*")
     columns = keyed.columns
     ranged = keyed.repartitionByRange(parts, "urlkey", "date", "page_id").sortWithinPartitions("run", "seq").select(F.spark_partition_id().cast("long").alias("shard"), *columns)

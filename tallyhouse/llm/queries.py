@@ -75,7 +75,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "warc")
     archive.write(table(spark, sf_dir, "pages"), folder)
-    merged = archive.merge(archive.read(spark, folder))
+    archive.read(spark, folder).write.parquet(f"{folder}-index")
+    merged = archive.merge(spark.read.parquet(f"{folder}-index"))
     return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "date", "shard", "rank")
 
 
