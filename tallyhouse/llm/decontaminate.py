@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.llm.words import SPACE, mix, slices, word_hashes
+from tallyhouse.llm.words import SPACE, lean, mix, over_rows, slices, word_hashes
 
 WINDOW = 14
 SAMPLES = 5
@@ -171,7 +171,7 @@ def passages(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "
     schema = f"_key {kind}, item_id {item_kind}, edits long, words long, ends_at long"
     out = spark.createDataFrame([], schema)
     for ids, texts in blocks(items.select(F.col(f"`{item_key}`").cast("long"), F.col(f"`{item_text}`")).where(F.col(f"`{item_text}`").isNotNull())):
-        out = out.unionByName(chosen.mapInArrow(searcher(ids, texts), schema))
+        out = out.unionByName(chosen.mapInArrow(lean(searcher(ids, texts)), schema))
     return out.withColumnRenamed("_key", key)
 
 
@@ -192,7 +192,7 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str
     """The rows that hold no item, with all their columns, whatever their keys; nothing is shuffled."""
     at = docs.columns.index(text)
     for _, texts in blocks(items.select(F.lit(None).cast("long"), F.col(f"`{item_text}`")).where(F.col(f"`{item_text}`").isNotNull())):
-        docs = docs.mapInArrow(cleaner(texts, at), docs.schema)
+        docs = over_rows(docs, cleaner(texts, at))
     return docs
 
 

@@ -25,10 +25,9 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")
 
 
-def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", carry: bool = False) -> DataFrame:
+def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per input row: key, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
-    ``carry`` adds the columns of ``docs`` (a column of the same name as a decision gives way to it).
     Null texts are empty texts. Of rows repeated with the same key and text exactly one is kept. A null key
     sorts first and is kept only if all of its group's keys are null; ``keep_id`` is then null. An
     empty table gives no rows.
@@ -36,9 +35,20 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", c
     Of the texts only those that more than one ``2 * partitions``-th of all rows share are salted, so
     there are at most ``2 * partitions`` of them; that bounds the two broadcast tables.
     """
+    decided, keep, kept = _decided(docs, text, key, F.lit(None))
+    return decided.select(F.col("_id").alias(key), keep.alias("keep_id"), F.coalesce("_all", "_size").alias("group_size"), kept.alias("kept"), "text_sha256")
+
+
+def first_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows that ``exact_duplicates`` keeps, with all columns of ``docs`` as they are, whatever their names."""
+    decided, _, kept = _decided(docs, text, key, F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]))
+    return decided.where(kept).select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _decided(docs: DataFrame, text: str, key: str, row: Column) -> tuple[DataFrame, Column, Column]:
+    """Rows with ``_id``, ``_row`` and what decides; the key that stays and whether it is this row."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = max(16, docs.count() // (HOT_SHARE * parts))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None)
     base = docs.select(F.col(f"`{key}`").alias("_id"), normalised(F.col(f"`{text}`")).alias("_text"), row.alias("_row"))
     print_ = F.xxhash64("_text")
     narrow = base.select("_id", "_text")
@@ -55,8 +65,4 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", c
     joined = marked.join(F.broadcast(whole), "text_sha256", "left")
     keep = F.when(F.col("_all").isNotNull(), F.col("_least")).otherwise(F.col("_first"))
     kept = (F.col("_nth") == 1) & (F.col("_id").eqNullSafe(keep) & (F.col("_all").isNull() | F.col("_first").eqNullSafe(keep)))
-    out = [keep.alias("keep_id"), F.coalesce("_all", "_size").alias("group_size"), kept.alias("kept"), F.col("text_sha256")]
-    if not carry:
-        return joined.select(F.col("_id").alias(key), *out)
-    taken = {"keep_id", "group_size", "kept", "text_sha256"}
-    return joined.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in taken], *out)
+    return joined, keep, kept

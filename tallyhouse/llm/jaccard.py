@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm.bloom import possible
 from tallyhouse.llm.components import components, files
-from tallyhouse.llm.words import mix, shingle_sets, slices
+from tallyhouse.llm.words import lean, mix, shingle_sets, slices
 from tallyhouse.session import work_dir
 
 RATIO = 1.5
@@ -151,7 +151,7 @@ def embed(docs: DataFrame, words: int, percent: int, text: str, key: str) -> Dat
                     batch.column(0).slice(a, b - a), pa.array(np.diff(bounds), pa.int64()), pa.array(prints, pa.binary()), pa.array(sketch, pa.binary()), pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(of, pa.int64())),
                 ], names=["key", "n", "print", "sketch", "cells"])
 
-    return docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "key long, n long, print binary, sketch binary, cells array<long>")
+    return docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(lean(run), "key long, n long, print binary, sketch binary, cells array<long>")
 
 
 def shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +199,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     texts = possible(texts, needed, "rep")
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def near(far: np.ndarray, n: np.ndarray, k: np.ndarray, percent: int) -> np.ndarray:
@@ -286,7 +286,7 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     same = real.groupBy("print").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
     # every row's cells, so that only 16 bytes a cell are moved; copies leave again where cells turn out to be shared.
     # Rows of one key meet in one partition and count once: marks over repeated rows would cancel, and unequal cells pass for equal
-    found = real.select(F.explode("cells").alias("cell"), F.col("key").alias("rep")).repartitionByRange(parts, "cell", "rep").sortWithinPartitions("cell", "rep").mapInArrow(shared_cells, "cell long, rep long")
+    found = real.select(F.explode("cells").alias("cell"), F.col("key").alias("rep")).repartitionByRange(parts, "cell", "rep").sortWithinPartitions("cell", "rep").mapInArrow(lean(shared_cells), "cell long, rep long")
     multi = saved(found.join(same.select("rep").distinct(), "rep", "left_semi"), "multi")
     sizes = multi.groupBy("cell").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y")).where("size > 1")
     distinct_cells = sizes.groupBy("pivot", "size", "x", "y").agg(F.min("cell").alias("cell")).select("cell", "pivot", "size")
@@ -297,7 +297,7 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
 
     side = lambda c: sketch.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     stars = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    tried = saved(stars.join(side("a"), "a").join(side("b"), "b").mapInArrow(close_to_pivot(percent), "a long, b long"), "tried-0")
+    tried = saved(stars.join(side("a"), "a").join(side("b"), "b").mapInArrow(lean(close_to_pivot(percent)), "a long, b long"), "tried-0")
     links = saved(verified(tried, texts, words, percent), "links-0", tried.count())
     component = components(links)
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -308,7 +308,7 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
         turn += 1
         named = placed.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         groups = paired(named).join(sketch, "rep").select("group", "rep", "component", "n", "sketch", "block", "home")
-        pairs = saved(groups.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(across(percent, most), "a long, b long").distinct(), f"pairs-{turn}", members.count())
+        pairs = saved(groups.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(lean(across(percent, most)), "a long, b long").distinct(), f"pairs-{turn}", members.count())
         new = saved(pairs.where("a <> b").join(tried, ["a", "b"], "left_anti"), f"tried-{turn}", pairs.count())
         more = not pairs.where("a = b").isEmpty()
         if new.isEmpty():
@@ -348,7 +348,7 @@ def measured(large: DataFrame, sketch: DataFrame, pivots: DataFrame) -> DataFram
 
     least = large.join(sketch.select("rep", F.length("sketch").cast("long").alias("bytes")), "rep").groupBy("cell").agg(F.min("bytes").alias("least"))
     rows = large.where("rep <> pivot").join(least, "cell").join(sketch, "rep").join(pivots, "pivot")
-    return rows.select("cell", "rep", "n", "sketch", "sketch_pivot", "least").mapInArrow(run, "cell long, rep long, n long, far long")
+    return rows.select("cell", "rep", "n", "sketch", "sketch_pivot", "least").mapInArrow(lean(run), "cell long, rep long, n long, far long")
 
 
 def grouped(far: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -388,7 +388,10 @@ def paired(named: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that are the least document of their component, with all their columns."""
+    """The rows of ``docs`` that are the least document of their component, with all their columns, whatever their names; rows with a null key stay."""
     found = linked_components(docs, words, percent, text, key)
-    gone = found.where(F.col("component_id") != F.col(key)).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{key}`") == F.col("_gone"), "left_anti")
+    name = "_gone"
+    while name in docs.columns:
+        name += "_"
+    gone = found.where(F.col("component_id") != F.col(key)).select(F.col(key).alias(name)).distinct()
+    return docs.join(gone, docs[f"`{key}`"].cast("long") == gone[name], "left_anti")

@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.llm.words import raw, slices
+from tallyhouse.llm.words import lean, raw, slices
 
 CAPACITY = 2048
 END_ID = 1
 POOL = 192
-CACHE = 300_000
+CACHE = 100_000
 SLICE = 8 << 20
 OUT = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
@@ -237,5 +237,5 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str
         yield packer.batch()
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    packed = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    packed = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(lean(run), ", ".join(f"{c} long" for c in names))
     return packed.withColumnRenamed("doc_id", key)

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.llm.bloom import possible
-from tallyhouse.llm.words import mix, slices, word_codes
+from tallyhouse.llm.words import lean, mix, over_rows, slices, word_codes
 
 BUCKETS = 1 << 18
 FEATURES = 2048
@@ -139,7 +139,7 @@ def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds:
         at = np.flatnonzero(found.sum(0) > 0)
         yield pa.RecordBatch.from_pydict({"bucket": at.astype(np.int64), "clean": found[0, at], "toxic": found[1, at]})
 
-    counts = rows.select("text", "toxic").mapInArrow(count, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()  # at most BUCKETS rows
+    counts = rows.select("text", "toxic").mapInArrow(lean(count), "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()  # at most BUCKETS rows
     total = counts[counts.bucket == BUCKETS]
     clean, toxic = (int(total.clean.iloc[0]), int(total.toxic.iloc[0])) if len(total) else (0, 0)
     base = toxic / max(1, clean + toxic)
@@ -168,7 +168,7 @@ def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds:
     # SAMPLE rows in expectation, whatever the table's size; copies of a text are drawn one by one
     share = SAMPLE / (clean + toxic)
     drawn = real(draw(share)) if draw else rows.where(_drawn(F.col("at"), share))
-    got = drawn.mapInArrow(features, "own array<long>, other array<long>, toxic long, at long").toPandas().sort_values("at", kind="stable")
+    got = drawn.mapInArrow(lean(features), "own array<long>, other array<long>, toxic long, at long").toPandas().sort_values("at", kind="stable")
     weights, bias = fit(list(got.own), list(got.other), got.toxic.to_numpy(float), len(buckets), weight, prior, rounds)
     return {"buckets": buckets, "weights": weights, "bias": bias}
 
@@ -217,7 +217,7 @@ def scored(docs: DataFrame, model: dict, text: str = "text", key: str = "doc_id"
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], names=["_key", "score"])
 
     kind = docs.select(f"`{key}`").schema[0].dataType.simpleString()
-    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"_key {kind}, score double").withColumnRenamed("_key", key)
+    return docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(lean(run), f"_key {kind}, score double").withColumnRenamed("_key", key)
 
 
 def clean(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
@@ -233,4 +233,4 @@ def clean(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text: str
                 z = bias + (np.bincount(row, w[feature], b - a) if len(row) else np.zeros(b - a))
                 yield batch.slice(a, b - a).filter(pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return over_rows(docs, run)

@@ -5,11 +5,14 @@ White space is ``[\\x20\\x09-\\x0D]`` and only A-Z are lower-cased, so all steps
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 4 << 20
 SPACE = np.zeros(256, bool)
@@ -19,6 +22,34 @@ LOWER[65:91] += 32
 TABLE = np.random.default_rng(20).integers(0, 1 << 64, 64 * 256, dtype=np.uint64)
 
 
+def lean(run):
+    """``run`` with the memory given back to the system that a worker no longer needs, before and after: workers are used again by other stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
+def over_rows(docs: DataFrame, run) -> DataFrame:
+    """Whole rows of ``docs`` through ``run``, which leaves their columns as they are; names that a query can't spell don't matter."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(lean(run), plain.schema).toDF(*docs.columns)
+
+
+def release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES, rows: int = 5000) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``rows`` rows and ``limit`` bytes of text, or of one longer text."""
     if len(texts) == 0:
