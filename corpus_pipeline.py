@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of equal texts."""
-    return exact_dedup.exact_duplicates(docs, carry=True).where("kept").select(*docs.columns)
+    return exact_dedup.first_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +46,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the table ``documents``.
+
+    Columns of any name pass through the stages as they are. Null and empty texts and rows with a null key stay unless they are copies
+    or hold a benchmark passage; of rows repeated with one key and text one stays; a row with a key that near copies drop goes, whatever its
+    own text. Empty tables give no rows.
+    """
     docs, folder = table(spark, sf_dir, "documents"), work_dir(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
