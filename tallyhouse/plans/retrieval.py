@@ -102,13 +102,46 @@ def nearest_vectors(t):
     return rt.nearest(vectors, queries, "vec_id", "query_label", 5).withColumn("distance", F.round("distance", 6))
 
 
-@query("rag_8_stored_vectors")
+def _approximate(t):
+    """Ten centres and every 50th vector as questions, over all vectors."""
+    vectors, path = t.raw("embeddings"), work_dir(t.spark, "index")
+    rt.build_index(vectors, path, "vec_id")
+    asked = rt.centroids(vectors, "label").select(F.concat(F.lit("label "), F.col("label").cast("string")).alias("question"), "embedding").unionByName(
+        vectors.where("vec_id % 50 = 0").select(F.concat(F.lit("vector "), F.col("vec_id").cast("string")).alias("question"), F.col("embedding").cast("array<double>").alias("embedding")))
+    return vectors, asked, rt.approximate_nearest(asked, path, "vec_id", "question")
+
+
+@query("rag_7_approximate_neighbours")
+def approximate_neighbours(t):
+    return _approximate(t)[2].withColumn("distance", F.round("distance", 6))
+
+
+@query("rag_7_recall")
+def approximate_recall(t):
+    """Share of the exact five neighbours that the index finds, and of the vectors that a question is compared with."""
+    vectors, asked, found = _approximate(t)
+    exact = rt.nearest(vectors, asked, "vec_id", "question", 5).select("question", "vec_id")
+    hits = exact.join(found.select("question", "vec_id", F.lit(1).alias("hit")), ["question", "vec_id"], "left")
+    total = vectors.agg(F.count(F.lit(1))).scalar()
+    compared = found.groupBy("question").agg(F.max("compared").alias("compared"))
+    return hits.agg(F.round(F.count("hit") / F.count(F.lit(1)), 4).alias("recall_at_5"), F.count_distinct("question").alias("questions")).join(
+        compared.agg(F.round(F.avg(F.col("compared") / total), 4).alias("compared_share")), F.lit(True))
+
+
+@query(
+    "rag_8_stored_vectors",
+    r"""SELECT doc_id, 64 AS dim, CASE WHEN regexp_matches(changed, '[\p{L}\p{N}]') THEN 1.0 ELSE 0.0 END AS norm, (SELECT count(*) FROM documents) AS embedded_first, CAST(0 AS BIGINT) AS embedded_second,
+              (SELECT count(*) FROM documents WHERE doc_id % 10 = 3) AS embedded_third FROM (SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN 'anew ' || coalesce(text, '') ELSE coalesce(text, '') END AS changed FROM documents WHERE doc_id % 10 <> 7) d""",
+)
 def stored_vectors(t):
-    """Build the store, ask for it again (it must not be rebuilt), and read it."""
+    """Build the store, ask for it again, then change one document in ten and drop another one in ten."""
     docs, path = t.raw("documents").select("doc_id", "text"), work_dir(t.spark, "vectors")
-    rt.refresh_store(docs, "doc_id", "text", path, 64)
-    vectors, rebuilt = rt.refresh_store(docs, "doc_id", "text", path, 64)
-    return vectors.select("doc_id", F.size("embedding").alias("dim"), F.lit(rebuilt).alias("rebuilt"))
+    _, first = rt.refresh_store(docs, "doc_id", "text", path, 64)
+    _, second = rt.refresh_store(docs, "doc_id", "text", path, 64)
+    changed = docs.where("doc_id % 10 <> 7").withColumn("text", F.when(F.col("doc_id") % 10 == 3, F.concat(F.lit("anew "), F.coalesce("text", F.lit("")))).otherwise(F.col("text")))
+    vectors, third = rt.refresh_store(changed, "doc_id", "text", path, 64)
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    return vectors.select("doc_id", F.size("embedding").alias("dim"), F.round(norm, 3).alias("norm"), *[F.lit(n).cast("bigint").alias(f"embedded_{c}") for n, c in ((first, "first"), (second, "second"), (third, "third"))])
 
 
 QUESTIONS = [

@@ -215,13 +215,42 @@ def test_embedding_is_unit_length_and_word_based(spark):
     assert abs(np.linalg.norm(got[0]) - 1) < 1e-6 and np.allclose(got[0], got[1]) and not got[2].any()
 
 
-def test_store_is_rebuilt_only_on_change(spark, tmp_path):
-    docs = spark.createDataFrame([(1, "a"), (2, "b")], "id int, t string")
-    path = str(tmp_path / "store")
-    assert rt.refresh_store(docs, "id", "t", path, 8)[1] is True
-    assert rt.refresh_store(docs, "id", "t", path, 8)[1] is False
-    changed = spark.createDataFrame([(1, "a"), (2, "c")], "id int, t string")
-    assert rt.refresh_store(changed, "id", "t", path, 8)[1] is True
+def test_store_embeds_only_what_has_changed(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "id int, t string")
+    rows, path = [(i, f"text {i}") for i in range(200)], str(tmp_path / "store")
+    refresh = lambda rows: rt.refresh_store(make(rows), "id", "t", path, 8, buckets=16)
+    assert refresh(rows)[1] == 200
+    assert refresh(rows[::-1])[1] == 0
+    rows[5], rows[6] = (5, "changed"), (6, "changed too")
+    vectors, n = refresh(rows + [(900, "new"), (900, "new"), (None, None)])
+    assert n == 4 and vectors.count() == 202
+    parts = lambda v: sorted(p.name for p in (tmp_path / f"store/version={v}").glob("_part=*"))
+    assert len(parts(1)) == 16 and 1 <= len(parts(2)) <= 4
+    got = {r.id: r.embedding for r in vectors.collect()}
+    want = {r.id: r.embedding for r in rt.embed(make(rows), "t", 8).collect()}
+    assert all(got[i] == want[i] for i in want)
+    vectors, n = refresh(rows[:3])
+    assert n == 0 and sorted(r.id for r in vectors.collect()) == [0, 1, 2]
+    assert refresh([])[0].count() == 0 and refresh([])[1] == 0
+    assert refresh(rows[:1])[1] == 1
+
+
+def test_approximate_neighbours(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(30, 24)) * 2
+    x = np.concatenate([centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 24)) * 0.6])
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(9999, None), (9998, [1.0])], "id int, embedding array<double>").repartition(4)
+    queries = vectors.where("id % 50 = 0 OR id = 9999").withColumnRenamed("id", "q")
+    rt.build_index(vectors, str(tmp_path / "i"), "id")
+    found = rt.approximate_nearest(queries, str(tmp_path / "i"), "id", "q").collect()
+    exact = {(r.q, r.id) for r in rt.nearest(vectors.where("id < 9000"), queries.where("q < 9000"), "id", "q", 5).collect()}
+    hits = {(r.q, r.id) for r in found}
+    assert len(hits & exact) >= 0.9 * len(exact)
+    assert sum({r.q: r.compared for r in found}.values()) / 60 < 0.75 * 3000
+    distance = {(r.q, r.id): r.distance for r in found}
+    assert all(abs(d - ((x[q] - x[i]) ** 2).sum()) < 1e-9 for (q, i), d in distance.items())
+    rt.build_index(vectors.limit(0), str(tmp_path / "none"), "id")
+    assert rt.approximate_nearest(queries, str(tmp_path / "none"), "id", "q").count() == 0
 
 
 def test_answers_refuse_far_questions(spark):
