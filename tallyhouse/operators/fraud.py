@@ -16,6 +16,7 @@ from tallyhouse.config import (
 )
 from tallyhouse.functions.clean import date_part_of, region
 from tallyhouse.functions.numbers import count_if, ratio
+from tallyhouse.sources.sinks import bucket_state, read_buckets, replace_buckets, with_bucket
 
 DUPLICATE_REASON = "Duplicate Order"
 SAME_DAY = "Same Day"
@@ -59,25 +60,66 @@ def return_flags(returns: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def customer_profile(returns: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """All signals per customer from one grouping of the flagged returns.
-
-    Returns without a customer form one profile that has totals but no other signals, because
-    those are looked up by customer.
-    """
-    money = lambda c: F.coalesce(c, F.lit(0)).cast("decimal(20,2)")
-    grouped = return_flags(returns, orders).groupBy("customer_id").agg(
+def signals(returns: DataFrame, orders: DataFrame) -> DataFrame:
+    """What the returns alone say about each customer: sums, counts, a maximum and the reasons. Signals of two sets of returns can be merged."""
+    return return_flags(returns, orders).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_returns"),
-        F.sum("refund_amount").alias("total_refund_value"),
+        F.sum("refund_amount").cast("decimal(38,2)").alias("total_refund_value"),
         F.sort_array(F.collect_set("return_reason")).alias("return_reasons_list"),
-        F.sum("line_inflation").alias("total_refund_inflation"),
-        F.max("line_inflation").alias("max_single_inflation"),
+        F.sum("line_inflation").cast("decimal(38,2)").alias("total_refund_inflation"),
+        F.max("line_inflation").cast("decimal(20,2)").alias("max_single_inflation"),
         count_if(F.col("line_inflation") > 0).alias("inflated_refund_count"),
         count_if(F.col("return_reason") == DUPLICATE_REASON).alias("duplicate_order_count"),
         count_if(F.col("before_delivery")).alias("return_before_delivery_count"),
         count_if(F.col("same_day")).alias("same_day_ship_return_count"),
         count_if(F.col("no_order")).alias("no_matching_order_count"),
     )
+
+
+def merged_signals(several: DataFrame) -> DataFrame:
+    """Signals of all returns from signals of parts of them; ``_bucket`` stays, if there is one."""
+    sums = [c for c in several.columns if c.startswith("total_") or c.endswith("_count")]
+    same = [F.first(c).alias(c) for c in several.columns if c == "_bucket"]
+    out = several.groupBy("customer_id").agg(
+        *[F.sum(c).cast(several.schema[c].dataType).alias(c) for c in sums], F.max("max_single_inflation").alias("max_single_inflation"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("return_reasons_list")))).alias("return_reasons_list"), *same)
+    return out.select(*several.columns)
+
+
+def add_to_state(returns: DataFrame, orders: DataFrame, path: str, batch: str, buckets: int = 64) -> None:
+    """Add the signals of a batch of returns to the stored ones.
+
+    Only the batch's own returns are read, and of the state only the buckets of their customers, which are written again
+    (``sinks.replace_buckets``). A batch that has been added before is left out, so a repeated run changes nothing.
+    """
+    spark = returns.sparkSession
+    if batch in bucket_state(spark, path)[2]:
+        return
+    fresh = with_bucket(signals(returns, orders), "customer_id", buckets)
+    touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]  # at most ``buckets``
+    old = read_buckets(spark, path, touched)
+    replace_buckets(fresh if old is None else merged_signals(fresh.unionByName(old.select(*fresh.columns))), path, touched, batch)
+
+
+def profile_from_state(path: str, orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """The profile of ``customer_profile`` from stored signals, without reading any return."""
+    state = read_buckets(orders.sparkSession, path)
+    if state is None:
+        raise FileNotFoundError(f"no batch has been added to {path}")
+    return _profile(state.drop("_bucket"), orders, customers)
+
+
+def customer_profile(returns: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """All signals per customer from one grouping of the flagged returns.
+
+    Returns without a customer form one profile that has totals but no other signals, because
+    those are looked up by customer.
+    """
+    return _profile(signals(returns, orders), orders, customers)
+
+
+def _profile(grouped: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
+    money = lambda c: F.coalesce(c, F.lit(0)).cast("decimal(20,2)")
     placed = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("total_orders"))
     known = F.col("customer_id").isNotNull()
     looked_up = lambda name: F.when(known, F.col(name))

@@ -41,6 +41,23 @@ def returns_in_scope(t):
     return fraud.returns_in_scope(rows, earlier).select("order_id", "customer_id", "return_date", "refund_amount")
 
 
+@query(
+    "frd_2_scores_from_state",
+    "SELECT s.customer_id, p.total_returns, p.total_refund_value, p.distinct_reasons, p.return_reasons, s.anomaly_score FROM f_scored s JOIN f_profile p ON s.customer_id IS NOT DISTINCT FROM p.customer_id",
+)
+def scores_from_state(t):
+    """Returns in three batches by day, the second one given twice; scores come from the stored signals."""
+    path = work_dir(t.spark, "signals")
+    common.returns(t).write.parquet(f"{path}/returns")
+    rows = t.spark.read.parquet(f"{path}/returns")
+    early, late = (F.lit(d).cast("date") for d in ("1999-01-01", LAST_RUN))
+    day = F.coalesce("return_date", early)
+    for name, part in (("1", day <= early), ("2", (day > early) & (day <= late)), ("2", day > early), ("3", day > late)):
+        fraud.add_to_state(rows.where(part), t.orders, f"{path}/state", name)
+    scored = fraud.score(fraud.profile_from_state(f"{path}/state", t.orders, t.customers))
+    return scored.select("customer_id", "total_returns", "total_refund_value", "distinct_reasons", F.array_join("return_reasons_list", "|").alias("return_reasons"), "anomaly_score")
+
+
 @query("frd_3_base_signals", "SELECT customer_id, total_returns, total_refund_value, distinct_reasons, return_reasons FROM f_profile")
 def base_signals(t):
     return _profile(t).select("customer_id", "total_returns", "total_refund_value", "distinct_reasons", F.array_join("return_reasons_list", "|").alias("return_reasons"))

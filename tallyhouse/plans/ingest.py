@@ -121,6 +121,31 @@ def clustered(t):
     return t.spark.read.parquet(path)
 
 
+@query("snk_3_zordered", "SELECT product_id, vendor_id, sales, quantity FROM s_lines")
+def zordered(t):
+    path = work_dir(t.spark, "zordered")
+    sinks.write_zordered(t.lines.select("product_id", "vendor_id", "sales", "quantity"), path, "product_id", "vendor_id", partitions=16)
+    return t.spark.read.parquet(path)
+
+
+@query("snk_3_files_read")
+def files_read(t):
+    """Of 64 files, how many a filter on one vendor must read under either layout, on average over all vendors."""
+    path = work_dir(t.spark, "layouts")
+    rows = t.lines.select("product_id", "vendor_id", "sales")
+    sinks.write_clustered(rows, f"{path}/linear", "product_id", "vendor_id", partitions=64)
+    sinks.write_zordered(rows, f"{path}/zordered", "product_id", "vendor_id", partitions=64)
+    vendors = rows.select("vendor_id").distinct()
+    out = None
+    for layout in ("linear", "zordered"):
+        ranges = t.spark.read.parquet(f"{path}/{layout}").groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("vendor_id").alias("lo"), F.max("vendor_id").alias("hi"))
+        bounds = ranges.agg(F.collect_list(F.struct("lo", "hi")).alias("r")).scalar()  # one entry per file of the layout
+        hit = vendors.withColumn("r", bounds).select(F.size(F.filter("r", lambda x: (x["lo"] <= F.col("vendor_id")) & (F.col("vendor_id") <= x["hi"]))).alias("n"), F.size("r").alias("files"))
+        one = hit.agg(F.lit(layout).alias("layout"), F.max("files").alias("files"), F.round(F.avg("n"), 2).alias("files_read"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("snk_4_run_log", "SELECT 'rejections' AS notebook, (SELECT count(*) FROM b_transactions) AS records_processed, (SELECT count(*) FROM q_transactions WHERE _expectation_name = 'valid_sales') AS records_flagged, 'SUCCESS' AS status")
 def run_log(t):
     """Counts for the log are observed while the rows are written, not counted again."""

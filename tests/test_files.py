@@ -4,7 +4,7 @@ import json
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tallyhouse.config import rules_for
 from tallyhouse.operators import narrative, profile as ex, retrieval as rt
@@ -215,6 +215,37 @@ def test_embedding_is_unit_length_and_word_based(spark):
     assert abs(np.linalg.norm(got[0]) - 1) < 1e-6 and np.allclose(got[0], got[1]) and not got[2].any()
 
 
+def test_zorder_narrows_every_column(spark, tmp_path, rows):
+    import datetime as dt
+
+    rng = np.random.default_rng(5)
+    data = [(int(a), f"k{b:04d}", dt.date(2020, 1, 1) + dt.timedelta(days=int(c)), i) for i, (a, b, c) in enumerate(zip(rng.integers(0, 500, 4000), rng.integers(0, 500, 4000), rng.integers(0, 500, 4000)))]
+    df = spark.createDataFrame([*data, (None, None, None, -1)], "a int, b string, c date, _z int")
+    path = str(tmp_path / "z")
+    sinks.write_zordered(df, path, "a", "b", "c", partitions=27)
+    assert rows(spark.read.parquet(path)) == rows(df)
+    for column, span in (("a", 500), ("b", 500), ("c", 500)):
+        rank = F.dense_rank().over(Window.orderBy(column))
+        ranges = spark.read.parquet(path).where("a IS NOT NULL").withColumn("f", F.input_file_name()).withColumn("r", rank).groupBy("f").agg((F.max("r") - F.min("r")).alias("width"))
+        assert ranges.agg(F.avg("width")).first()[0] < 0.62 * span
+    sinks.write_zordered(df.limit(0), str(tmp_path / "e"), "a", "b", partitions=2)
+
+
+def test_buckets_are_replaced_alone(spark, tmp_path):
+    path = str(tmp_path / "b")
+    make = lambda ids, v: sinks.with_bucket(spark.createDataFrame([(i, v) for i in ids], "k int, v string"), "k", 8)
+    assert sinks.read_buckets(spark, path) is None
+    sinks.replace_buckets(make(range(40), "old"), path, batch="one")
+    some = make(range(5), "new")
+    touched = [r[0] for r in some.select("_bucket").distinct().collect()]
+    keep = sinks.read_buckets(spark, path, touched).where("k > 4")
+    sinks.replace_buckets(some.unionByName(keep.select(*some.columns)), path, touched, batch="two")
+    got = {r.k: r.v for r in sinks.read_buckets(spark, path).collect()}
+    assert got == {i: "new" if i < 5 else "old" for i in range(40)}
+    version, folders, batches = sinks.bucket_state(spark, path)
+    assert version == 2 and batches == {"one", "two"} and {b for b, v in folders.items() if v == 2} == set(touched)
+
+
 def test_store_embeds_only_what_has_changed(spark, tmp_path):
     make = lambda rows: spark.createDataFrame(rows, "id int, t string")
     rows, path = [(i, f"text {i}") for i in range(200)], str(tmp_path / "store")

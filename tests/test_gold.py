@@ -203,6 +203,22 @@ def test_scope_is_all_returns_of_changed_customers(spark, rows):
     assert fraud.returns_in_scope(df).count() == 3
 
 
+def test_scores_from_stored_signals_equal_those_of_all_returns(spark, tmp_path):
+    rnd = random.Random(9)
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    orders = spark.createDataFrame([(i, i % 30, rnd.choice(["Same Day", "First Class"]), dt.datetime(2020, 2, 1)) for i in range(90)], "order_id int, customer_id int, ship_mode string, order_delivered_customer_timestamp timestamp_ntz")
+    customers = spark.createDataFrame([(i, f"n{i}", "s", "r") for i in range(30)], "customer_id int, customer_name string, segment string, region string")
+    data = [(rnd.randrange(100), rnd.choice([None, *range(30)]), D(rnd.randrange(5000)) / 100, D(2000) / 100, rnd.choice(["Duplicate Order", "Damaged", None]), day(rnd.randrange(60))) for _ in range(400)]
+    returns = spark.createDataFrame(data, "order_id int, customer_id int, refund_amount decimal(10,2), original_sales decimal(10,2), return_reason string, return_date date")
+    path = str(tmp_path / "s")
+    with pytest.raises(FileNotFoundError):
+        fraud.profile_from_state(path, orders, customers)
+    for n, (lo, hi) in enumerate([(0, 20), (20, 21), (20, 21), (21, 99)]):
+        fraud.add_to_state(returns.where(F.col("return_date").between(day(lo), day(hi - 1))), orders, path, f"{lo}-{hi}", buckets=8)
+    got, want = (sorted((tuple(r) for r in fraud.score(p).collect()), key=str) for p in (fraud.profile_from_state(path, orders, customers), fraud.customer_profile(returns, orders, customers)))
+    assert got == want and len(got) == 31
+
+
 # --- baskets --------------------------------------------------------------------------------------------
 
 
