@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.config import MOM_SWING_PCT, VENDOR_CONCERN_PCT, VENDOR_RISK_PCT
 from tallyhouse.functions.clean import region
-from tallyhouse.functions.numbers import ratio
+from tallyhouse.functions.numbers import count_if, ratio
 
 
 def month_index(year: Column, month: Column) -> Column:
@@ -78,11 +78,33 @@ def slow_stock_summary(kpis: DataFrame) -> DataFrame:
         F.max_by("region", F.struct("slow_product_count", "region")).alias("worst_region"))
 
 
-def bundle(kpis: DataFrame, insight_type: str, by: str) -> DataFrame:
-    """All rows of a KPI table (one per region or vendor) as one JSON text."""
+#: Rows that a bundle lists at most; its totals are over all rows.
+LISTED = 50
+
+
+def bundle(kpis: DataFrame, insight_type: str, by: str, totals: dict[str, Column], generated_at: Column, first: tuple[Column, ...] = (), most: int = LISTED) -> DataFrame:
+    """A KPI table as one JSON text: time, totals over all of its rows, and the ``most`` first rows in order of ``first``, then ``by``.
+
+    The list is a top-k report: every task keeps its best rows, so a table of any number of vendors gives a text of bounded size.
+    """
     row = F.struct(F.col(by), *[F.col(c) for c in kpis.columns if c != by])
-    return kpis.agg(F.sort_array(F.collect_list(row)).alias("rows")).select(
-        F.lit(insight_type).alias("insight_type"), F.to_json(F.struct(F.lit(insight_type).alias("insight"), F.col("rows").alias("by_row"))).alias("kpi_json"))
+    summed = kpis.agg(F.struct(*[c.alias(name) for name, c in totals.items()]).alias("t")).scalar()
+    place = F.row_number().over(Window.orderBy(*first, by))
+    listed = kpis.orderBy(*first, by).limit(most).select(place.alias("nth"), row.alias("row")).agg(F.sort_array(F.collect_list(F.struct("nth", "row"))).alias("rows"))
+    text = F.to_json(F.struct(F.lit(insight_type).alias("insight"), generated_at.cast("string").alias("generated_at"), summed.alias("totals"), F.transform("rows", lambda r: r["row"]).alias("by_row")))
+    return listed.select(F.lit(insight_type).alias("insight_type"), generated_at.alias("generated_at"), text.alias("kpi_json"))
+
+
+def insight_bundles(region: DataFrame, vendor: DataFrame, stock: DataFrame, generated_at: Column) -> DataFrame:
+    """The three domains of the executive insights: revenue by region, returns by vendor, slow stock by region."""
+    total = lambda c: F.sum(c).cast("double")
+    revenue = bundle(region, "revenue_performance", "region", {"total_sales": total("total_sales"), "total_profit": total("total_profit"), "order_count": total("order_count")}, generated_at)
+    returns = bundle(
+        vendor, "vendor_return_rate", "vendor_id",
+        {"vendors": F.count(F.lit(1)).cast("double"), "high_risk_vendors": count_if(F.col("status") == "HIGH RISK").cast("double"), "total_returns": total("total_returns"), "total_refund_amount": total("total_refund_amount")},
+        generated_at, (F.col("return_rate").desc(),))
+    idle = bundle(stock, "slow_moving_inventory", "region", {"total_slow_products": total("slow_product_count"), "total_exposure": total("estimated_exposure")}, generated_at)
+    return revenue.unionByName(returns).unionByName(idle)
 
 
 # --- sentences ------------------------------------------------------------------------------

@@ -38,29 +38,31 @@ def golden_record(
     many copies a key has. Remaining ties go to the smaller source name, then smaller value.
     """
     order = next((r.source_priority_order for r in rules if r.source_priority_order), ())
-    rank = source_rank(F.col(source), order)
     # newest first under an ascending order
     age = -F.unix_micros(F.col(loaded).cast("timestamp"))
-    priority: dict[tuple[str, ...], list[str]] = {}
+    by_order: dict[str, dict[tuple[str, ...], list[str]]] = {"source_priority": {}, "most_recent": {}}
     for r in rules:
-        if r.strategy == "source_priority":
-            priority.setdefault(r.source_priority_order or order, []).append(r.canonical_column)
+        if r.strategy in by_order:
+            by_order[r.strategy].setdefault(r.source_priority_order or order, []).append(r.canonical_column)
+    priority, recent = by_order["source_priority"], by_order["most_recent"]
     rank_of = {r.canonical_column: source_rank(F.col(source), r.source_priority_order or order) for r in rules}
-    columns = {s: [r.canonical_column for r in rules if r.strategy == s] for s in ("source_priority", "most_recent", "most_complete")}
+    complete = [r.canonical_column for r in rules if r.strategy == "most_complete"]
     aggs = []
     for i, names in enumerate(priority.values()):
         row = F.struct(*names)
         aggs.append(F.min_by(row, F.struct(rank_of[names[0]], F.col(source), row)).alias(f"_p{i}"))
-    recent = F.struct(*columns["most_recent"], loaded)
-    aggs.append(F.min_by(recent, F.struct(age, rank, F.col(source), recent)).alias("_r"))
-    for c in columns["most_complete"]:
+    for i, names in enumerate(recent.values()):
+        row = F.struct(*names)
+        aggs.append(F.min_by(row, F.struct(age, rank_of[names[0]], F.col(source), row)).alias(f"_r{i}"))
+    aggs.append(F.max(loaded).alias("_loaded"))
+    for c in complete:
         aggs.append(F.min_by(F.col(c), F.struct(F.col(c).isNull(), rank_of[c], F.col(source), F.col(c))).alias(f"_c_{c}"))
     picked = df.groupBy(key).agg(*aggs)
     where = {c: f"_p{i}.{c}" for i, names in enumerate(priority.values()) for c in names}
-    where |= {c: f"_r.{c}" for c in columns["most_recent"]}
-    where |= {c: f"_c_{c}" for c in columns["most_complete"]}
+    where |= {c: f"_r{i}.{c}" for i, names in enumerate(recent.values()) for c in names}
+    where |= {c: f"_c_{c}" for c in complete}
     ordered = [c for c in df.columns if c in where]
-    return picked.select(key, *[F.col(where[c]).alias(c) for c in ordered], F.col(f"_r.{loaded}").alias(loaded))
+    return picked.select(key, *[F.col(where[c]).alias(c) for c in ordered], F.col("_loaded").alias(loaded))
 
 
 def golden_customers(df: DataFrame, rules: tuple[Survivorship, ...] = SURVIVORSHIP) -> DataFrame:

@@ -42,13 +42,13 @@ def revenue_summary(t):
     return kpis.revenue_summary(kpis.region_kpis(common.revenue(t)))
 
 
-@query(
-    "kpi_3_vendor_kpis",
-    f"""SELECT *, CASE WHEN return_rate > 20 THEN 'HIGH RISK' WHEN total_orders = 0 THEN 'no_return_data' ELSE 'within threshold' END AS status,
+VENDOR_SQL = f"""SELECT *, CASE WHEN return_rate > 20 THEN 'HIGH RISK' WHEN total_orders = 0 THEN 'no_return_data' ELSE 'within threshold' END AS status,
                (SELECT {div('sum(total_returns)', 'sum(total_orders_sold)', 1, 100)} FROM g_rates) AS fleet_avg_return_rate
         FROM (SELECT v.vendor_id, v.vendor_name, coalesce(r.total_returns, 0) AS total_returns, coalesce(r.total_orders_sold, 0) AS total_orders, coalesce(r.total_refund_amount, 0) AS total_refund_amount,
-                     coalesce({div('r.total_returns', 'r.total_orders_sold', 1, 100)}, 0.0) AS return_rate FROM s_vendors v LEFT JOIN g_rates r ON v.vendor_id = r.vendor_id) t""",
-)
+                     coalesce({div('r.total_returns', 'r.total_orders_sold', 1, 100)}, 0.0) AS return_rate FROM s_vendors v LEFT JOIN g_rates r ON v.vendor_id = r.vendor_id) t"""
+
+
+@query("kpi_3_vendor_kpis", VENDOR_SQL)
 def vendor_kpis(t):
     return kpis.vendor_kpis(common.rates(t), t.vendors)
 
@@ -71,11 +71,36 @@ def slow_stock_summary(t):
     return kpis.slow_stock_summary(kpis.slow_stock_kpis(common.slow(t)))
 
 
-@query("kpi_5_bundles")
+def insight_bundles(t):
+    return kpis.insight_bundles(kpis.region_kpis(common.revenue(t)), kpis.vendor_kpis(common.rates(t), t.vendors), kpis.slow_stock_kpis(common.slow(t)), common.run_at())
+
+
+BUNDLE = "insight string, generated_at string, totals map<string,double>, by_row array<map<string,string>>"
+_TOTALS = {
+    "revenue_performance": (REGION_SQL, {"total_sales": "sum(total_sales)", "total_profit": "sum(total_profit)", "order_count": "sum(order_count)"}, "region", "total_sales"),
+    "vendor_return_rate": (VENDOR_SQL, {"vendors": "count(*)", "high_risk_vendors": "count(CASE WHEN status = 'HIGH RISK' THEN 1 END)", "total_returns": "sum(total_returns)", "total_refund_amount": "sum(total_refund_amount)"}, "vendor_id", "return_rate"),
+    "slow_moving_inventory": (STOCK_SQL, {"total_slow_products": "sum(slow_product_count)", "total_exposure": "sum(estimated_exposure)"}, "region", "slow_product_count"),
+}
+
+
+@query("kpi_5_bundles", " UNION ALL ".join(
+    f"SELECT '{kind}' AS insight, '2024-02-01 00:00:00' AS generated_at, '{name}' AS name, CAST({total} AS DOUBLE) AS value, least(count(*), 50) AS rows_listed FROM ({sql}) k{i}"
+    for i, (kind, (sql, totals, *_)) in enumerate(_TOTALS.items()) for name, total in totals.items()))
 def bundles(t):
-    revenue = kpis.bundle(kpis.region_kpis(common.revenue(t)), "revenue_performance", "region")
-    stock = kpis.bundle(kpis.slow_stock_kpis(common.slow(t)), "slow_moving_inventory", "region")
-    return revenue.unionByName(stock)
+    """Totals of the bundles, parsed back from their text."""
+    parsed = insight_bundles(t).select(F.from_json("kpi_json", BUNDLE).alias("b"))
+    return parsed.select("b.insight", "b.generated_at", F.size("b.by_row").cast("bigint").alias("rows_listed"), F.explode("b.totals").alias("name", "value"))
+
+
+@query("kpi_5_bundle_rows", " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{kind}' AS insight, CAST({by} AS VARCHAR) AS row_name, CAST({measure} AS DOUBLE) AS headline FROM ({sql}) k ORDER BY {'return_rate DESC, ' if by == 'vendor_id' else ''}{by} LIMIT 50) r{by}"
+    for kind, (sql, _, by, measure) in _TOTALS.items()))
+def bundle_rows(t):
+    """Rows that the bundles list, with their main figure, parsed back from the text."""
+    parsed = insight_bundles(t).select(F.from_json("kpi_json", BUNDLE).alias("b")).select("b.insight", F.explode("b.by_row").alias("row"))
+    name = F.coalesce(F.try_element_at("row", F.lit("vendor_id")), F.try_element_at("row", F.lit("region")))
+    figures = [F.when(F.col("insight") == kind, F.try_element_at("row", F.lit(measure))) for kind, (*_, measure) in _TOTALS.items()]
+    return parsed.select("insight", name.alias("row_name"), F.coalesce(*figures).cast("double").alias("headline"))
 
 
 @query(

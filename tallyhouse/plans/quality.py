@@ -403,16 +403,22 @@ def generated_text(t):
 
 
 def _insights(t):
-    parts = [
-        kpis.bundle(kpis.region_kpis(common.revenue(t)), "revenue_performance", "region"),
-        kpis.bundle(kpis.slow_stock_kpis(common.slow(t)), "slow_moving_inventory", "region"),
-    ]
-    return narrative.insight_rows(parts, lambda c: F.concat(F.lit("Key figures by region, as computed from the marts of the latest month available: "), F.col(c)))
+    from tallyhouse.plans.kpis import insight_bundles
+
+    return narrative.insight_rows([insight_bundles(t)], lambda c: F.concat(F.lit("Key figures as computed from the marts of the latest month available: "), F.col(c)))
 
 
-@query("nar_3_insight_rows")
+@query(
+    "nar_3_insight_rows",
+    """SELECT insight_type, TIMESTAMP '2024-02-01 00:00:00' AS generated_at, 'PASS' AS llm_check, CAST(headline AS DOUBLE) AS headline FROM (
+         SELECT 'revenue_performance' AS insight_type, (SELECT sum(order_count) FROM g_revenue WHERE year * 12 + month = (SELECT max(year * 12 + month) FROM g_revenue WHERE region IS NOT NULL)) AS headline
+         UNION ALL SELECT 'vendor_return_rate', (SELECT count(*) FROM s_vendors) UNION ALL SELECT 'slow_moving_inventory', (SELECT count(*) FROM g_slow WHERE region IS NOT NULL)) v""",
+)
 def insight_rows(t):
-    return _insights(t)
+    """One row per domain; the headline is read from the figures in the summary's own text."""
+    rows = _insights(t)
+    figure = lambda name: F.get_json_object(F.regexp_extract("ai_summary", r"(\{.*)$", 1), f"$.totals.{name}")
+    return rows.select("insight_type", "generated_at", "llm_check", F.coalesce(figure("order_count"), figure("vendors"), figure("total_slow_products")).cast("double").alias("headline"))
 
 
 @query("nar_4_latest_batch", "SELECT order_id, refund_amount, _load_timestamp FROM c_returns WHERE _load_timestamp = (SELECT max(_load_timestamp) FROM c_returns)")

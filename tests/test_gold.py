@@ -219,6 +219,17 @@ def test_scores_from_stored_signals_equal_those_of_all_returns(spark, tmp_path):
     assert got == want and len(got) == 31
 
 
+def test_ties_of_load_time_go_by_each_columns_own_order(spark):
+    from tallyhouse.config import Survivorship
+
+    at = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, "a1", "b1", "customers_1.csv", at), (1, "a2", "b2", "customers_2.csv", at)], "k int, a string, b string, _source_file string, _load_timestamp timestamp_ntz")
+    names = ("customers_1", "customers_2")
+    rules = [Survivorship("x", "a", "most_recent", names), Survivorship("x", "b", "most_recent", names[::-1])]
+    got = mdm.golden_record(df, "k", rules).first()
+    assert (got.a, got.b, got._load_timestamp) == ("a1", "b2", at)
+
+
 # --- baskets --------------------------------------------------------------------------------------------
 
 
