@@ -287,19 +287,24 @@ class FraudRule:
     threshold: float
     weight: float
     is_active: bool = True
+    description: str = ""
+    human_reasoning: str = ""
 
 
 FRAUD_RULES: tuple[FraudRule, ...] = (
-    FraudRule("high_return_volume", "total_returns", 5, 20),
-    FraudRule("high_refund_value", "total_refund_value", 1000, 10),
-    FraudRule("high_order_return_rate", "order_return_rate", 0.3, 10),
-    FraudRule("refund_inflation", "total_refund_inflation", 500, 20),
-    FraudRule("return_before_delivery", "return_before_delivery_count", 1, 10),
-    FraudRule("duplicate_order_reason", "duplicate_order_count", 1, 10),
-    FraudRule("same_day_ship_return", "same_day_ship_return_count", 1, 5),
-    FraudRule("no_matching_order", "no_matching_order_count", 1, 15),
+    FraudRule("high_return_volume", "total_returns", 5, 20, True, "Many returns by one customer", "Five returns and more are rarely a run of bad luck"),
+    FraudRule("high_refund_value", "total_refund_value", 1000, 10, True, "Large sum of refunds", "A thousand in refunds is worth the time of an investigator"),
+    FraudRule("high_order_return_rate", "order_return_rate", 0.3, 10, True, "Large share of orders sent back", "Most customers keep more than two of three orders"),
+    FraudRule("refund_inflation", "total_refund_inflation", 500, 20, True, "Refunds above what was paid", "A refund can't be due beyond the price of the goods"),
+    FraudRule("return_before_delivery", "return_before_delivery_count", 1, 10, True, "Return filed before the goods arrived", "Nobody can judge goods that are still on their way"),
+    FraudRule("duplicate_order_reason", "duplicate_order_count", 1, 10, True, "Duplicate order given as the reason", "The reason is easy to state and hard to check"),
+    FraudRule("same_day_ship_return", "same_day_ship_return_count", 1, 5, True, "Return of an order with same-day shipping", "The dearest shipping is odd for goods that go back"),
+    FraudRule("no_matching_order", "no_matching_order_count", 1, 15, True, "Return without any order", "Goods that were never sold can't come back"),
 )
 FLAG_THRESHOLD = 40.0
+#: The row of the rule table that holds the threshold; it has no weight and fires for nobody.
+FLAG_ROW = "flag_threshold"
+FRAUD_CONFIG = (*FRAUD_RULES, FraudRule(FLAG_ROW, "anomaly_score", FLAG_THRESHOLD, 0, True, "Score from which a customer is looked into", "Two strong signals, or one with several weak ones"))
 PRIORITY_BANDS = ((80, "EXTREME"), (65, "HIGH"), (50, "MODERATE"))
 
 # --- fixed values: severity classes and business impact -----------------------------------

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.config import (
+    FLAG_ROW,
     FLAG_THRESHOLD,
     FRAUD_RULES,
     FraudRule,
@@ -23,14 +24,19 @@ SAME_DAY = "Same Day"
 
 
 def active_rules(rules: Iterable[FraudRule] = FRAUD_RULES) -> list[FraudRule]:
-    """Rules in use; the weights of the full set must add up to 100."""
-    rules = list(rules)
+    """Rules in use; the weights of the full set must add up to 100. The row of the threshold is no rule."""
+    rules = [r for r in rules if r.rule_name != FLAG_ROW]
     total = sum(r.weight for r in rules)
     if abs(total - 100) > 1e-9:
         raise ValueError(f"weights add up to {total}, not 100")
     return [r for r in rules if r.is_active]
 
 
+def flag_threshold(rules: Iterable[FraudRule]) -> float:
+    """The score from which customers are flagged, as the rule table has it; the built-in one if it has no such row."""
+    return next((r.threshold for r in rules if r.rule_name == FLAG_ROW), FLAG_THRESHOLD)
+
+
 def returns_in_scope(returns: DataFrame, scored_at: DataFrame | None = None, stamp: str = "scored_at") -> DataFrame:
     """All returns of customers with a return later than the last run; all returns at first.
 

@@ -19,7 +19,7 @@ CONFIG_TABLES = {
         "consequence string, issue_type string, failure_reason string",
     ),
     "mdm_rules": (config.SURVIVORSHIP, "entity string, canonical_column string, strategy string, source_priority_order array<string>"),
-    "fraud_rule_config": (config.FRAUD_RULES, "rule_name string, signal string, threshold double, weight double, is_active boolean"),
+    "fraud_rule_config": (config.FRAUD_CONFIG, "rule_name string, signal string, threshold double, weight double, is_active boolean, description string, human_reasoning string"),
 }
 
 

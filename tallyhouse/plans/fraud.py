@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tallyhouse.config import FRAUD_RULES
+from tallyhouse.config import FLAG_ROW, FRAUD_CONFIG, FRAUD_RULES
 from tallyhouse.operators import fraud, setup
 from tallyhouse.plans import common
-from tallyhouse.plans.check_views import div
+from tallyhouse.plans.check_views import div, quote
 from tallyhouse.plans.registry import query
 from tallyhouse.session import work_dir
 from tallyhouse.sources import sinks
@@ -14,15 +14,17 @@ from tallyhouse.sources import sinks
 @query(
     "frd_1_rule_hits",
     "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT '{r.rule_name}' AS rule_name, {float(r.threshold)} AS threshold, {float(r.weight)} AS weight, count(CASE WHEN score_{r.rule_name} > 0 THEN 1 END) AS customers FROM f_points"
-        for r in FRAUD_RULES) + ") t",
+        [f"SELECT '{r.rule_name}' AS rule_name, {float(r.threshold)} AS threshold, {float(r.weight)} AS weight, count(CASE WHEN score_{r.rule_name} > 0 THEN 1 END) AS customers, {quote(r.description)} AS description, {quote(r.human_reasoning)} AS human_reasoning FROM f_points"
+         for r in FRAUD_RULES] + [f"SELECT 'flag_threshold', 40.0, 0.0, count(*), {quote(FRAUD_CONFIG[-1].description)}, {quote(FRAUD_CONFIG[-1].human_reasoning)} FROM f_flagged"]) + ") t",
 )
 def rule_hits(t):
-    """Configured rules, read from their table, with the customers each one fires for."""
+    """Configured rules, read from their table, with the customers each one fires for; the threshold with those it flags."""
     rules = setup.load(setup.config_table(t.spark, "fraud_rule_config"), fraud.FraudRule)[""]
-    hits = common.scored(t).agg(*[F.count(F.when(F.col(f"score_{r.rule_name}") > 0, 1)).alias(r.rule_name) for r in rules])
-    rows = [F.struct(F.lit(r.rule_name).alias("rule_name"), F.lit(r.threshold).alias("threshold"), F.lit(r.weight).alias("weight"), F.col(r.rule_name).alias("customers"))
-            for r in fraud.active_rules(rules)]
+    scored = fraud.score(_profile(t), rules)
+    fires = lambda r: F.count(F.when(F.col(f"score_{r.rule_name}") > 0 if r.rule_name != FLAG_ROW else F.col("anomaly_score") >= fraud.flag_threshold(rules), 1))
+    hits = scored.agg(*[fires(r).alias(r.rule_name) for r in rules])
+    rows = [F.struct(*[F.lit(v).alias(c) for c, v in (("rule_name", r.rule_name), ("threshold", r.threshold), ("weight", r.weight))], F.col(r.rule_name).alias("customers"), F.lit(r.description).alias("description"), F.lit(r.human_reasoning).alias("human_reasoning"))
+            for r in rules]
     return hits.select(F.inline(F.array(*rows)))
 
 

@@ -167,8 +167,12 @@ def answers(t):
     return _answers(t)
 
 
-@query("rag_10_history_kpis")
+@query(
+    "rag_10_history_kpis",
+    "SELECT TIMESTAMP '2024-02-01 00:00:00' AS first_queried_at, TIMESTAMP '2024-02-01 00:00:00' AS last_queried_at, CASE WHEN (SELECT count(*) FROM s_products) > 0 THEN 7 END AS queries_answered",
+)
 def history_kpis(t):
     path = work_dir(t.spark, "history")
-    sinks.append(narrative.checked(_answers(t), "answer", min_words=10), path)
-    return rt.history_kpis(sinks.read_merged(t.spark, path))
+    rt.record_answers(narrative.checked(_answers(t), "answer", min_words=10), path, common.run_at())
+    kpis = rt.history_kpis(sinks.read_merged(t.spark, path))
+    return kpis.where(F.col("passed") + F.col("review") == F.col("queries_answered")).select("first_queried_at", "last_queried_at", F.col("queries_answered").cast("int"))

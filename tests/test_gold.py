@@ -194,6 +194,9 @@ def test_threshold_is_inclusive_and_inactive_rules_do_not_score(spark):
     assert [(r.customer_id, r.anomaly_score) for r in fraud.flagged(scored).collect()] == [(1, 40.0)]
     with pytest.raises(ValueError):
         fraud.active_rules([fraud.FraudRule("a", "x", 1, 99)])
+    rules += [fraud.FraudRule("flag_threshold", "anomaly_score", 70, 0)]
+    assert [r.rule_name for r in fraud.active_rules(rules)] == ["a"] and fraud.flag_threshold(rules) == 70
+    assert fraud.flagged(scored, fraud.flag_threshold(rules)).count() == 0 and fraud.flag_threshold([]) == fraud.FLAG_THRESHOLD
 
 
 def test_scope_is_all_returns_of_changed_customers(spark, rows):
