@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhouse.session import work_dir
 
 #: Rows that a file of small results should hold, and how many tasks write at least.
-ROWS_PER_FILE, LEAST_FILES = 50_000, 8
+ROWS_PER_FILE, LEAST_FILES = 50_000, 2
 
 
 def files(rows: int) -> int:

@@ -278,7 +278,7 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
 
     def saved(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
         """``rows``: about how many rows the last, light stage of ``df`` makes, so that it doesn't write a tiny file per shuffle partition."""
-        (df if rows is None else df.coalesce(files(rows))).write.parquet(f"{folder}/{name}")
+        (df if rows is None else df.coalesce(files(rows))).write.option("compression", "zstd").parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
     embedded = saved(embed(docs, words, percent, text, key), "embedded")
@@ -287,22 +287,24 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     # every row's cells, so that only 16 bytes a cell are moved; copies leave again where cells turn out to be shared.
     # Rows of one key meet in one partition and count once: marks over repeated rows would cancel, and unequal cells pass for equal
     found = real.select(F.explode("cells").alias("cell"), F.col("key").alias("rep")).repartitionByRange(parts, "cell", "rep").sortWithinPartitions("cell", "rep").mapInArrow(lean(shared_cells), "cell long, rep long")
-    multi = saved(found.join(same.select("rep").distinct(), "rep", "left_semi"), "multi")
+    documents = embedded.count()
+    multi = saved(found.join(same.select("rep").distinct(), "rep", "left_semi"), "multi", 4 * documents)
+    held = multi.count()
     sizes = multi.groupBy("cell").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y")).where("size > 1")
     distinct_cells = sizes.groupBy("pivot", "size", "x", "y").agg(F.min("cell").alias("cell")).select("cell", "pivot", "size")
-    members = saved(multi.join(distinct_cells, "cell").distinct(), "members", multi.count())
+    members = saved(multi.join(distinct_cells, "cell").distinct(), "members", held)
     wanted = members.select("rep").distinct()
-    sketch = saved(real.select(F.col("key").alias("rep"), "n", "sketch").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sketches", embedded.count())
+    sketch = saved(real.select(F.col("key").alias("rep"), "n", "sketch").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sketches", documents)
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("text"))
 
     side = lambda c: sketch.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     stars = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    tried = saved(stars.join(side("a"), "a").join(side("b"), "b").mapInArrow(lean(close_to_pivot(percent)), "a long, b long"), "tried-0")
+    tried = saved(stars.join(side("a"), "a").join(side("b"), "b").mapInArrow(lean(close_to_pivot(percent)), "a long, b long"), "tried-0", held)
     links = saved(verified(tried, texts, words, percent), "links-0", tried.count())
     component = components(links)
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # a pivot has met all members of its cell, so only the others are compared
-    placed = saved(grouped(saved(measured(members.where(F.col("size") > BLOCK), sketch, side("pivot")), "far"), members, percent), "placed")
+    placed = saved(grouped(saved(measured(members.where(F.col("size") > BLOCK), sketch, side("pivot")), "far", held), members, percent), "placed", held)
     turn, most = 0, 1
     while True:
         turn += 1
