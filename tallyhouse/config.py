@@ -305,6 +305,9 @@ FLAG_THRESHOLD = 40.0
 #: The row of the rule table that holds the threshold; it has no weight and fires for nobody.
 FLAG_ROW = "flag_threshold"
 FRAUD_CONFIG = (*FRAUD_RULES, FraudRule(FLAG_ROW, "anomaly_score", FLAG_THRESHOLD, 0, True, "Score from which a customer is looked into", "Two strong signals, or one with several weak ones"))
+# Upper ends of refund to sale, with the name of the band; the last one is open.
+RATIO_BANDS = ((1.5, "up to 1.5"), (5, "over 1.5"), (20, "over 5"), (None, "over 20"))
+NO_RATIO = "no sale"
 PRIORITY_BANDS = ((80, "EXTREME"), (65, "HIGH"), (50, "MODERATE"))
 
 # --- fixed values: severity classes and business impact -----------------------------------

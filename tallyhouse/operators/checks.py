@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyhouse.config import NO_RATIO, RATIO_BANDS
 from tallyhouse.functions.numbers import count_if, mean, ratio
 
 
@@ -139,10 +140,9 @@ def rate_check(rates: DataFrame) -> DataFrame:
 def ratio_buckets(returns: DataFrame) -> DataFrame:
     """How far refunds are from the matched sale."""
     r = F.col("return_to_sales_ratio")
-    bucket = (
-        F.when(r.isNull(), "NULL").when(r <= 1.5, "0-1.5x (normal)").when(r <= 5, "1.5-5x (suspicious)")
-        .when(r <= 20, "5-20x (very high)").otherwise("20x+ (impossible)")
-    )
+    bucket = F.when(r.isNull(), NO_RATIO)
+    for end, name in RATIO_BANDS:
+        bucket = bucket.otherwise(name) if end is None else bucket.when(r <= end, name)
     return returns.groupBy(bucket.alias("ratio_bucket")).agg(
         F.count(F.lit(1)).alias("returns_count"), mean(F.sum(r), F.count(r)).alias("avg_ratio"),
         F.min("refund_amount").alias("min_refund"), F.max("refund_amount").alias("max_refund"),

@@ -108,7 +108,7 @@ def vendor_rules(t):
 
 @query(
     "mba_9_top_lift",
-    f"SELECT antecedent_label AS if_customer_buys, consequent_label AS they_also_buy, {_PCT} AS confidence_pct, lift AS lift_score, rule_strength, pair_order_count AS orders_together FROM ({_LOOSE}) r ORDER BY lift DESC, antecedent_id, consequent_id LIMIT 10",
+    f"SELECT antecedent_label AS when_buying, consequent_label AS also_buying, {_PCT} AS confidence_pct, lift AS lift_value, rule_strength, pair_order_count AS orders_together FROM ({_LOOSE}) r ORDER BY lift DESC, antecedent_id, consequent_id LIMIT 10",
 )
 def top_lift(t):
     return mb.top_lift(_loose(t))
@@ -116,18 +116,18 @@ def top_lift(t):
 
 @query(
     "mba_9_reliable_cross_sell",
-    f"SELECT antecedent_label AS product_a, consequent_label AS promote_alongside, {_PCT} AS confidence_pct, lift, rule_strength FROM ({_LOOSE}) r WHERE rule_strength <> 'Weak' ORDER BY confidence DESC, lift DESC, antecedent_id, consequent_id LIMIT 10",
+    f"SELECT antecedent_label AS product_a, consequent_label AS offer_with, {_PCT} AS confidence_pct, lift, rule_strength FROM ({_LOOSE}) r WHERE rule_strength <> 'Weak' ORDER BY confidence DESC, lift DESC, antecedent_id, consequent_id LIMIT 10",
 )
 def reliable_cross_sell(t):
     return mb.reliable_cross_sell(_loose(t))
 
 
-@query("mba_9_top_pairs", "SELECT itemset_label AS product_pair, freq AS orders_together FROM k_itemsets ORDER BY freq DESC, product_a, product_b LIMIT 10")
+@query("mba_9_top_pairs", "SELECT itemset_label AS pair_of_products, freq AS orders_together FROM k_itemsets ORDER BY freq DESC, product_a, product_b LIMIT 10")
 def top_pairs(t):
     return mb.top_pairs(mb.frequent_itemsets(mb.pair_counts(mb.clean_basket(t.lines)), t.products))
 
 
-@query("mba_9_strong_rules", f"SELECT antecedent_label AS if_customer_buys, consequent_label AS bundle_with, support, {_PCT} AS confidence_pct, lift FROM ({_LOOSE}) r WHERE rule_strength = 'Strong'")
+@query("mba_9_strong_rules", f"SELECT antecedent_label AS when_buying, consequent_label AS pair_with, support, {_PCT} AS confidence_pct, lift FROM ({_LOOSE}) r WHERE rule_strength = 'Strong'")
 def strong_rules(t):
     return mb.strong_rules(_loose(t))
 

@@ -196,8 +196,8 @@ def refunds_over_tables(t):
 
 @query(
     "chk_16_ratio_buckets",
-    f"""SELECT CASE WHEN return_to_sales_ratio IS NULL THEN 'NULL' WHEN return_to_sales_ratio <= 1.5 THEN '0-1.5x (normal)' WHEN return_to_sales_ratio <= 5 THEN '1.5-5x (suspicious)'
-                    WHEN return_to_sales_ratio <= 20 THEN '5-20x (very high)' ELSE '20x+ (impossible)' END AS ratio_bucket, count(*) AS returns_count,
+    f"""SELECT CASE WHEN return_to_sales_ratio IS NULL THEN 'no sale' WHEN return_to_sales_ratio <= 1.5 THEN 'up to 1.5' WHEN return_to_sales_ratio <= 5 THEN 'over 1.5'
+                    WHEN return_to_sales_ratio <= 20 THEN 'over 5' ELSE 'over 20' END AS ratio_bucket, count(*) AS returns_count,
                {div('sum(return_to_sales_ratio)', 'count(return_to_sales_ratio)', 2)} AS avg_ratio, min(refund_amount) AS min_refund, max(refund_amount) AS max_refund,
                min(original_sales) AS min_matched_sale, max(original_sales) AS max_matched_sale FROM g_returns GROUP BY 1""",
 )
