@@ -533,7 +533,7 @@ def text_check(text: Column, min_words: int = 30, sections: tuple[str, ...] = ()
     if sections:
         found.append(F.when(~reduce(lambda a, b: a & b, [text.contains(s) for s in sections]), "missing_section"))
     issues = F.array_join(F.array_compact(F.array(*found)), ", ")
-    stripped = F.trim(F.regexp_replace(F.regexp_replace(text, r"(?m)^ {0,3}#+\s+", ""), r"(\*\*?|__?)(?=\S)(.+?)(?<=\S)\1", "$2"))
+    stripped = F.trim(F.regexp_replace(F.regexp_replace(text, r"(?m)^ {0,3}#+\s+", ""), r"(\*\*?)(?=\S)(.+?)(?<=\S)\1", "$2"))
     return {
         "text": F.when(stripped == "", F.concat(F.lit("[REVIEW REQUIRED: empty text. Issues: "), issues, F.lit("]"))).otherwise(stripped),
         "llm_check": F.when(issues == "", "PASS").otherwise("REVIEW"),
