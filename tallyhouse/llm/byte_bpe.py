@@ -27,6 +27,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyhouse.session import work_dir
+
 #: Words of the dictionary that goes to every task, and the longest of them in bytes: 16 MB of words at the very most.
 HEAD, LONGEST = 1 << 18, 64
 #: Words or ids that a task works on at once.
@@ -180,11 +182,25 @@ def words_of(text: Column, pattern: str) -> Column:
 
 
 def frequent(docs: DataFrame, merges: Merges, pattern: str, column: str, head: int) -> pa.Table:
-    """(word, ids) of the ``head`` most frequent words of all texts; ties go to the smaller word. Each is folded once."""
-    words = docs.select(F.explode(words_of(F.col(f"`{column}`"), pattern)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    top = words.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(head)
-    # dealt out again: the top-k ends in one partition
-    spread = top.select("word").repartition(docs.sparkSession.sparkContext.defaultParallelism * 4)
+    """(word, ids) of the most frequent words of all texts, ``head`` of them at most. Each is folded once.
+
+    Words are counted in the tasks and then by Spark, and the counts are written. How many words occur how often tells the
+    least count that ``head`` words reach, so nothing is sorted and no task sees more than its share; words that just miss it are
+    folded in their documents.
+    """
+    spark, path = docs.sparkSession, work_dir(docs.sparkSession, "words")
+    words = docs.select(F.explode(words_of(F.col(f"`{column}`"), pattern)).alias("word")).where(F.octet_length("word") <= LONGEST)
+    words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+    counted = spark.read.parquet(path)
+    # counts above a thousand differ by a tenth at least, so that there are few of them
+    grade = F.when(F.col("n") <= 1000, F.col("n")).otherwise(F.floor(1000 * F.pow(F.lit(1.1), F.floor(F.log(1.1, F.col("n") / 1000))))).cast("long")
+    left, least = head, None
+    for n, held in counted.groupBy(grade.alias("n")).agg(F.count(F.lit(1)).alias("held")).orderBy(F.desc("n")).collect():
+        if held > left:
+            break
+        left, least = left - held, n
+    top = counted.where(grade >= least) if least is not None else counted.limit(0)
+    spread = top.select("word").repartition(spark.sparkContext.defaultParallelism * 4)
     return spread.select("word", merges.encoded(_bytes(F.col("word"))).alias("ids")).toArrow()
 
 
