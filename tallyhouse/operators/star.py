@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyhouse.config import EXACT_MATCH_TOLERANCE
 from tallyhouse.functions.numbers import ratio
@@ -68,8 +68,8 @@ def fact_orders(orders: DataFrame) -> DataFrame:
     return orders.select(surrogate("order_id").alias("order_key"), *rest, *[c for c in orders.columns if c.startswith("order_") and c.endswith("_timestamp")])
 
 
-def sales_lines(transactions: DataFrame, orders: DataFrame) -> DataFrame:
-    """Lines with the customer, vendor and day of their order.
+def sales_lines(transactions: DataFrame, orders: DataFrame, *columns: str) -> DataFrame:
+    """Lines with the customer, vendor and day of their order, and more ``columns`` of it.
 
     The vendor may hang on the order or on the line. The day key comes from the order itself:
     the calendar is built from the same orders, so looking the key up there would always
@@ -77,7 +77,7 @@ def sales_lines(transactions: DataFrame, orders: DataFrame) -> DataFrame:
     """
     wanted = ["order_id", "customer_id"] + (["vendor_id"] if "vendor_id" not in transactions.columns else [])
     return transactions.join(
-        orders.select(*wanted, date_key(F.col("order_purchase_timestamp")).alias("order_date_key")), "order_id"
+        orders.select(*wanted, date_key(F.col("order_purchase_timestamp")).alias("order_date_key"), *columns), "order_id"
     )
 
 
@@ -92,18 +92,30 @@ SALES_COLUMNS = (
 
 
 def fact_sales(transactions: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, vendors: DataFrame) -> DataFrame:
-    """Sales fact with all surrogate keys. ``transactions`` may be a stream."""
-    lines = sales_lines(transactions, orders)
-    lines = with_customer(lines, dim_customers(customers), "customer_key", "region", "segment")
-    lines = lines.join(dim_products(products).select("product_id", "product_key"), "product_id", "left")
-    lines = lines.join(dim_vendors(vendors).select("vendor_id", "vendor_key"), "vendor_id", "left")
-    return lines.withColumn("sales_key", surrogate("order_id", "product_id")).select(*SALES_COLUMNS)
+    """Sales fact with all surrogate keys. ``transactions`` may be a stream.
+
+    Customers are joined to the orders, which are fewer than the lines, and keys are made from the ids after the joins.
+    """
+    placed = _with_known(orders, customers, "customer_id", "region", "segment")
+    lines = sales_lines(transactions, placed, "_customer_id", "region", "segment")
+    lines = _with_known(_with_known(lines, products, "product_id"), vendors, "vendor_id")
+    return _keyed(lines).withColumn("sales_key", surrogate("order_id", "product_id")).select(*SALES_COLUMNS)
+
+
+def _with_known(df: DataFrame, dimension: DataFrame, key: str, *columns: str) -> DataFrame:
+    """The id that the dimension has for a row, as ``_`` and its name, NULL if it has none."""
+    return df.join(dimension.select(key, F.col(key).alias(f"_{key}"), *columns), key, "left")
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    """Surrogate keys of the ids that their dimensions know; they are long, so they travel through no join."""
+    return df.withColumns({f"{n}_key": F.when(F.col(f"_{n}_id").isNotNull(), surrogate(f"_{n}_id")) for n in ("customer", "product", "vendor")})
 
 
 # --- returns ----------------------------------------------------------------------------------
 
-# Width of a price bucket within such an order.
-BUCKET = 16
+# Width of a price bucket within an order. It holds each cent at most once, and most orders have few buckets.
+BUCKET = 1 << 16
 
 
 def _rank_price(transactions: DataFrame) -> Column:
@@ -145,10 +157,12 @@ def _match_by_sorting(returns: DataFrame, transactions: DataFrame) -> DataFrame:
     refund = F.coalesce("refund_amount", F.lit(0).cast(returns.schema["refund_amount"].dataType))
     asked = returns.select("order_id", refund.alias("price")).distinct()
     bucket = F.floor(F.col("price") / BUCKET).cast("bigint").alias("bucket")
-    spot = F.struct("price", "line")
+    spot = F.struct("price", "line", "lines")
+    # windows and edges below read this one shuffle
     events = (
         points.select("order_id", "price", bucket, spot.alias("spot"))
         .unionByName(asked.select("order_id", "price", bucket), allowMissingColumns=True)
+        .repartition("order_id", "bucket")
     )
     # the neighbour above is read in descending order: both frames then only grow
     inner = Window.partitionBy("order_id", "bucket").rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -157,24 +171,39 @@ def _match_by_sorting(returns: DataFrame, transactions: DataFrame) -> DataFrame:
         "order_id", "price", "bucket", "spot",
         F.last("spot", True).over(before).alias("lo"), F.last("spot", True).over(after).alias("hi"),
     ).where("spot IS NULL").drop("spot")
-    edges = points.select("order_id", "price", bucket, spot.alias("spot")).groupBy("order_id", "bucket").agg(
-        F.max_by("spot", "price").alias("top"), F.min_by("spot", "price").alias("bottom"))
-    wanted = asked.select("order_id", bucket).distinct()
+    priced = F.when(F.col("spot").isNotNull(), F.col("price"))
+    edges = events.groupBy("order_id", "bucket").agg(
+        F.max_by("spot", priced).alias("top"), F.min_by("spot", priced).alias("bottom"), F.max(F.col("spot").isNull()).alias("wanted"))
     outer = Window.partitionBy("order_id").rowsBetween(Window.unboundedPreceding, -1)
-    around = (
-        edges.join(wanted, ["order_id", "bucket"], "full")
-        .select(
-            "order_id", "bucket",
-            F.last("top", True).over(outer.orderBy("bucket")).alias("below"),
-            F.last("bottom", True).over(outer.orderBy(F.col("bucket").desc())).alias("above"),
-        )
-    )
+    around = edges.select(
+        "order_id", "bucket", "wanted",
+        F.last("top", True).over(outer.orderBy("bucket")).alias("below"),
+        F.last("bottom", True).over(outer.orderBy(F.col("bucket").desc())).alias("above"),
+    ).where(F.col("wanted") & (F.col("below").isNotNull() | F.col("above").isNotNull())).drop("wanted")
     gap = lambda c: F.when(c.isNotNull(), F.struct(F.abs(c["price"] - F.col("price")).alias("gap"), c["line"].alias("line")))
     best = near.join(around, ["order_id", "bucket"], "left").select(
         "order_id", "price",
         F.array_min(F.array_compact(F.array(
             gap(F.coalesce("lo", "below")), gap(F.coalesce("hi", "above")))))["line"].alias("_line"),
+        # in whole cents only an equal price is closer than the tolerance
+        F.when(F.col("lo.price") == F.col("price"), F.col("lo.lines")).alias("_same"),
     )
+    found = best if _in_cents(returns.schema["refund_amount"].dataType) and _in_cents(transactions.schema["sales"].dataType) else _count_same(best.drop("_same"), asked, points)
+    return (
+        returns.withColumn("price", refund).join(found, ["order_id", "price"], "left").drop("price")
+        .withColumns({
+            "_has": F.col("_line").isNotNull(),
+            "_same": F.when(F.col("refund_amount").isNotNull(), F.coalesce("_same", F.lit(0))),
+        })
+    )
+
+
+def _in_cents(kind: T.DataType) -> bool:
+    return isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.scale <= 2 and float(EXACT_MATCH_TOLERANCE) <= 0.01
+
+
+def _count_same(best: DataFrame, asked: DataFrame, points: DataFrame) -> DataFrame:
+    """``_same``, the lines whose price is closer to the asked one than the tolerance, for prices of any type."""
     # prices closer than the tolerance lie in the same or the next cent
     cents = lambda c: F.floor(c * 100).cast("bigint")
     by_cent = points.select("order_id", F.col("price").alias("p"), "lines", cents(F.col("price")).alias("cent"))
@@ -184,14 +213,7 @@ def _match_by_sorting(returns: DataFrame, transactions: DataFrame) -> DataFrame:
         .where(F.abs(F.col("p") - F.col("price")) < F.lit(EXACT_MATCH_TOLERANCE).cast("decimal(3,2)"))
         .groupBy("order_id", "price").agg(F.sum("lines").alias("_same"))
     )
-    found = best.join(same, ["order_id", "price"], "left")
-    return (
-        returns.withColumn("price", refund).join(found, ["order_id", "price"], "left").drop("price")
-        .withColumns({
-            "_has": F.col("_line").isNotNull(),
-            "_same": F.when(F.col("refund_amount").isNotNull(), F.coalesce("_same", F.lit(0))),
-        })
-    )
+    return best.join(same, ["order_id", "price"], "left")
 
 
 def match_returns(returns: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -224,21 +246,20 @@ def return_ratio() -> Column:
     return F.when(sale > 0, ratio(F.col("refund_amount"), sale, 2).cast("decimal(14,2)"))
 
 
-def returned_lines(returns: DataFrame, orders: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Matched returns with customer and vendor of their order, before any dimension."""
+def returned_lines(returns: DataFrame, orders: DataFrame, transactions: DataFrame, *columns: str) -> DataFrame:
+    """Matched returns with customer and vendor of their order, and more ``columns`` of it."""
     matched = match_returns(returns, transactions)
     wanted = ["order_id", "customer_id"] + (["vendor_id"] if "vendor_id" not in transactions.columns else [])
-    return matched.join(orders.select(*wanted), "order_id", "left").withColumn("return_to_sales_ratio", return_ratio())
+    return matched.join(orders.select(*wanted, *columns), "order_id", "left").withColumn("return_to_sales_ratio", return_ratio())
 
 
 def fact_returns(
     returns: DataFrame, orders: DataFrame, transactions: DataFrame, customers: DataFrame, products: DataFrame, vendors: DataFrame
 ) -> DataFrame:
     """Returns fact with all surrogate keys; a return without order keeps NULL keys."""
-    lines = returned_lines(returns, orders, transactions)
-    lines = with_customer(lines, dim_customers(customers), "customer_key", "region", "segment")
-    lines = lines.join(dim_products(products).select("product_id", "product_key"), "product_id", "left")
-    lines = lines.join(dim_vendors(vendors).select("vendor_id", "vendor_key"), "vendor_id", "left")
-    return lines.withColumns(
+    placed = _with_known(orders, customers, "customer_id", "region", "segment")
+    lines = returned_lines(returns, placed, transactions, "_customer_id", "region", "segment")
+    lines = _with_known(_with_known(lines, products, "product_id"), vendors, "vendor_id")
+    return _keyed(lines).withColumns(
         {"return_key": surrogate("order_id", "return_date"), "return_date_key": date_key(F.col("return_date"))}
     ).select(*RETURN_COLUMNS)

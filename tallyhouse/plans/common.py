@@ -9,6 +9,7 @@ from tallyhouse.operators import fraud, marts, star
 from tallyhouse.operators.harmonize import harmonize_entity
 from tallyhouse.operators.quality import drop_violations, quarantine
 from tallyhouse.plans.check_views import RUN_ID
+from tallyhouse.session import work_dir
 from tallyhouse.sources.testbed import Testbed
 
 RUN_AT = "2024-02-01 00:00:00"
@@ -35,8 +36,13 @@ def sales(t: Testbed) -> DataFrame:
     return star.sales_lines(t.lines, t.orders)
 
 
+def orders_by_region(t: Testbed) -> DataFrame:
+    """Orders with region and segment of their customer, which so never meet the lines themselves."""
+    return star.with_customer(t.orders, t.customers, "region", "segment")
+
+
 def sales_by_region(t: Testbed) -> DataFrame:
-    return star.with_customer(sales(t), t.customers, "region", "segment")
+    return star.sales_lines(t.lines, orders_by_region(t), "region", "segment")
 
 
 def full_sales(t: Testbed) -> DataFrame:
@@ -49,7 +55,14 @@ def returns(t: Testbed) -> DataFrame:
 
 
 def returns_by_region(t: Testbed) -> DataFrame:
-    return star.with_customer(returns(t), t.customers, "region", "segment")
+    return star.returned_lines(t.returns, orders_by_region(t), t.lines, "region", "segment")
+
+
+def staged(t: Testbed, name: str, df: DataFrame) -> DataFrame:
+    """Rows that several branches of a query read, written once."""
+    path = work_dir(t.spark, name)
+    df.write.parquet(path)
+    return t.spark.read.parquet(path)
 
 
 def full_returns(t: Testbed) -> DataFrame:

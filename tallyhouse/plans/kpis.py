@@ -72,7 +72,10 @@ def slow_stock_summary(t):
 
 
 def insight_bundles(t):
-    return kpis.insight_bundles(kpis.region_kpis(common.revenue(t)), kpis.vendor_kpis(common.rates(t), t.vendors), kpis.slow_stock_kpis(common.slow(t)), common.run_at())
+    """Each mart is read for its totals and for its rows, so it is written once."""
+    revenue, rates = common.staged(t, "revenue", common.revenue(t)), common.staged(t, "rates", common.rates(t))
+    slow = common.staged(t, "slow", common.slow(t).select("region", "total_sales", "last_sale_date"))
+    return kpis.insight_bundles(kpis.region_kpis(revenue), kpis.vendor_kpis(rates, t.vendors), kpis.slow_stock_kpis(slow), common.run_at())
 
 
 BUNDLE = "insight string, generated_at string, totals map<string,double>, by_row array<map<string,string>>"

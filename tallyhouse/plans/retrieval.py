@@ -156,7 +156,8 @@ QUESTIONS = [
 
 
 def _answers(t):
-    docs = rt.documents(_enriched(t), rt.region_revenue(common.revenue(t)))
+    """Documents are read for the search and for the texts, so they are written once."""
+    docs = common.staged(t, "sheets", rt.documents(_enriched(t), rt.region_revenue(common.revenue(t))))
     questions = t.spark.createDataFrame(QUESTIONS, "question_id int, question string")
     hits = rt.nearest(rt.embed(docs, "document"), rt.embed(questions, "question"), "product_id", "question_id", 5)
     return rt.answers(hits, docs, questions, "question_id", "product_id", max_distance=1.9)

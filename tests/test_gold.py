@@ -1,6 +1,7 @@
 """Golden records, returns matching and marts against brute force on hand-made rows."""
 
 import datetime as dt
+import hashlib
 import random
 from decimal import Decimal as D
 
@@ -84,6 +85,38 @@ def test_matching_against_brute_force(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("width", [16, star.BUCKET])
+def test_matching_in_cents_over_buckets(spark, monkeypatch, width):
+    monkeypatch.setattr(star, "BUCKET", width)
+    rnd = random.Random(9)
+    lines = [(o, rnd.randrange(50), D(rnd.randrange(1, 9000 if o else 20_000_000)) / 100) for o in range(5) for _ in range(150)]
+    asked = [(rnd.randrange(6), D(rnd.randrange(-500, 9000)) / 100) for _ in range(200)] + [(o, s) for o, _, s in lines[::20]]
+    want = []
+    for o, refund in asked:
+        near = min(((abs(s - refund), p, s) for k, p, s in lines if k == o), default=(None, None, None))
+        same = sum(s == refund for k, _, s in lines if k == o)
+        want.append((o, refund, near[1], near[2], "ORPHAN" if near[1] is None else "EXACT" if same == 1 else "AMBIGUOUS" if same else "ESTIMATED"))
+    lines = spark.createDataFrame(lines, "order_id bigint, product_id int, sales decimal(10,2)")
+    found = star.match_returns(spark.createDataFrame(asked, "order_id bigint, refund_amount decimal(10,2)"), lines)
+    got = [(r.order_id, r.refund_amount, r.product_id, r.original_sales, r.match_confidence) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_lines_meet_no_customer(spark):
+    """Region and segment come with the order, and keys are made after the joins, so lines move with ids only."""
+    orders = spark.createDataFrame([(1, 7, dt.datetime(2020, 1, 2)), (2, None, dt.datetime(2020, 1, 3)), (3, 9, None)], "order_id bigint, customer_id bigint, order_purchase_timestamp timestamp")
+    customers = spark.createDataFrame([(7, "West", "Consumer"), (None, "East", "Consumer")], "customer_id bigint, region string, segment string")
+    rows = [(1, 10, 20, D("5.00"), 1, D("0.00"), D("0.00"), "x", 1), (2, 11, None, D("6.00"), 1, D("0.00"), D("0.00"), "x", 1), (3, 99, 21, D("7.00"), 1, D("0.00"), D("0.00"), "x", 1)]
+    lines = spark.createDataFrame(rows, "order_id bigint, product_id bigint, vendor_id bigint, sales decimal(10,2), quantity int, discount decimal(4,2), profit decimal(10,2), payment_type string, payment_installments int")
+    dims = spark.createDataFrame([(10,), (11,)], "product_id bigint"), spark.createDataFrame([(20,), (None,)], "vendor_id bigint")
+    sold = star.fact_sales(lines, orders, customers, *dims)
+    md5 = lambda x: hashlib.md5(str(x).encode()).hexdigest()
+    assert {(r.order_id, r.customer_key, r.region, r.product_key, r.vendor_key) for r in sold.collect()} == {
+        (1, md5(7), "West", md5(10), md5(20)), (2, None, None, md5(11), None), (3, None, None, None, None)}
+    plan = sold._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in plan and "md5" not in plan[plan.index("Join"):]
+
+
 def test_doubtful_returns(spark):
     df = spark.createDataFrame([(D("60.00"), D("10.00"), "EXACT"), (D("10.00"), D("10.00"), "EXACT"), (D("9.00"), None, "ORPHAN"), (D("9.00"), D("8.00"), "ESTIMATED")],
                                "refund_amount decimal(10,2), original_sales decimal(10,2), match_confidence string")
