@@ -24,6 +24,7 @@ from tallyhouse.config import (
     Rule,
 )
 from tallyhouse.functions.numbers import count_if, ratio
+from tallyhouse.session import work_dir
 
 AUDIT_COLUMNS = (
     "_run_id", "_run_timestamp", "_expectation_name", "_severity", "_issue_type", "_failure_reason", "_quarantine_timestamp",
@@ -220,22 +221,31 @@ def _value_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in LINEAGE_COLUMNS and f"_{c}" not in LINEAGE_COLUMNS]
 
 
-def _cells(frames: dict[str, DataFrame]) -> DataFrame:
-    """All values of all columns as texts: ``entity, column_name, value``."""
-    parts = []
+def _cells(frames: dict[str, DataFrame]) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """All values of all columns as texts, ``at, value``, and the entity and column that each ``at`` stands for."""
+    parts, names = [], []
     for entity, df in frames.items():
-        cells = [F.struct(F.lit(entity).alias("entity"), F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in _value_columns(df)]
+        cells = []
+        for c in _value_columns(df):
+            cells.append(F.struct(F.lit(len(names)).alias("at"), F.col(f"`{c}`").cast("string").alias("value")))
+            names.append((entity, c))
         parts.append(df.select(F.inline(F.array(*cells))))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts), names
+
+
+def _named(names: list[tuple[str, str]]) -> list[Column]:
+    """``entity, column_name`` of ``at``."""
+    return [F.array(*[F.lit(n[i]) for n in names])[F.col("at")].alias(c) for i, c in enumerate(("entity", "column_name"))]
 
 
 def column_values(frames: dict[str, DataFrame]) -> DataFrame:
     """Distinct values with their counts, per column: ``entity, column_name, value, n``.
 
-    All entities go through one shuffle. Values are counted map-side before it, and it is by column and value, so a value
-    that fills a third of the table costs one row per task.
+    All entities go through one shuffle, in which a number stands for entity and column. Values are counted map-side before it,
+    and it is by column and value, so a value that fills a third of the table costs one row per task.
     """
-    return _cells(frames).groupBy("entity", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    cells, names = _cells(frames)
+    return cells.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n")).select(*_named(names), "value", "n")
 
 
 def smallest_values(values: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -305,7 +315,9 @@ def _outliers(frames: dict[str, DataFrame], values: DataFrame, stats: DataFrame,
     """Columns of numbers (nine in ten of the values that are no placeholder) with values far outside their quartiles."""
     numeric = stats.where(F.col("numeric_n") * 10 >= (F.col("rows") - F.col("placeholder_n")) * 9).where("numeric_n > 0").select(*keys)
     counted = values.withColumn("x", _number(F.col("value"))).where("x IS NOT NULL").groupBy(*keys, "x").agg(F.sum("n").alias("n")).join(numeric, keys, "left_semi")
-    raw = _cells(frames).select(*keys, _number(F.col("value")).alias("x")).where("x IS NOT NULL").join(numeric, keys, "left_semi")
+    cells, names = _cells(frames)
+    # sketched for all columns, as the cells themselves are not to be shuffled; ``counted`` has the numeric ones
+    raw = cells.select(*_named(names), _number(F.col("value")).alias("x")).where("x IS NOT NULL")
     spread = F.col("q3") - F.col("q1")
     fences = exact_quartiles(raw, counted, keys).select(*keys, (F.col("q1") - 1.5 * spread).alias("lo"), (F.col("q3") + 1.5 * spread).alias("hi"))
     out = counted.join(fences, keys).where((F.col("x") < F.col("lo")) | (F.col("x") > F.col("hi"))).groupBy(*keys, "lo", "hi").agg(F.sum("n").alias("hits"))
@@ -365,7 +377,11 @@ def discover_issues(frames: dict[str, DataFrame], rare_share: float = 0.02, most
     times the distance of the quartiles outside them, and pairs of dates in the order that fewer rows have.
     """
     keys = ["entity", "column_name"]
-    values = column_values(frames).where(F.col("value").isNotNull())
+    # every detector reads the distinct values, so they are counted and written once
+    spark = next(iter(frames.values())).sparkSession
+    path = work_dir(spark, "values")
+    column_values(frames).where(F.col("value").isNotNull()).write.parquet(path)
+    values = spark.read.parquet(path)
     v, n = F.col("value"), F.col("n")
     total = lambda cond: F.sum(F.when(cond, n).otherwise(0))
     stats = values.groupBy(*keys).agg(

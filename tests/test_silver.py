@@ -249,3 +249,12 @@ def test_outliers_and_order_of_dates(spark):
     # 17 rows are paid on the day before; on the day itself the hour is later
     assert found["due_date", "date_order"] == (17, "due_date <= paid_at")
     assert dq.date_order({"x": spark.createDataFrame([(1,)], "a int")}).count() == 0
+
+
+def test_discovery_counts_the_cells_once(spark):
+    """The detectors read the counted values, which were written; only the sketches read the cells again, and no join does."""
+    df = spark.createDataFrame([(str(i % 20), str(i)) for i in range(200)] + [("?", "9000"), ("?", None)], "kind string, amount string").repartition(3)
+    found = dq.discover_issues({"goods": df})
+    assert {(r.column_name, r.issue_type, r.hits) for r in found.collect()} == {("kind", "unexpected_values", 2), ("kind", "suspicious_distribution", 2), ("amount", "outlier", 1)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    assert "hashpartitioning(at" in dq.column_values({"goods": df})._jdf.queryExecution().executedPlan().toString()
