@@ -7,8 +7,6 @@ aggregates keyed by group *and* distinct value, so a dominant group is spread ov
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.functions.numbers import mean, ratio
@@ -131,7 +129,8 @@ def price_history(transactions: DataFrame, orders: DataFrame) -> DataFrame:
     Versions of one product and vendor are numbered across the days on which they start:
     inside a day by a window over that day, across days by a window over one row per day. A
     product that holds a third of all prices is therefore spread over its days instead of
-    being sorted in one task.
+    being sorted in one task. Product, vendor and day travel as one struct, which is never NULL, so the days,
+    the windows and the join of both read versions from one shuffle.
     """
     wanted = ["order_id", "order_purchase_timestamp"] + (["vendor_id"] if "vendor_id" not in transactions.columns else [])
     net = F.col("quantity").cast("decimal(10,0)") * (F.lit(1) - F.col("discount"))
@@ -142,37 +141,37 @@ def price_history(transactions: DataFrame, orders: DataFrame) -> DataFrame:
     )
     keys = ["product_id", "vendor_id"]
     versions = base.groupBy(*keys, "base_unit_price").agg(F.min("order_purchase_timestamp").alias("valid_from"))
-    versions = versions.withColumn("day", F.to_date("valid_from"))
+    versions = versions.select(F.struct(*keys, F.to_date("valid_from").alias("day")).alias("k"), "base_unit_price", "valid_from").repartition("k")
 
     price = F.col("base_unit_price")
-    days = versions.groupBy(*keys, "day").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(price).alias("total"), F.count(price).alias("priced"),
+    # counting from prices alone, the days need the same columns as the windows
+    priced = F.count(price)
+    days = versions.groupBy("k").agg(
+        (priced + F.count(F.when(price.isNull(), 1))).alias("n"), F.sum(price).alias("total"), priced.alias("priced"),
         F.min(price).alias("lo"), F.max(price).alias("hi"), F.min("valid_from").alias("first"),
     )
     across = Window.partitionBy(*keys).orderBy(F.col("day").asc_nulls_first())
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.select(
-        *keys, "day",
+    carried = days.select("k.*", "n", "total", "priced", "lo", "hi", "first").select(
+        F.struct(*keys, "day").alias("k"),
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"),
         F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("total0"),
         F.coalesce(F.sum("priced").over(earlier), F.lit(0)).alias("priced0"),
         F.min("lo").over(earlier).alias("lo0"), F.max("hi").over(earlier).alias("hi0"),
         F.lead("first").over(across).alias("next_day_from"),
     )
-    within = Window.partitionBy(*keys, "day").orderBy(F.col("valid_from").asc_nulls_first(), F.col("base_unit_price").asc_nulls_first())
+    within = Window.partitionBy("k").orderBy(F.col("valid_from").asc_nulls_first(), F.col("base_unit_price").asc_nulls_first())
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = versions.select(
-        *keys, "day", "base_unit_price", "valid_from",
+        "k", "base_unit_price", "valid_from",
         F.lead("valid_from").over(within).alias("next_from"),
         F.row_number().over(within).alias("rank"),
         F.sum(price).over(so_far).alias("total"), F.count(price).over(so_far).alias("priced"),
         F.min(price).over(so_far).alias("lo"), F.max(price).over(so_far).alias("hi"),
     )
-    same = reduce(lambda a, b: a & b, [local[k].eqNullSafe(carried[k]) for k in (*keys, "day")])
-    joined = local.join(carried, same)
     valid_to = F.coalesce("next_from", "next_day_from")
-    return joined.select(
-        *[local[k] for k in keys], "base_unit_price", "valid_from", valid_to.alias("valid_to"),
+    return local.join(carried, "k").select(
+        *[F.col("k")[c].alias(c) for c in keys], "base_unit_price", "valid_from", valid_to.alias("valid_to"),
         valid_to.isNull().alias("is_current"),
         (F.col("n0") + F.col("rank")).cast("int").alias("version_rank"),
         mean(F.col("total0") + F.col("total"), F.col("priced0") + F.col("priced")).alias("avg_price_to_date"),
@@ -194,30 +193,28 @@ def price_as_of(lookups: DataFrame, history: DataFrame, at: str = "order_purchas
 
     The time line of a key is cut into pieces of ``days``. Each piece begins with the version carried in from the pieces
     before, one row per piece, so versions and lookups are merged in order piece by piece: a key with
-    millions of versions is sorted in as many tasks as its time line has pieces, and nothing is paired.
+    millions of versions is sorted in as many tasks as its time line has pieces, and nothing is paired. Key and piece
+    travel as one struct, so that pieces and windows read versions and lookups from one shuffle.
     """
-    names = [k for k in keys]
-    piece = lambda c: F.floor(F.unix_date(F.to_date(c)) / days)
-    begin = lambda p: F.date_from_unix_date((p * days).cast("int"))
-    moment = lookups.schema[at].dataType
+    piece = F.floor(F.unix_date(F.to_date("_at")) / days).alias("_piece")
+    place = F.struct(*keys, piece).alias("k")
+    moment, kinds = lookups.schema[at].dataType, {k: lookups.schema[k].dataType for k in keys}
     version = F.struct(F.col("base_unit_price").alias("list_price"), F.col("valid_from").alias("price_valid_from"), F.col("valid_to").alias("price_valid_to"), F.col("version_rank").alias("price_version"))
-    starts = (
-        history.where("valid_from IS NOT NULL").select(*names, F.col("valid_from").cast(moment).alias("_at"), version.alias("_version"))
-        .groupBy(*names, "_at").agg(F.max_by("_version", "_version.price_version").alias("_version"))
-    )
-    rows = lookups.select(*names, F.col(at).alias("_at"), F.struct(*[F.col(f"`{c}`") for c in lookups.columns]).alias("_row"))
-    # the last version of each piece, and the pieces that are asked for
-    last = starts.groupBy(*names, piece("_at").alias("_piece")).agg(F.max_by("_version", "_at").alias("_last"))
-    asked = rows.where("_at IS NOT NULL").select(*names, piece("_at").alias("_piece")).distinct()
-    pieces = last.unionByName(asked, allowMissingColumns=True).groupBy(*names, "_piece").agg(F.max("_last").alias("_last"))
-    earlier = Window.partitionBy(*names).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    carried = pieces.select(*names, "_piece", F.last("_last", True).over(earlier).alias("_version")).where("_version IS NOT NULL")
-    events = (
-        rows.select(*names, "_at", piece("_at").alias("_piece"), F.lit(2).alias("_kind"), "_row")
-        .unionByName(starts.select(*names, "_at", piece("_at").alias("_piece"), F.lit(1).alias("_kind"), "_version"), allowMissingColumns=True)
-        .unionByName(carried.select(*names, begin(F.col("_piece")).cast(moment).alias("_at"), "_piece", F.lit(0).alias("_kind"), "_version"), allowMissingColumns=True)
-    )
-    until = Window.partitionBy(*names, "_piece").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = events.select("_row", "_at", F.last("_version", True).over(until).alias("_version")).where("_row IS NOT NULL")
-    valid = F.when(F.col("_at").isNotNull(), F.col("_version"))
-    return found.select("_row.*", *[valid[c].alias(c) for c in ("list_price", "price_valid_from", "price_valid_to", "price_version")])
+    starts = history.where("valid_from IS NOT NULL").select(*keys, F.col("valid_from").cast(moment).alias("_at"), version.alias("_version"))
+    # key and time are not repeated in the rest of the row
+    rest = [F.col(f"`{c}`") for c in lookups.columns if c != at and c not in keys]
+    rows = lookups.select(*keys, F.col(at).alias("_at"), F.struct(*(rest or [F.lit(True).alias("_")])).alias("_row"))
+    events = rows.unionByName(starts, allowMissingColumns=True).select(place, "_at", "_row", "_version").repartition("k")
+    is_row = F.col("_row").isNotNull()
+    # the last version of each piece; of the pieces that are asked for, the one carried in
+    pieces = events.groupBy("k").agg(F.max_by("_version", F.when(~is_row, F.struct("_at", "_version.price_version"))).alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = pieces.select("k.*", "_last").select(F.struct(*keys, "_piece").alias("k"), F.last("_last", True).over(earlier).alias("_before")).where("_before IS NOT NULL")
+    # versions come before the rows of their moment, the last one last
+    until = Window.partitionBy("k").orderBy("_at", is_row, "_version.price_version").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = events.select("k", "_row", "_at", F.last("_version", True).over(until).alias("_version")).where("_row IS NOT NULL")
+    valid = F.when(F.col("_at").isNotNull(), F.coalesce("_version", "_before"))
+    columns = {at: F.col("_at"), **{k: F.col("k")[k].cast(kind) for k, kind in kinds.items()}}
+    return found.join(carried, "k", "left").select(
+        *[columns.get(c, F.col("_row")[c]).alias(c) for c in lookups.columns],
+        *[valid[c].alias(c) for c in ("list_price", "price_valid_from", "price_valid_to", "price_version")])

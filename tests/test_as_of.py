@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 
@@ -49,3 +50,16 @@ def test_empty(spark):
     lookups = spark.createDataFrame([(1, 2, dt.datetime(2020, 1, 1))], "product_id int, vendor_id int, order_purchase_timestamp timestamp_ntz")
     assert [tuple(r)[3:] for r in marts.price_as_of(lookups, history).collect()] == [(None,) * 4]
     assert marts.price_as_of(lookups.limit(0), history).count() == 0
+
+
+def test_versions_and_lookups_move_once(spark):
+    """Every version and lookup is shuffled once; beyond that only one row of each piece, and one of each day, moves."""
+    orders = spark.range(2000).selectExpr("id AS order_id", "TIMESTAMP_NTZ '2020-01-01 00:00:00' + (id % 300) * INTERVAL 1 DAY AS order_purchase_timestamp")
+    lines = spark.range(6000).selectExpr("id % 2000 AS order_id", "id % 7 AS product_id", "id % 3 AS vendor_id", "CAST(100 + id % 90 AS DECIMAL(10,2)) AS sales", "1 AS quantity", "CAST(0 AS DECIMAL(4,2)) AS discount")
+    moves = lambda df: len(re.findall(r"(?<!Reused)Exchange hashpartitioning", df.collect() and df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]))
+    history = marts.price_history(lines, orders)
+    # lines and orders by order, prices, versions by day, days by product, back to the versions
+    assert moves(history) <= 6
+    versions = spark.createDataFrame(history.collect(), history.schema)
+    lookups = lines.limit(6000).withColumn("order_purchase_timestamp", versions.agg({"valid_from": "max"}).scalar())
+    assert moves(marts.price_as_of(lookups, versions)) <= 3
