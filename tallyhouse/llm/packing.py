@@ -29,7 +29,7 @@ CAPACITY = 2048
 END_ID = 1
 POOL = 192
 CACHE = 100_000
-SLICE = 8 << 20
+SLICE = 2 << 20
 OUT = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 

@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer
 
 from tallyhouse.llm import packing
 from tallyhouse.llm.queries import pack
+from tallyhouse.llm.words import slices
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 ODD = ["a  b  c\n\n d\u3000 x <|endoftext|> y  z it's 12 3\t4\r\n \u0085 q  ", "no\u00a0break \u00a0 x", "\u2028 a \u2003b", "é à\n\nü ", "x\x1f y\x0b z", "<|endoftext|>", " <|endoftext|> 's 'll", "日本 語 です"]
@@ -69,3 +71,18 @@ def test_repeated_and_null_keys_and_the_empty_table(documents):
     got = pack(documents([(4, "a b"), (4, "a b"), (None, "a b")])).collect()
     assert Counter(r.doc_id for r in got if r.start == 0) == {4: 2, None: 1}
     assert pack(documents([])).count() == 0
+
+
+def test_a_worker_holds_little_beside_the_text():
+    """Two workers share an executor with the JVM, so a slice's codes and ids are to stay far below 100 MB."""
+    texts = pa.array([" ".join(f"w{(i * j) % 997}" for j in range(1600)) for i in range(1000)], pa.string())
+    encoder = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoder.ids(texts.slice(0, 20))
+    tracemalloc.start()
+    try:
+        total = sum(len(encoder.ids(texts.slice(a, b - a))[0]) for a, b in slices(texts, packing.SLICE))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total > 2_000_000 and texts.nbytes > 7_000_000
+    assert peak < 100e6, peak
