@@ -24,6 +24,8 @@ from tallyhouse.llm.words import lean, mix, over_rows, slices, word_codes
 BUCKETS = 1 << 18
 FEATURES = 2048
 SAMPLE = 20_000
+#: Bytes of text at once: a text has several pieces a word, each held as numbers in several arrays.
+SLICE = 1 << 20
 THRESHOLD = 0.7
 #: Interchangeable group names, in rows of one kind. Fixed values.
 IDENTITY = [
@@ -131,7 +133,7 @@ def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, place = np.zeros((2, BUCKETS + 1), np.int64), np.arange(BUCKETS)
         for batch in batches:
-            for a, b in slices(batch.column(0)):
+            for a, b in slices(batch.column(0), SLICE):
                 label = batch.column(1).slice(a, b - a).to_numpy(zero_copy_only=False)
                 row, bucket = present(batch.column(0).slice(a, b - a), place)
                 found[:, :BUCKETS] += np.bincount(bucket + BUCKETS * label[row], minlength=2 * BUCKETS).reshape(2, -1)
@@ -158,7 +160,7 @@ def train(labelled: DataFrame, weight: float = 1.0, prior: float = 0.05, rounds:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = places(buckets)
         for batch in batches:
-            for a, b in slices(batch.column(0)):
+            for a, b in slices(batch.column(0), SLICE):
                 texts = batch.column(0).slice(a, b - a)
                 other = [swapped(t) for t in texts.to_pylist()]
                 (r, f), (s, g) = present(texts, place), present(pa.array(other, pa.string()), place)
@@ -211,7 +213,7 @@ def scored(docs: DataFrame, model: dict, text: str = "text", key: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = places(buckets)
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE):
                 row, feature = present(batch.column(1).slice(a, b - a), place)
                 z = bias + (np.bincount(row, w[feature], b - a) if len(row) else np.zeros(b - a))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], names=["_key", "score"])
@@ -228,7 +230,7 @@ def clean(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = places(buckets)
         for batch in batches:
-            for a, b in slices(batch.column(at)):
+            for a, b in slices(batch.column(at), SLICE):
                 row, feature = present(batch.column(at).slice(a, b - a), place)
                 z = bias + (np.bincount(row, w[feature], b - a) if len(row) else np.zeros(b - a))
                 yield batch.slice(a, b - a).filter(pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))) < threshold))

@@ -1,12 +1,15 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import language, queries, toxicity
+from tallyhouse.llm.words import slices
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -90,3 +93,18 @@ def test_toxicity_edge_cases(spark, documents, edge_cases, labels):
     assert toxicity.clean(docs, model).columns == docs.columns
     assert toxicity.clean(docs, model).count() == sum(r.score < toxicity.THRESHOLD for r in got)
     assert toxicity.scored(documents([]), model).count() == 0
+
+
+def test_features_are_counted_in_little_memory():
+    """All features of 4 MB of text at once take some 200 MB; in slices they are the same."""
+    texts = pa.array([" ".join(f"word{(i * j) % 9973}" for j in range(400)) for i in range(1200)], pa.string())
+    place = np.arange(toxicity.BUCKETS)
+    whole = sum(len(toxicity.present(texts.slice(a, 400), place)[0]) for a in range(0, 1200, 400))
+    tracemalloc.start()
+    try:
+        found = sum(len(toxicity.present(texts.slice(a, b - a), place)[0]) for a, b in slices(texts, toxicity.SLICE))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == whole and texts.nbytes > 4_000_000
+    assert peak < 120e6, peak
