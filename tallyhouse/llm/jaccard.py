@@ -18,8 +18,9 @@ triangle inequality says which documents a region must also receive:
    ring also receives the ring before it. In a ring only members of different components are compared: blocks of the
    largest component meet blocks of the others, and these each other.
 
-Whatever passes goes to an exact comparison of the sets. Pairs inside one component are never compared, and rounds
-repeat until no pair between components is left, so the components are those of all links.
+Whatever passes goes to an exact comparison of the sets. Pairs inside one component are never compared. A round compares the
+nearest only; the next one goes on in those groups alone that have left out pairs between components that are still apart, until
+no group has, so the components are those of all links.
 """
 
 from __future__ import annotations
@@ -217,7 +218,10 @@ def close_to_pivot(percent: int):
 
 
 def across(percent: int, most: int):
-    """Pairs of one group in different components whose sketches are near, for each document the ``most`` nearest of each component."""
+    """Pairs (a, b) of one group in different components whose sketches are near, for each document the ``most`` nearest of each component.
+
+    Rows with a ``group`` are no pairs: there document a has nearer and further documents of component b, and the further were left out.
+    """
 
     def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
@@ -225,7 +229,7 @@ def across(percent: int, most: int):
         sketch = t.column("sketch").to_pylist()
         sketch = folded(sketch, min(map(len, sketch)))
         lone = (block == block[0]).all()
-        a, b, more = [], [], False
+        a, b, cut = [], [], []
         for i in range(len(t) - 1):
             rest = slice(i + 1, None)
             other = (comp[rest] != comp[i]) & (home[rest] | home[i])
@@ -241,12 +245,13 @@ def across(percent: int, most: int):
             at = at[order]
             c = comp[at]
             nth = np.arange(len(at)) - np.searchsorted(c, c)
-            more |= bool((nth >= most).any())
+            cut += [(rep[i], x) for x in c[nth == most].tolist()]
             at = at[nth < most]
             a += [rep[i]] * len(at)
             b += rep[at].tolist()
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        return pa.RecordBatch.from_pydict({"a": np.append(np.minimum(a, b), [0] * more).astype(np.int64), "b": np.append(np.maximum(a, b), [0] * more).astype(np.int64)})
+        a, b, cut = np.array(a, np.int64), np.array(b, np.int64), np.array(cut, np.int64).reshape(-1, 2)
+        group = pa.array([None] * len(a) + [t.column("group")[0].as_py()] * len(cut), pa.int64())
+        return pa.RecordBatch.from_pydict({"a": np.concatenate([np.minimum(a, b), cut[:, 0]]), "b": np.concatenate([np.maximum(a, b), cut[:, 1]]), "group": group})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -305,27 +310,25 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # a pivot has met all members of its cell, so only the others are compared
     placed = saved(grouped(saved(measured(members.where(F.col("size") > BLOCK), sketch, side("pivot")), "far", held), members, percent), "placed", held)
-    turn, most = 0, 1
+    # dealt once: later rounds go on in the groups that have left out pairs
+    groups = saved(paired(named(placed, component)), "groups", held)
+    open_groups, turn, most = groups, 0, 1
     while True:
         turn += 1
-        named = placed.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        groups = paired(named).join(sketch, "rep").select("group", "rep", "component", "n", "sketch", "block", "home")
-        pairs = saved(groups.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(lean(across(percent, most)), "a long, b long").distinct(), f"pairs-{turn}", members.count())
-        new = saved(pairs.where("a <> b").join(tried, ["a", "b"], "left_anti"), f"tried-{turn}", pairs.count())
-        more = not pairs.where("a = b").isEmpty()
-        if new.isEmpty():
-            if not more:
-                break
-            most *= 16
-            continue
+        rows = named(open_groups.drop("component"), component).join(sketch, "rep").select("group", "rep", "component", "n", "sketch", "block", "home")
+        found = saved(rows.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(lean(across(percent, most)), "a long, b long, group long").distinct(), f"pairs-{turn}", held)
+        pairs = found.where("group IS NULL").select("a", "b")
+        new = saved(pairs.join(tried, ["a", "b"], "left_anti"), f"tried-{turn}", pairs.count())
         tried = tried.unionByName(new)
-        fresh = saved(verified(new, texts, words, percent), f"links-{turn}", new.count())
-        if fresh.isEmpty():
-            if not more:
-                break
+        fresh = None if new.isEmpty() else saved(verified(new, texts, words, percent), f"links-{turn}", new.count())
+        if fresh is None or fresh.isEmpty():
             most *= 16
-            continue
-        component = components(fresh.unionByName(component.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        else:
+            component = components(fresh.unionByName(component.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        live = saved(still_open(found.where("group IS NOT NULL"), component), f"open-{turn}", held)
+        if live.isEmpty():
+            break
+        open_groups = groups.join(live, "group", "left_semi")
     # copies and linked documents only; all others are their own component
     known = same.join(component.withColumnRenamed("node", "rep"), "rep", "left").where("copies > 1 OR component IS NOT NULL").select("print", F.coalesce("component", "rep").alias("component"))
     salts = 8
@@ -336,6 +339,22 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def named(rows: DataFrame, component: DataFrame) -> DataFrame:
+    """``rows`` with the component of their ``rep``; a document without links is its own."""
+    return rows.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def still_open(cut: DataFrame, component: DataFrame) -> DataFrame:
+    """The groups in which a document and a component, from rows (a, b, group) of pairs left out, are still apart.
+
+    A component is named by its least document, so its name leads to what it has become part of. All other groups are
+    done: their near pairs were compared or lie inside one component, and components only grow.
+    """
+    of = lambda c: component.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
+    ends = cut.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return ends.where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("group").distinct()
+
+
 def measured(large: DataFrame, sketch: DataFrame, pivots: DataFrame) -> DataFrame:
     """Members of large cells, without the pivot, with their size and their sketch distance to it.
 

@@ -157,3 +157,28 @@ def test_all_pairs_of_components_meet_once(spark, monkeypatch):
             met += [tuple(sorted((x, y))) for k, (x, cx, bx) in enumerate(rows) for y, cy, by in rows[:k] if cx != cy and (lone or bx != by)]
         assert set(met) == {(i, j) for i in range(60) for j in range(i + 1, 60) if component[i] != component[j]}
         assert max(map(len, groups.values())) <= 8 * 4
+
+
+def test_later_rounds_go_on_in_open_groups_only(spark):
+    """Of pairs left out, only those between components that are still apart open their group again."""
+    cut = spark.createDataFrame([(5, 1, 10), (6, 1, 10), (5, 2, 20), (7, 8, 30), (7, 3, 40)], "a long, b long, group long")
+    component = spark.createDataFrame([(0, 0), (1, 0), (5, 0), (6, 0), (3, 3), (7, 3)], "node long, component long")
+    assert sorted(r.group for r in jaccard.still_open(cut, component).collect()) == [20, 30]
+
+
+def test_rings_are_dealt_once(spark, documents, monkeypatch):
+    """Near copies whose links take several rounds: members go into groups once, and all links are found."""
+    monkeypatch.setattr(jaccard, "BLOCK", 5)
+    dealt, paired = [], jaccard.paired
+    monkeypatch.setattr(jaccard, "paired", lambda named: dealt.append(1) or paired(named))
+    rng = random.Random(8)
+    text = [f"w{rng.randrange(200)}" for _ in range(90)]
+    rows = []
+    for i in range(60):
+        copy = list(text)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(30)}"
+        rows.append((i, " ".join(copy)))
+    got = jaccard.linked_components(documents(rows), 3, 90).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 3, 90)
+    assert len(dealt) == 1
