@@ -32,6 +32,8 @@ SAMPLES = 5
 REPEATS = 5
 EDITS = 0.2
 BLOCK_BYTES = 4 << 20
+#: Bytes of text at once: every byte and word of a slice is held as 8-byte numbers in several arrays.
+SLICE = 1 << 20
 PARTS = SPACE.copy()
 PARTS[list(b".,;:!?()[]{}<>\"")] = True
 
@@ -201,7 +203,7 @@ def cleaner(texts: list[str], at: int):
         index = None
         for batch in batches:
             index = index or Index(texts)
-            for a, b in slices(batch.column(at)):
+            for a, b in slices(batch.column(at), SLICE):
                 keep = np.ones(b - a, bool)
                 keep[[r for r, _ in held(batch.column(at).slice(a, b - a), index)]] = False
                 yield batch.slice(a, b - a).filter(pa.array(keep))
@@ -228,7 +230,7 @@ def searcher(ids: list[int | None], texts: list[str]):
         index = None
         for batch in batches:
             index = index or Index(texts)
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE):
                 keys = batch.column(0).slice(a, b - a)
                 hits = sorted(held(batch.column(1).slice(a, b - a), index).items())
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array([r for (r, _), _ in hits], pa.int64())), *[pa.array(c, pa.int64()) for c in ([ids[i] for (_, i), _ in hits], [e for _, (e, _) in hits], [len(index.items[i]) for (_, i), _ in hits], [e for _, (_, e) in hits])]], names=["_key", "item_id", "edits", "words", "ends_at"])

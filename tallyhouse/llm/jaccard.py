@@ -41,6 +41,8 @@ RATIO = 1.5
 SPARE = 3
 BITS = 1024
 BLOCK = 1024
+#: Bytes of text at once: every byte, word and shingle of a slice is held as 8-byte numbers in several arrays.
+SLICE = 1 << 20
 
 
 def region_starts(most: int) -> np.ndarray:
@@ -143,7 +145,7 @@ def embed(docs: DataFrame, words: int, percent: int, text: str, key: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1), rows=2000):
+            for a, b in slices(batch.column(1), SLICE, rows=2000):
                 flat, bounds = shingle_sets(batch.column(1).slice(a, b - a), words)
                 of, begin = cells(flat, bounds, percent)
                 prints = [xxhash.xxh3_128_digest(flat[bounds[i] : bounds[i + 1]].tobytes()) for i in range(b - a)]
@@ -184,7 +186,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(2)):
+            for a, b in slices(batch.column(2), SLICE):
                 part = batch.slice(a, b - a)
                 left, right = part.column(2).dictionary_encode(), part.column(3).dictionary_encode()
                 sets = [shingle_sets(x.dictionary, words) for x in (left, right)]

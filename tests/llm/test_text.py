@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyhouse.llm import decontaminate, line_dedup
@@ -49,6 +51,23 @@ def test_recall_and_precision_against_brute_force(spark, documents):
     assert exact & want <= found
 
 
+def test_passages_are_dropped_in_little_memory():
+    """All words of 4 MB of text at once take some 140 MB."""
+    texts = pa.array([" ".join(f"word{(i * j) % 9973}" for j in range(400)) for i in range(1200)], pa.string())
+    item = texts[5].as_py().split()[100:130]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1200), pa.int64()), texts], names=["c0", "c1"])
+    run = decontaminate.cleaner([" ".join(item)], 1)
+    list(run(iter([batch.slice(0, 10)])))
+    tracemalloc.start()
+    try:
+        kept = [k for b in run(iter([batch])) for k in b.column(0).to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert texts.nbytes > 4_000_000 and 5 not in kept and len(kept) > 1000
+    assert peak < 80e6, peak
+
+
 def test_no_items_no_documents(spark, documents, edge_cases):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.passages(documents(edge_cases), none).count() == 0
