@@ -114,7 +114,10 @@ def _keyed(df: DataFrame) -> DataFrame:
 
 # --- returns ----------------------------------------------------------------------------------
 
-# Width of a price bucket within an order. It holds each cent at most once, and most orders have few buckets.
+# Orders are counted in so many groups. Those of a group with more lines and returns than ``LONG`` are cut into price buckets.
+CROWDS = 1 << 16
+LONG = 1 << 18
+# Width of a price bucket within such an order.
 BUCKET = 1 << 16
 
 
@@ -149,53 +152,66 @@ def match_confidence(has_lines: Column, same_price: Column) -> Column:
 def _match_by_sorting(returns: DataFrame, transactions: DataFrame) -> DataFrame:
     """Nearest price for orders of any size, without pairing returns with lines.
 
-    Prices and refunds of an order are sorted together; the neighbours of a refund are the
-    last price before and the first price after it. Sorting happens per order and price
-    bucket, and a short table of bucket edges supplies the neighbour when a bucket has none.
+    Lines and returns of an order are shuffled once, by order, and sorted once, together by price; the neighbours of a refund are the
+    least line of the last price up to its own and that of the first price after it. Long orders are cut into price buckets,
+    to which the nearest lines of other buckets are added (``_beyond``).
     """
-    points = price_points(transactions)
-    refund = F.coalesce("refund_amount", F.lit(0).cast(returns.schema["refund_amount"].dataType))
-    asked = returns.select("order_id", refund.alias("price")).distinct()
-    bucket = F.floor(F.col("price") / BUCKET).cast("bigint").alias("bucket")
-    spot = F.struct("price", "line", "lines")
-    # windows and edges below read this one shuffle
-    events = (
-        points.select("order_id", "price", bucket, spot.alias("spot"))
-        .unionByName(asked.select("order_id", "price", bucket), allowMissingColumns=True)
-        .repartition("order_id", "bucket")
+    kept = {c: f"_r{i}" for i, c in enumerate(returns.columns)}
+    refund = F.coalesce("refund_amount", F.lit(0).cast(returns.schema["refund_amount"].dataType)).alias("price")
+    lines = transactions.where(F.col("order_id").isNotNull()).select("order_id", _rank_price(transactions), _line(transactions))
+    asked = returns.select("order_id", refund, *[F.col(c).alias(r) for c, r in kept.items()])
+    # orders are counted by groups of them, so that few rows are shuffled; at most one in LONG rows is the number of a group that is cut
+    rows = lines.select("order_id").unionAll(asked.select("order_id").where(F.col("order_id").isNotNull()))
+    crowd = F.pmod(F.xxhash64(F.col("order_id").cast(rows.schema["order_id"].dataType)), F.lit(CROWDS))
+    long = rows.groupBy(crowd.alias("crowd")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG).agg(F.collect_list("crowd")).scalar()
+    cut = F.array_contains(long, crowd)
+    # a return without an order has no neighbours, so any part will do
+    part = F.when(F.col("order_id").isNull(), F.xxhash64(*kept.values())).when(cut, _bucket()).otherwise(F.lit(0).cast("bigint"))
+    beyond = _beyond(price_points(transactions.where(F.col("order_id").isNotNull() & cut)), asked.where(F.col("order_id").isNotNull() & cut))
+    events = lines.unionByName(asked, allowMissingColumns=True).withColumn("part", part).unionByName(beyond, allowMissingColumns=True)
+    # the shuffle comes first, so that it moves no column made for the windows
+    is_line = F.col("line").isNotNull()
+    dealt = events.repartition("order_id", "part").withColumn("spot", F.when(is_line, F.struct("price", "line")))
+    keys, by = ["order_id", "part"], ["price", "line IS NULL", "line"]
+    order = Window.partitionBy(*keys).orderBy(*[F.expr(c) for c in by])
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = dealt.withColumns({
+        "_last": F.lag("spot").over(order)["price"], "_n": F.count("line.sales").over(so_far),
+        "hi": F.expr(f"lead(spot) IGNORE NULLS OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(by)})")})
+    # the least line of each price, and how many priced lines come before it
+    before = (F.col("_n") - F.col("line.sales").isNotNull().cast("int")).alias("before")
+    head = F.when(is_line & ~F.col("_last").eqNullSafe(F.col("price")), F.struct("price", "line", before))
+    near = placed.withColumn("lo", F.last(head, True).over(so_far)).where("line IS NULL")
+    gap = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}.price") - F.col("price")).alias("gap"), F.col(f"{c}.line").alias("line")))
+    found = near.select(
+        "order_id", "price", *kept.values(), F.least(gap("lo"), gap("hi"))["line"].alias("_line"),
+        F.when(F.col("lo.price") == F.col("price"), F.col("_n") - F.col("lo.before")).alias("_same"))
+    # in whole cents only an equal price is closer than the tolerance
+    if not (_in_cents(returns.schema["refund_amount"].dataType) and _in_cents(transactions.schema["sales"].dataType)):
+        found = _count_same(found.drop("_same"), asked.select("order_id", "price").distinct(), price_points(transactions))
+    return found.select(
+        *[F.col(r).alias(c) for c, r in kept.items()], "_line", F.col("_line").isNotNull().alias("_has"),
+        F.when(F.col(kept["refund_amount"]).isNotNull(), F.coalesce("_same", F.lit(0))).alias("_same"),
     )
-    # the neighbour above is read in descending order: both frames then only grow
-    inner = Window.partitionBy("order_id", "bucket").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    before, after = inner.orderBy("price"), inner.orderBy(F.col("price").desc())
-    near = events.select(
-        "order_id", "price", "bucket", "spot",
-        F.last("spot", True).over(before).alias("lo"), F.last("spot", True).over(after).alias("hi"),
-    ).where("spot IS NULL").drop("spot")
+
+
+def _bucket() -> Column:
+    return F.floor(F.col("price") / BUCKET).cast("bigint")
+
+
+def _beyond(points: DataFrame, asked: DataFrame) -> DataFrame:
+    """The nearest price points below and above each bucket that has refunds, as lines of that bucket."""
+    events = points.select("order_id", "price", F.struct("price", "line").alias("spot")).unionByName(asked.select("order_id", "price"), allowMissingColumns=True)
     priced = F.when(F.col("spot").isNotNull(), F.col("price"))
-    edges = events.groupBy("order_id", "bucket").agg(
+    edges = events.groupBy("order_id", _bucket().alias("part")).agg(
         F.max_by("spot", priced).alias("top"), F.min_by("spot", priced).alias("bottom"), F.max(F.col("spot").isNull()).alias("wanted"))
     outer = Window.partitionBy("order_id").rowsBetween(Window.unboundedPreceding, -1)
     around = edges.select(
-        "order_id", "bucket", "wanted",
-        F.last("top", True).over(outer.orderBy("bucket")).alias("below"),
-        F.last("bottom", True).over(outer.orderBy(F.col("bucket").desc())).alias("above"),
-    ).where(F.col("wanted") & (F.col("below").isNotNull() | F.col("above").isNotNull())).drop("wanted")
-    gap = lambda c: F.when(c.isNotNull(), F.struct(F.abs(c["price"] - F.col("price")).alias("gap"), c["line"].alias("line")))
-    best = near.join(around, ["order_id", "bucket"], "left").select(
-        "order_id", "price",
-        F.array_min(F.array_compact(F.array(
-            gap(F.coalesce("lo", "below")), gap(F.coalesce("hi", "above")))))["line"].alias("_line"),
-        # in whole cents only an equal price is closer than the tolerance
-        F.when(F.col("lo.price") == F.col("price"), F.col("lo.lines")).alias("_same"),
-    )
-    found = best if _in_cents(returns.schema["refund_amount"].dataType) and _in_cents(transactions.schema["sales"].dataType) else _count_same(best.drop("_same"), asked, points)
-    return (
-        returns.withColumn("price", refund).join(found, ["order_id", "price"], "left").drop("price")
-        .withColumns({
-            "_has": F.col("_line").isNotNull(),
-            "_same": F.when(F.col("refund_amount").isNotNull(), F.coalesce("_same", F.lit(0))),
-        })
-    )
+        "order_id", "part", "wanted",
+        F.last("top", True).over(outer.orderBy("part")).alias("below"),
+        F.last("bottom", True).over(outer.orderBy(F.col("part").desc())).alias("above"),
+    ).where("wanted")
+    return around.select("order_id", "part", F.explode(F.array_compact(F.array("below", "above"))).alias("spot")).select("order_id", "part", "spot.price", "spot.line")
 
 
 def _in_cents(kind: T.DataType) -> bool:
@@ -222,11 +238,10 @@ def match_returns(returns: DataFrame, transactions: DataFrame) -> DataFrame:
     Ties go to the smaller product. Adds ``product_id``, ``original_sales``,
     ``match_confidence`` (and ``vendor_id`` when lines carry it).
 
-    Only lines of returned orders take part. Prices are sorted per order and bucket, so no order
-    is gathered whole, whatever its length, and no job runs when this is called.
+    Prices are sorted per order, and per price bucket in long orders, so no order is gathered whole, whatever
+    its length, and no job runs when this is called.
     """
-    wanted = returns.select("order_id").distinct()
-    matched = _match_by_sorting(returns, transactions.join(wanted, "order_id", "left_semi"))
+    matched = _match_by_sorting(returns, transactions)
     vendor = [F.col("_line.vendor_id").alias("vendor_id")] if "vendor_id" in transactions.columns else []
     return matched.select(
         *returns.columns, "_line.product_id", F.col("_line.sales").alias("original_sales"), *vendor,

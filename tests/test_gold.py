@@ -102,6 +102,39 @@ def test_matching_in_cents_over_buckets(spark, monkeypatch, width):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize(("long", "width"), [(0, 16), (0, 1 << 16), (200, 7), (1 << 18, 16)])
+def test_matching_of_long_orders(spark, monkeypatch, long, width):
+    """Orders are cut into price buckets or not; null keys and prices, equal lines and repeated returns make no difference."""
+    monkeypatch.setattr(star, "LONG", long)
+    monkeypatch.setattr(star, "BUCKET", width)
+    rnd = random.Random(long + width)
+    cents = lambda lo, hi: D(rnd.randrange(lo, hi)) / 100 if rnd.random() > 0.1 else None
+    lines = [(o, rnd.choice([None, *range(9)]), cents(-300, 9000) if o else cents(0, 20_000_000), v) for o in [0, 1, 2, 3, None] for v in [None, *range(40)]]
+    lines += lines[::3] + [(4, 1, None, 1), (4, 1, None, 2), (5, 1, D("7.00"), 1)]
+    asked = [(rnd.choice([0, 1, 2, 3, 4, 5, 6, None]), cents(-500, 11000)) for _ in range(250)] + [(o, s) for o, _, s, _ in lines[::4]]
+    asked += asked[::5]
+    first = lambda x: (x is not None, x or 0)
+    want = []
+    for o, refund in asked:
+        own = [(p, s, v) for k, p, s, v in lines if k == o and k is not None]
+        near = min(own, key=lambda x: (abs((x[1] or 0) - (refund or 0)), *map(first, x)), default=None)
+        same = sum(s is not None and refund is not None and s == refund for _, s, _ in own)
+        want.append((o, refund, *(near or (None, None, None)), "ORPHAN" if near is None else "EXACT" if same == 1 else "AMBIGUOUS" if same else "ESTIMATED"))
+    lines = spark.createDataFrame(lines, "order_id bigint, product_id int, sales decimal(10,2), vendor_id bigint")
+    found = star.match_returns(spark.createDataFrame(asked, "order_id bigint, refund_amount decimal(10,2)"), lines)
+    got = [(r.order_id, r.refund_amount, r.product_id, r.original_sales, r.vendor_id, r.match_confidence) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_matching_joins_nothing(spark):
+    """Lines and returns meet in one shuffle by order and are sorted once; returns aren't joined to what was found for them."""
+    lines = spark.createDataFrame([], "order_id bigint, product_id int, sales decimal(10,2)")
+    found = star.match_returns(spark.createDataFrame([], "order_id bigint, refund_amount decimal(10,2)"), lines)
+    assert found.count() == 0
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("RepartitionByExpression") == 1
+
+
 def test_lines_meet_no_customer(spark):
     """Region and segment come with the order, and keys are made after the joins, so lines move with ids only."""
     orders = spark.createDataFrame([(1, 7, dt.datetime(2020, 1, 2)), (2, None, dt.datetime(2020, 1, 3)), (3, 9, None)], "order_id bigint, customer_id bigint, order_purchase_timestamp timestamp")
