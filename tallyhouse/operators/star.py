@@ -91,17 +91,42 @@ SALES_COLUMNS = (
 )
 
 
-def fact_sales(transactions: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, vendors: DataFrame) -> DataFrame:
+def fact_sales(
+    transactions: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, vendors: DataFrame, odd: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """Sales fact with all surrogate keys. ``transactions`` may be a stream.
 
-    Customers are joined to the orders, which are fewer than the lines, and keys are made from the ids after the joins.
+    Customers are joined to the orders, which are fewer than the lines, and keys are made from the ids after the joins. Where ``odd``
+    holds the :func:`odd_ids` of a dimension by the name of its key, lines are joined to these instead of to the dimension.
     """
+    odd = odd or {}
     placed = _with_known(orders, customers, "customer_id", "region", "segment")
     lines = sales_lines(transactions, placed, "_customer_id", "region", "segment")
-    lines = _with_known(_with_known(lines, products, "product_id"), vendors, "vendor_id")
+    for key, dimension in (("product_id", products), ("vendor_id", vendors)):
+        lines = _with_odd(lines, odd[key], key) if key in odd else _with_known(lines, dimension, key)
     return _keyed(lines).withColumn("sales_key", surrogate("order_id", "product_id")).select(*SALES_COLUMNS)
 
 
+def odd_ids(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Ids of ``df`` that a dimension does not have just once and spelled alike, with what a join to it finds for them.
+
+    A dimension has nearly all ids once, so these are few; written to a folder of their own, Spark sees how few before it plans a
+    join to them. Only ids are shuffled for it. An id that the dimension lacks comes with NULL, one that it repeats as often as there.
+    """
+    met = df.select(key).where(F.col(key).isNotNull()).distinct().join(dimension.select(key, F.col(key).alias(f"_{key}")), key, "left")
+    found = F.col(f"_{key}").cast("string")
+    times = F.count(F.lit(1)).over(Window.partitionBy(key))
+    return met.select(key, found.alias(f"_{key}"), times.alias("_times")).where(
+        (F.col("_times") > 1) | ~F.col(f"_{key}").eqNullSafe(F.col(key).cast("string"))).drop("_times")
+
+
+def _with_odd(df: DataFrame, odd: DataFrame, key: str) -> DataFrame:
+    """What ``_with_known`` adds, as text: odd ids have it from ``odd``, and all others are known."""
+    found = odd.select(key, F.col(f"_{key}").alias("_found"), F.lit(True).alias("_odd"))
+    known = F.when(F.col("_odd"), F.col("_found")).otherwise(F.col(key).cast("string"))
+    return df.join(found, key, "left").withColumn(f"_{key}", known).drop("_found", "_odd")
+
+
 def _with_known(df: DataFrame, dimension: DataFrame, key: str, *columns: str) -> DataFrame:
     """The id that the dimension has for a row, as ``_`` and its name, NULL if it has none."""
     return df.join(dimension.select(key, F.col(key).alias(f"_{key}"), *columns), key, "left")

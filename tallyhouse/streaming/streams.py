@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.config import Mapping, Rule
 from tallyhouse.operators.harmonize import harmonize_entity
 from tallyhouse.operators.quality import drop_violations, quarantine
-from tallyhouse.operators.star import fact_orders, fact_returns, fact_sales
+from tallyhouse.operators.star import fact_orders, fact_returns, fact_sales, odd_ids
 
 
 def file_stream(spark: SparkSession, folder: str, glob: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -66,8 +66,26 @@ def fact_orders_stream(orders: DataFrame, target: str, checkpoint: str) -> None:
 
 
 def fact_sales_stream(transactions: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, vendors: DataFrame, target: str, checkpoint: str) -> None:
-    """Stream of lines joined to static orders and dimensions."""
-    run_append(fact_sales(transactions, orders, customers, products, vendors), target, checkpoint)
+    """Lines joined to static orders and dimensions, per micro-batch.
+
+    The ids that products and vendors do not have just once are written first. As these are few, Spark joins the lines to them where
+    they lie, and lines are shuffled once, by order. Shuffle files go when the write that made them ends, and the random keys are
+    written by zstd, which halves them. A batch writes a folder named by it, so a repeated one replaces itself.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # the session of this stream only
+        spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+        odd = {}
+        for key, dimension in (("product_id", products), ("vendor_id", vendors)):
+            path = f"{target}-odd/{key}/batch={batch_id}"
+            odd_ids(batch if key in batch.columns else orders, dimension, key).write.mode("overwrite").parquet(path)
+            odd[key] = spark.read.parquet(path)
+        sold = fact_sales(batch, orders, customers, products, vendors, odd)
+        sold.write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/batch={batch_id}")
+
+    run_batches(transactions, load, checkpoint)
 
 
 def fact_returns_stream(

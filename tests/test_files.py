@@ -1,13 +1,15 @@
 """Files in and out: layouts, increments, sinks, streams, vectors and generators."""
 
 import json
+import time
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Window, functions as F
 
 from tallyhouse.config import rules_for
-from tallyhouse.operators import narrative, profile as ex, retrieval as rt
+from tallyhouse.operators import narrative, profile as ex, retrieval as rt, star
 from tallyhouse.sources import ingest, sinks
 from tallyhouse.streaming import streams
 
@@ -182,6 +184,39 @@ def test_quarantine_keeps_step_with_the_stream(spark, tmp_path):
     assert names == {"order_id_not_null", "valid_return_status", "valid_return_reason", "valid_refund_amount"}
 
 
+def _shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in disk.getAllFiles().mkString(" ").split() if "/shuffle_" in f}
+
+
+def test_sales_stream_keeps_little_on_disk(spark, tmp_path, rows):
+    """Batches equal the batch fact, a second run adds only new files, keys are packed and shuffle files go with the write."""
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    lines = spark.range(3000).selectExpr(
+        "id % 500 AS order_id", "id % 90 AS product_id", "id % 11 AS vendor_id", "CAST(id AS DECIMAL(10,2)) AS sales", "1 AS quantity",
+        "CAST(0 AS DECIMAL(4,2)) AS discount", "CAST(0 AS DECIMAL(14,4)) AS profit", "'x' AS payment_type", "1 AS payment_installments")
+    orders = spark.range(400).selectExpr("id AS order_id", "id % 40 AS customer_id", "TIMESTAMP '2020-01-02 00:00:00' AS order_purchase_timestamp")
+    customers = spark.range(30).selectExpr("id AS customer_id", "'West' AS region", "'Consumer' AS segment")
+    sides = orders, customers, spark.range(80).selectExpr("id AS product_id"), spark.range(5).selectExpr("id AS vendor_id").unionAll(spark.range(2).selectExpr("id AS vendor_id"))
+    want = rows(star.fact_sales(lines, *sides))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        for part in lines.where("sales < 1000"), lines.where("sales >= 1000"):
+            part.repartition(2).write.mode("append").parquet(src)
+            before, until = _shuffle_files(spark), time.time() + 20
+            streams.fact_sales_stream(streams.file_stream(spark, src, "*.parquet", 1), *sides, out, str(tmp_path / "c"))
+            while (left := _shuffle_files(spark) - before) and time.time() < until:
+                time.sleep(0.2)
+            assert not left
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    got = spark.read.parquet(out)
+    assert got.select("batch").distinct().count() == 4 and rows(got.drop("batch")) == want
+    written = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in (tmp_path / "out").rglob("*.parquet")}
+    assert written == {"ZSTD"}
+
+
 # --- vectors and generators -----------------------------------------------------------------------------
 
 

@@ -150,6 +150,54 @@ def test_lines_meet_no_customer(spark):
     assert "md5" in plan and "md5" not in plan[plan.index("Join"):]
 
 
+def _shop(spark):
+    """Orders, customers, products and vendors with null, missing and repeated ids."""
+    day = dt.datetime(2020, 1, 2)
+    orders = spark.createDataFrame([(1, 7, 20, day), (2, None, 21, None), (3, 9, 22, day), (3, 7, None, day)], "order_id bigint, customer_id bigint, vendor_id bigint, order_purchase_timestamp timestamp")
+    customers = spark.createDataFrame([(7, "West", "Consumer"), (7, "East", "Consumer"), (None, "East", "Consumer")], "customer_id bigint, region string, segment string")
+    products = spark.createDataFrame([(10,), (11,), (11,), (11,), (None,)], "product_id bigint")
+    vendors = spark.createDataFrame([(20,), (20,), (21,), (None,)], "vendor_id bigint")
+    return orders, customers, products, vendors
+
+
+SOLD = "order_id bigint, product_id bigint, vendor_id bigint, sales decimal(10,2), quantity int, discount decimal(4,2), profit decimal(10,2), payment_type string, payment_installments int"
+
+
+def _sold():
+    ids = [(1, 10, 20), (1, 11, 21), (2, 99, 20), (3, None, 22), (3, 10, None), (4, 10, 20), (None, 11, 21), (1, 10, 20)]
+    return [(*row, D(n), 1, D("0.00"), D("0.00"), "x", 1) for n, row in enumerate(ids)]
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_lines_meet_odd_ids_instead_of_dimensions(spark, tmp_path, rows, ordered):
+    """With the ids that products and vendors don't have just once, the fact is the same and reads neither."""
+    orders, customers, products, vendors = _shop(spark)
+    lines = spark.createDataFrame(_sold(), SOLD)
+    lines, orders = (lines.drop("vendor_id"), orders) if ordered else (lines, orders.drop("vendor_id"))
+    kept = []
+    for name, dimension in (("products", products), ("vendors", vendors)):
+        dimension.write.parquet(f"{tmp_path}/{name}")
+        kept.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    odd = {}
+    for key, dimension, source in (("product_id", kept[0], lines), ("vendor_id", kept[1], orders if ordered else lines)):
+        star.odd_ids(source, dimension, key).write.parquet(f"{tmp_path}/odd-{key}")
+        odd[key] = spark.read.parquet(f"{tmp_path}/odd-{key}")
+    assert rows(odd["product_id"]) == [(11, "11"), (11, "11"), (11, "11"), (99, None)]
+    assert rows(odd["vendor_id"]) == [(20, "20"), (20, "20"), (22, None)]
+    sold = star.fact_sales(lines, orders, customers, *kept, odd)
+    assert rows(sold) == rows(star.fact_sales(lines, orders, customers, *kept)) and sold.count() > 8
+    assert not [f for f in sold.inputFiles() if "odd-" not in f]
+
+
+def test_ids_spelled_otherwise_are_odd(spark, rows):
+    """A key is made of the id as the dimension spells it."""
+    lines, products = spark.createDataFrame([("7",), ("8",)], "product_id string"), spark.createDataFrame([("7 ",), ("8",)], "product_id string")
+    numbers = spark.createDataFrame([(D("7.00"),), (D("9.00"),)], "product_id decimal(5,2)")
+    whole = spark.createDataFrame([(7,), (8,)], "product_id int")
+    assert rows(star.odd_ids(whole, numbers, "product_id")) == [(7, "7.00"), (8, None)]
+    assert rows(star.odd_ids(lines, products, "product_id")) == [("7", None)]
+
+
 def test_doubtful_returns(spark):
     df = spark.createDataFrame([(D("60.00"), D("10.00"), "EXACT"), (D("10.00"), D("10.00"), "EXACT"), (D("9.00"), None, "ORPHAN"), (D("9.00"), D("8.00"), "ESTIMATED")],
                                "refund_amount decimal(10,2), original_sales decimal(10,2), match_confidence string")
